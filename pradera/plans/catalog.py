@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import paddock_queries
+from . import herd_queries, paddock_queries
 
-_MODULES = [paddock_queries]
+_MODULES = [paddock_queries, herd_queries]
 
 
 def queries():
