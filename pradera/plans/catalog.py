@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import herd_queries, paddock_queries
+from . import function_queries, herd_queries, paddock_queries
 
-_MODULES = [paddock_queries, herd_queries]
+_MODULES = [paddock_queries, herd_queries, function_queries]
 
 
 def queries():
