@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import function_queries, herd_queries, paddock_queries
+from . import function_queries, herd_queries, io_queries, paddock_queries, series_queries
 
-_MODULES = [paddock_queries, herd_queries, function_queries]
+_MODULES = [paddock_queries, series_queries, herd_queries, function_queries, io_queries]
 
 
 def queries():
