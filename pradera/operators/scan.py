@@ -6,7 +6,8 @@ gives the same answers as that single window but cuts each key's rows into
 chunks along the order (``chunk`` is a Column that never decreases with the
 order, e.g. 31-day buckets of the date):
 
-1. windows run inside ``(key, chunk)`` (one shuffle on ``(key, chunk)``),
+1. rows are shuffled once on ``(key, chunk)`` and windows run inside each
+   ``(key, chunk)`` group,
 2. one summary row per ``(key, chunk)`` is aggregated (same partitioning,
    no new shuffle) and scanned per key -- a table of keys x chunks rows,
 3. the carry from earlier chunks is joined back on ``(key, chunk)``.
@@ -81,6 +82,10 @@ def ordered_scan(
         inputs[f"_vl_{n}"] = _c(c)
     if inputs:
         d = d.withColumns(inputs)
+    # One explicit shuffle on (key, chunk): the windows, the chunk summary and
+    # the join back all read it (the exchange is reused), so a chain of scans
+    # stays linear instead of recomputing every earlier scan in each branch.
+    d = d.repartition(*part)
 
     wl = Window.partitionBy(*part).orderBy(*order)
     wlr = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
