@@ -88,11 +88,12 @@ def split_sector(col: Column | str) -> Column:
     head = F.element_at(first, 1)
     tail = F.try_element_at(first, F.lit(2))
     hsplit = F.split(head, " ", 2)
+    empty = F.array().cast("array<string>")
     return F.struct(
         head.alias("head"),
         F.element_at(hsplit, 1).alias("word"),
-        F.split(tail, ",").alias("after"),
-        F.split(F.try_element_at(hsplit, F.lit(2)), ",").alias("numbers"),
+        F.coalesce(F.split(tail, ","), empty).alias("after"),
+        F.coalesce(F.split(F.try_element_at(hsplit, F.lit(2)), ","), empty).alias("numbers"),
     )
 
 

@@ -97,10 +97,10 @@ def register_missing_cows(matched: DataFrame, export: DataFrame, cows: DataFrame
     d = missing.join(ex, "ID", "left")
     d = d.select(
         F.coalesce(F.col("Nombre"), F.col("ID")).alias("Nombre_Vaca"),
-        F.col("Id. Electr?ica").alias("ElectronicID"),
+        F.col("`Id. Electr?ica`").alias("ElectronicID"),
         recode("Raza", BREED_IDS).try_cast("int").alias("Raza"),
         recode("Sexo/ tipo", SEX_IDS).try_cast("int").alias("Sexo"),
-        F.coalesce(F.col("Madre "), F.col("Madre gen.")).alias("_madre"),
+        F.coalesce(F.col("Madre "), F.col("`Madre gen.`")).alias("_madre"),
         F.lit(REGISTER_DATE).cast("date").alias("FechaRegistro"),
         F.to_date(parse_date("Nacimiento", "dd/MM/yyyy")).alias("FechaNacimiento"),
         F.col("Padre").try_cast("long").alias("Sire"),

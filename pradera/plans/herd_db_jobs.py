@@ -35,7 +35,7 @@ class DetailSpec:
     type_case: Mapping[int, int] | None = None     # OperationType -> activity type (CASE)
     type_default: int | None = None
     type_const: int | None = None
-    result_case: Mapping[int, int] | None = None
+    result_case: Mapping[int, int] | None = None   # OperationType -> result (CASE on the type)
     result_default: int | None = None
     result_const: int | None = None
     officer_case: bool = True
@@ -81,7 +81,8 @@ def activities_extract(operations: DataFrame, spec: DetailSpec) -> DataFrame:
     acts = ops.select(
         F.col("ID").alias("Old_ID_Actividad"), F.col("Animal").alias("ID_VACA"),
         _pick("OperationType", spec.type_case, spec.type_default, spec.type_const).cast("int").alias("ID_TipoOperacion"),
-        _pick("Result", spec.result_case, spec.result_default, spec.result_const).cast("int").alias("ID_Resultado"),
+        _pick("OperationType" if spec.result_case else "Result", spec.result_case, spec.result_default,
+              spec.result_const).cast("int").alias("ID_Resultado"),
         officer.cast("int").alias("ID_OPERARIO"),
         _pick("OperationType", spec.category_case, spec.category_default, spec.category_const).cast("int").alias("ID_Categoria"),
         F.col("Date").alias("Fecha"), F.col("Remarks").alias("Comentario")).distinct()

@@ -87,7 +87,7 @@ def test_split_sector(spark):
     df = spark.createDataFrame([("LOTE 1,2:3,4",), ("JUNCAL 5",)], "s string")
     r = df.select(split_sector("s").alias("x")).collect()
     assert r[0].x.head == "LOTE 1,2" and r[0].x.after == ["3", "4"] and r[0].x.numbers == ["1", "2"]
-    assert r[1].x.after is None and r[1].x.numbers == ["5"]
+    assert r[1].x.after == [] and r[1].x.numbers == ["5"]
 
 
 def test_recodes(spark):
