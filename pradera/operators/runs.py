@@ -69,25 +69,23 @@ def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity:
     })
     ff = {f"_ff_{c}": c for c in fill}
     ff.update({"ultimo_pastoreo": "_up", "ultimo_animales": "_ua"})
+    # One scan: both counters come out already zero->null and forward filled
+    # (``run_fills``); the rest counter counts the key's first row as a reset.
     d = ordered_scan(
         d, key, order, chunk,
-        runs={"_rest": F.when(F.col("_g"), 0).otherwise(1), "_graze": F.when(F.col("_g"), 1).otherwise(0)},
-        sums={"_ng": F.when(F.col("_g"), 1).otherwise(0)},
-        ffill=ff, lags={"_prev_act": (activity, 1)}, row_number="_pos", keep_chunk=True)
+        run_fills={"dias_de_pastoreo": (F.when(F.col("_g"), 1).otherwise(0), False),
+                   "dias_sin_pastoreo": (F.when(F.col("_g"), 0).otherwise(1), True)},
+        ffill=ff, lags={"_prev_act": (activity, 1)}, row_number="_pos")
     d = d.withColumns({
         "lote_change": F.col("_pos") == 1,
         "actividad_change": F.coalesce(F.col(activity) == F.col("_prev_act"), F.lit(False)),
-        # first row of the key counts as a reset for the rest counter
-        "_sin": F.nullif(F.col("_rest") - F.when(F.col("_ng") == 0, 1).otherwise(0), F.lit(0)),
-        "_de": F.nullif(F.col("_graze"), F.lit(0)),
     })
     for c in fill:
         d = d.withColumn(c, F.col(f"_ff_{c}"))
-    d = d.drop("_rest", "_graze", "_ng", "_prev_act", "_pos", "_up", "_ua", *ff.keys() - {"ultimo_pastoreo", "ultimo_animales"})
-    d = ordered_scan(d, key, order, CHUNK, ffill={"dias_de_pastoreo": "_de", "dias_sin_pastoreo": "_sin"})
+    d = d.drop("_prev_act", "_pos", "_up", "_ua", *[f"_ff_{c}" for c in fill])
     if paddock_output:
         d = d.withColumn("dias_sin_pastoreo", F.when(F.col("_g"), F.lit(0)).otherwise(F.col("dias_sin_pastoreo")))
-    return d.drop("_de", "_sin", "_g", CHUNK)
+    return d.drop("_g")
 
 
 def previous_run_values(df: DataFrame, key: Sequence[str], order, chunk, *, activity: str,

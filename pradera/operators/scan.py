@@ -19,6 +19,10 @@ Supported outputs (all equal to the unbounded-preceding window on the key):
              count that resets at 0; a row with value 0 gives 0)
 * ``ffill``  last non-null value at or before the row
 * ``lags``   value ``k`` rows earlier (``k`` small)
+* ``run_fills``  ``{name: (value, reset_at_start)}``: the run (as ``runs``)
+             with zeros turned to null and then forward filled, i.e. the run
+             length at the last non-zero row; ``reset_at_start`` counts the
+             key's first row as a zero
 * ``row_number``  1-based position of the row in its key
 
 Rows with a null key get null outputs (a pandas ``groupby`` drops null keys).
@@ -60,11 +64,13 @@ def ordered_scan(
     runs: Mapping[str, Column | str] | None = None,
     ffill: Mapping[str, Column | str] | None = None,
     lags: Mapping[str, tuple[Column | str, int]] | None = None,
+    run_fills: Mapping[str, tuple[Column | str, bool]] | None = None,
     row_number: str | None = None,
     keep_chunk: bool = False,
 ) -> DataFrame:
     """Add scan outputs to ``df``; see the module doc. ``order`` must be total within a key."""
     sums, runs, ffill, lags = dict(sums or {}), dict(runs or {}), dict(ffill or {}), dict(lags or {})
+    run_fills = dict(run_fills or {})
     keys = list(keys)
     order = [_c(o) for o in order]
     part = keys + [CHUNK]
@@ -80,6 +86,8 @@ def ordered_scan(
         inputs[f"_vf_{n}"] = _c(c)
     for n, (c, _k) in lags.items():
         inputs[f"_vl_{n}"] = _c(c)
+    for n, (c, _r) in run_fills.items():
+        inputs[f"_vq_{n}"] = F.coalesce(_c(c), F.lit(0))
     if inputs:
         d = d.withColumns(inputs)
     # One explicit shuffle on (key, chunk): the windows, the chunk summary and
@@ -100,7 +108,36 @@ def ordered_scan(
         local[f"_ll_{n}"] = F.lag(f"_vl_{n}", k).over(wl)
     if lags:
         local["_cnt"] = F.count(F.lit(1)).over(Window.partitionBy(*part))
+    for n, (_c0, reset) in run_fills.items():
+        local[f"_lq_{n}"] = F.sum(f"_vq_{n}").over(wlr)
+        if reset:
+            local[f"_v1_{n}"] = F.first(f"_vq_{n}").over(wlr)
     d = d.withColumns(local)
+    if run_fills:
+        # plain variant, and for reset_at_start a variant where the chunk's
+        # first row counts as a zero (used only in the key's first chunk)
+        rq = {}
+        for n, (_c0, reset) in run_fills.items():
+            v, lq = F.col(f"_vq_{n}"), F.col(f"_lq_{n}")
+            rq[f"_lzq_{n}"] = F.last(F.when(v == 0, lq), ignorenulls=True).over(wlr)
+            if reset:
+                lqf = lq - F.col(f"_v1_{n}")
+                rq[f"_lqf_{n}"] = lqf
+                rq[f"_lzqf_{n}"] = F.last(F.when((v == 0) | (F.col("_rn") == 1), lqf), ignorenulls=True).over(wlr)
+        d = d.withColumns(rq)
+        # at the last non-zero row so far: its local sum (a) and the local sum
+        # at its last zero (b; -1 when the chunk had no zero before it)
+        rs = {}
+        for n, (_c0, reset) in run_fills.items():
+            v = F.col(f"_vq_{n}")
+            rs[f"_lsa_{n}"] = F.last(F.when(v != 0, F.col(f"_lq_{n}")), ignorenulls=True).over(wlr)
+            rs[f"_lsb_{n}"] = F.last(F.when(v != 0, F.coalesce(F.col(f"_lzq_{n}"), F.lit(-1))),
+                                     ignorenulls=True).over(wlr)
+            if reset:
+                hit = (v != 0) & (F.col("_rn") != 1)
+                rs[f"_lsaf_{n}"] = F.last(F.when(hit, F.col(f"_lqf_{n}")), ignorenulls=True).over(wlr)
+                rs[f"_lsbf_{n}"] = F.last(F.when(hit, F.col(f"_lzqf_{n}")), ignorenulls=True).over(wlr)
+        d = d.withColumns(rs)
     if runs:
         # local sum at the last zero at or before the row (within the chunk)
         d = d.withColumns({
@@ -120,6 +157,16 @@ def ordered_scan(
         tail = F.collect_list(F.when(F.col("_rn") > F.col("_cnt") - k,
                                      F.struct(F.col("_rn").alias("rn"), F.col(f"_vl_{n}").alias("v"))))
         aggs.append(F.transform(F.array_sort(tail), lambda s: s["v"]).alias(f"_te_{n}"))
+    for n, (_c0, reset) in run_fills.items():
+        aggs.append(F.sum(f"_vq_{n}").alias(f"_tq_{n}"))
+        aggs.append(F.max_by(f"_lzq_{n}", "_rn").alias(f"_zeq_{n}"))
+        aggs.append(F.max_by(f"_lsa_{n}", "_rn").alias(f"_sea_{n}"))
+        aggs.append(F.max_by(f"_lsb_{n}", "_rn").alias(f"_seb_{n}"))
+        if reset:
+            aggs.append((F.sum(f"_vq_{n}") - F.min_by(f"_vq_{n}", "_rn")).alias(f"_tqf_{n}"))
+            aggs.append(F.max_by(f"_lzqf_{n}", "_rn").alias(f"_zeqf_{n}"))
+            aggs.append(F.max_by(f"_lsaf_{n}", "_rn").alias(f"_seaf_{n}"))
+            aggs.append(F.max_by(f"_lsbf_{n}", "_rn").alias(f"_sebf_{n}"))
     s = d.groupBy(*part).agg(*aggs)
 
     wc = Window.partitionBy(*keys).orderBy(CHUNK)
@@ -139,7 +186,25 @@ def ordered_scan(
         s = s.withColumns({f"_zg_{n}": F.col(f"_crs_{n}") + F.col(f"_ze_{n}") for n in runs})
         s = s.withColumns({f"_cz_{n}": F.coalesce(F.last(f"_zg_{n}", ignorenulls=True).over(wcp), F.lit(0))
                            for n in runs})
-    keep = part + [c for c in s.columns if c.startswith(("_cn", "_cs_", "_crs_", "_cf_", "_cl_", "_cz_"))]
+    if run_fills:
+        first_chunk = F.col("_cn") == 0
+        eff = {}
+        for n, (_c0, reset) in run_fills.items():
+            for k in ("tq", "zeq", "sea", "seb"):
+                eff[f"_e{k}_{n}"] = F.when(first_chunk, F.col(f"_{k}f_{n}")).otherwise(F.col(f"_{k}_{n}")) \
+                    if reset else F.col(f"_{k}_{n}")
+        s = s.withColumns(eff)
+        s = s.withColumns({f"_cqs_{n}": F.coalesce(F.sum(f"_etq_{n}").over(wcp), F.lit(0)) for n in run_fills})
+        s = s.withColumns({f"_zgq_{n}": F.col(f"_cqs_{n}") + F.col(f"_ezeq_{n}") for n in run_fills})
+        s = s.withColumns({f"_cqz_{n}": F.coalesce(F.last(f"_zgq_{n}", ignorenulls=True).over(wcp), F.lit(0))
+                           for n in run_fills})
+        # run length at the chunk start, and the filled value at the chunk end
+        s = s.withColumns({f"_cqr_{n}": F.col(f"_cqs_{n}") - F.col(f"_cqz_{n}") for n in run_fills})
+        s = s.withColumns({f"_qend_{n}": F.when(F.col(f"_esea_{n}").isNotNull(), F.when(
+            F.col(f"_eseb_{n}") < 0, F.col(f"_esea_{n}") + F.col(f"_cqr_{n}")).otherwise(
+            F.col(f"_esea_{n}") - F.col(f"_eseb_{n}"))) for n in run_fills})
+        s = s.withColumns({f"_cqf_{n}": F.last(f"_qend_{n}", ignorenulls=True).over(wcp) for n in run_fills})
+    keep = part + [c for c in s.columns if c.startswith(("_cn", "_cs_", "_crs_", "_cf_", "_cl_", "_cz_", "_cqr_", "_cqf_"))]
     s = s.select(*keep)
 
     j = d.join(s, on=part, how="left")
@@ -158,6 +223,14 @@ def ordered_scan(
     for n, (_c0, k) in lags.items():
         outs[n] = F.when(F.col("_rn") > k, F.col(f"_ll_{n}")).otherwise(
             F.try_element_at(F.col(f"_cl_{n}"), -(F.lit(k) - F.col("_rn") + 1)))
+    for n, (_c0, reset) in run_fills.items():
+        if reset:
+            la = F.when(F.col("_cn") == 0, F.col(f"_lsaf_{n}")).otherwise(F.col(f"_lsa_{n}"))
+            lb = F.when(F.col("_cn") == 0, F.col(f"_lsbf_{n}")).otherwise(F.col(f"_lsb_{n}"))
+        else:
+            la, lb = F.col(f"_lsa_{n}"), F.col(f"_lsb_{n}")
+        outs[n] = F.when(la.isNotNull(), F.when(lb < 0, la + F.col(f"_cqr_{n}")).otherwise(la - lb)).otherwise(
+            F.col(f"_cqf_{n}"))
     if row_number:
         outs[row_number] = F.col("_cn") + F.col("_rn")
     if keys:
@@ -172,7 +245,7 @@ def ordered_scan(
 
 
 def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
-                     sums=None, runs=None, ffill=None, lags=None, row_number=None) -> DataFrame:
+                     sums=None, runs=None, ffill=None, lags=None, row_number=None, run_fills=None) -> DataFrame:
     """Single-window version of ``ordered_scan`` (one task per key): for tests and small data."""
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -192,4 +265,13 @@ def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         w2 = Window.partitionBy(*keys, "_g").orderBy(*[_c(o) for o in order]).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         d = d.withColumn(n, F.sum(v).over(w2)).drop("_g")
+    for n, (c, reset) in (run_fills or {}).items():
+        v = F.coalesce(_c(c), F.lit(0))
+        if reset:
+            v = F.when(F.row_number().over(w) == 1, F.lit(0)).otherwise(v)
+        d = d.withColumn("_v", v).withColumn("_g", F.sum(F.when(F.col("_v") == 0, 1).otherwise(0)).over(wr))
+        w2 = Window.partitionBy(*keys, "_g").orderBy(*[_c(o) for o in order]).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        d = d.withColumn("_r", F.nullif(F.sum("_v").over(w2), F.lit(0)))
+        d = d.withColumn(n, F.last("_r", ignorenulls=True).over(wr)).drop("_g", "_v", "_r")
     return d

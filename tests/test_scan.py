@@ -24,17 +24,18 @@ def _cmp(a, b, cols):
     assert x == y
 
 
-@pytest.mark.parametrize("seed,width", [(0, 1), (1, 3), (2, 7), (3, 100)])
+@pytest.mark.parametrize("seed,width", [(0, 1), (1, 3), (2, 7), (3, 100), (4, 2), (5, 5)])
 def test_scan_matches_window(spark, seed, width):
     df = spark.createDataFrame(_rows(seed), "rid long, k long, t int, f int, x double")
     spec = dict(sums={"s": "f"}, runs={"r": "f"}, ffill={"ff": "x"}, lags={"l1": ("x", 1), "l3": ("rid", 3)},
-                row_number="rn")
+                run_fills={"q": ("f", False), "qr": ("f", True)}, row_number="rn")
     order = ["t", "rid"]
     a = ordered_scan(df, ["k"], order, value_chunk("t", width), **spec)
     b = window_reference(df, ["k"], order, **spec)
     # rows with a null key get null outputs from the chunked scan
-    b = b.withColumns({c: F.when(F.col("k").isNotNull(), F.col(c)) for c in ["s", "r", "ff", "l1", "l3", "rn"]})
-    _cmp(a, b, ["rid", "s", "r", "ff", "l1", "l3", "rn"])
+    outs = ["s", "r", "ff", "l1", "l3", "q", "qr", "rn"]
+    b = b.withColumns({c: F.when(F.col("k").isNotNull(), F.col(c)) for c in outs})
+    _cmp(a, b, ["rid", *outs])
 
 
 def test_global_numbering_is_dense_and_ordered(spark):
