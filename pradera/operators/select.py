@@ -84,7 +84,7 @@ def skip_first(df: DataFrame, row_id: str = "row_id") -> DataFrame:
 def above_mark(df: DataFrame, col: str, mark_from: DataFrame, mark_col: str | None = None) -> DataFrame:
     """Rows with ``col`` above the maximum of ``mark_from`` (scalar subquery, no driver trip)."""
     mark = mark_from.select(F.max(mark_col or col)).scalar()
-    return df.filter(F.col(col) > F.coalesce(mark, F.lit(None)))
+    return df.filter(F.col(col) > mark)
 
 
 def any_of(*conds: Column) -> Column:

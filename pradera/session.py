@@ -6,7 +6,6 @@ checkpoint folder, and only when the cluster did not name one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,4 +64,4 @@ def local_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "local_path", "os"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "local_path"]

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from pradera import schemas
 from pradera.plans import cattle_jobs as C

@@ -1,6 +1,5 @@
 """Paddock jobs against a brute-force sequential reading of the same rules."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 

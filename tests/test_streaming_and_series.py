@@ -1,7 +1,6 @@
 """Streaming milk totals, band series and soil chemistry jobs."""
 
 import datetime as dt
-import tempfile
 
 from pyspark.sql import functions as F
 
