@@ -54,6 +54,25 @@ def _c(x):
     return F.col(x) if isinstance(x, str) else x
 
 
+def with_balanced_chunks(df: DataFrame, keys: Sequence[str], day: Column | str, target_rows: int = 1_000_000,
+                         name: str = CHUNK) -> DataFrame:
+    """Add a chunk column sized by rows instead of calendar width.
+
+    Rows per (key, day) are counted with a partial aggregate; per key, the
+    running count over days (a table of keys x days rows) cuts the days into
+    chunks of about ``target_rows`` rows; the (key, day) -> chunk map is joined
+    back.  A busy key gets many short chunks, a quiet one a few long ones.
+    Chunks never split a day, so one day of one key is the unit of work.
+    """
+    dcol = F.to_date(_c(day))
+    d = df.withColumn("_cday", dcol)
+    counts = d.groupBy(*keys, "_cday").agg(F.count(F.lit(1)).alias("_dn"))
+    w = Window.partitionBy(*keys).orderBy("_cday").rowsBetween(Window.unboundedPreceding, -1)
+    cmap = counts.withColumn(name, F.floor(F.coalesce(F.sum("_dn").over(w), F.lit(0)) / F.lit(target_rows))) \
+                 .drop("_dn")
+    return d.join(cmap, on=[*keys, "_cday"], how="left").drop("_cday")
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],

@@ -17,7 +17,7 @@ from ..operators.aggregate import herd_day_totals, last_non_null_by_group, lates
 from ..operators.calendar import date_bounds, key_days
 from ..operators.reshape import unpivot
 from ..operators.runs import grazing_state, movement_path, previous_run_values, since_last, zero_on
-from ..operators.scan import day_chunk
+from ..operators.scan import CHUNK, day_chunk, with_balanced_chunks
 from ..operators.select import not_equal_keep_null
 from ..session import cut_lineage
 from ..sources.sinks import patch_payload
@@ -103,7 +103,7 @@ def paddock_output(tracked: DataFrame) -> DataFrame:
                   "LECHE TOTAL", "LECHE VACA", "lote_change", "actividad_change")
 
 
-def herd_tracking(tracked: DataFrame):
+def herd_tracking(tracked: DataFrame, herd_chunk_rows: int = 1_000_000):
     """(seguimiento_hatos, lag_lotes).  Grazing rows per paddock get the
     previous run's animals and length (W7); per herd, change points of the
     paddock give the 1-3 previous paddocks (W8 W9), unpivoted (R1 F3)."""
@@ -114,9 +114,11 @@ def herd_tracking(tracked: DataFrame):
     tracked = cut_lineage(tracked)
     prev = previous_run_values(tracked, ["lote_id"], order(), chunk, activity="ACTIVIDAD", grazing=GRAZING)
     herd = cut_lineage(prev.filter(F.col("HATO").isNotNull()))
-    path = movement_path(herd, ["HATO"], [F.col("date"), F.col("lote_id"), F.col("row_id")], day_chunk("date", CHUNK_DAYS),
+    # a farm has a handful of herds, each with many rows: chunk them by rows
+    herd = with_balanced_chunks(herd, ["HATO"], "date", herd_chunk_rows)
+    path = movement_path(herd, ["HATO"], [F.col("date"), F.col("lote_id"), F.col("row_id")], CHUNK,
                          place="lote_c", row_id="row_id")
-    hatos = path.drop("name_c", "FECHA ACTIVIDAD", "ACTIVIDAD", "PRODUCTO", "DIAS ANTIGUEDAD PASTOS", "lote_change",
+    hatos = path.drop(CHUNK, "name_c", "FECHA ACTIVIDAD", "ACTIVIDAD", "PRODUCTO", "DIAS ANTIGUEDAD PASTOS", "lote_change",
                       "actividad_change", "ultimo_pastoreo", "ultimo_animales")
     solo = unpivot(hatos.select("date", "HATO", "lote_c", "lag_1", "lag_2", "lag_3"), ["date", "HATO"],
                    ["lote_c", "lag_1", "lag_2", "lag_3"])

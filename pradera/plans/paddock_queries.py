@@ -20,7 +20,7 @@ from ..operators.calendar import dense_grid
 from ..operators.reshape import unpivot
 from ..operators.runs import (forward_fill, grazing_state, movement_path, previous_run_values,
                               run_sum_reset, since_last)
-from ..operators.scan import day_chunk
+from ..operators.scan import CHUNK, day_chunk, with_balanced_chunks
 from ..functions.recode import recode_with_fallback
 from ..functions.codes import herd_label
 from ..sources.tables import table
@@ -205,9 +205,13 @@ def _herd_rows(spark, sf):
                     F.col("user_id").alias("lote"), F.to_date("ts").alias("date"), "ts", "event_id")
 
 
+# Few herds hold many rows each: chunks are cut by row counts, not by calendar.
+HERD_CHUNK_ROWS = 2000
+
+
 def _path(spark, sf):
-    h = _herd_rows(spark, sf)
-    return movement_path(h, ["herd"], order(), _chunk(), place="lote", row_id="event_id", depth=3)
+    h = with_balanced_chunks(_herd_rows(spark, sf), ["herd"], "date", HERD_CHUNK_ROWS)
+    return movement_path(h, ["herd"], order(), CHUNK, place="lote", row_id="event_id", depth=3)
 
 
 def q_path_lags(spark, sf):

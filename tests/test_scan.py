@@ -64,3 +64,17 @@ def test_no_unpartitioned_window_on_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_balanced_chunks_match_window(spark):
+    from pradera.operators.scan import CHUNK, with_balanced_chunks
+    rows = [(i, 1 if i % 3 else 2, i // 7, 0 if i % 11 == 0 else 1) for i in range(600)]   # key 1 is hot
+    df = spark.createDataFrame(rows, "rid long, k long, day int, f int").withColumn(
+        "d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")))
+    c = with_balanced_chunks(df, ["k"], "d", target_rows=25)
+    per_key = {r.k: r.n for r in c.groupBy("k").agg(F.countDistinct(CHUNK).alias("n")).collect()}
+    assert per_key[1] > per_key[2] > 1                      # the hot key gets more chunks
+    spec = dict(runs={"r": "f"}, lags={"l2": ("rid", 2)}, row_number="rn", run_fills={"q": ("f", True)})
+    a = ordered_scan(c, ["k"], ["d", "rid"], CHUNK, **spec)
+    b = window_reference(df, ["k"], ["d", "rid"], **spec)
+    _cmp(a, b, ["rid", "r", "l2", "rn", "q"])
