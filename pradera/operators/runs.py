@@ -37,21 +37,27 @@ def since_last(df: DataFrame, key: Sequence[str], order, chunk, activity: str,
     run of 1-flags (zeros kept, ``defa=1``).  One scan serves all names: the
     run from the key start is shortened by one until the first match.
     """
-    runs = {}
-    sums = {}
+    runs, sums = _since_specs(activity, names)
+    d = ordered_scan(df, key, order, chunk, runs=runs, sums=sums)
+    return d.withColumns(_since_outputs(names, prefix)).drop(*[f"_r_{n}" for n in names], *[f"_m_{n}" for n in names])
+
+
+def _since_specs(activity: str, names: Sequence[str]):
+    runs, sums = {}, {}
     for n in names:
         hit = F.col(activity).eqNullSafe(F.lit(n))
         runs[f"_r_{n}"] = F.when(hit, 0).otherwise(1)
         sums[f"_m_{n}"] = F.when(hit, 1).otherwise(0)
-    d = ordered_scan(df, key, order, chunk, runs=runs, sums=sums)
-    out = {f"{prefix}{n.lower()}": F.col(f"_r_{n}") - F.when(F.col(f"_m_{n}") == 0, 1).otherwise(0)
-           for n in names}
-    return d.withColumns(out).drop(*[f"_r_{n}" for n in names], *[f"_m_{n}" for n in names])
+    return runs, sums
+
+
+def _since_outputs(names: Sequence[str], prefix: str):
+    return {f"{prefix}{n.lower()}": F.col(f"_r_{n}") - F.when(F.col(f"_m_{n}") == 0, 1).otherwise(0) for n in names}
 
 
 def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity: str, date: str,
                   animals: str, grazing: str = "PASTOREO", fill: Sequence[str] = (),
-                  paddock_output: bool = True) -> DataFrame:
+                  paddock_output: bool = True, since: Sequence[str] = (), since_prefix: str = "dias_sin_") -> DataFrame:
     """W2 W3 W4 W6 W11 and trap T9, the full row-state chain.
 
     Adds lote_change, actividad_change, ultimo_pastoreo, ultimo_animales,
@@ -60,6 +66,7 @@ def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity:
     ``ultimo_*`` columns, so a resting day shows the last grazing run length
     and a grazing day the last rest length; ``paddock_output`` then sets
     dias_sin_pastoreo to 0 on grazing rows (the herd output keeps it).
+    ``since`` adds the W5 rows-since counters of those activities in the same scan.
     """
     g = F.col(activity).eqNullSafe(F.lit(grazing))
     d = df.withColumns({
@@ -75,7 +82,10 @@ def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity:
         d, key, order, chunk,
         run_fills={"dias_de_pastoreo": (F.when(F.col("_g"), 1).otherwise(0), False),
                    "dias_sin_pastoreo": (F.when(F.col("_g"), 0).otherwise(1), True)},
-        ffill=ff, lags={"_prev_act": (activity, 1)}, row_number="_pos")
+        ffill=ff, lags={"_prev_act": (activity, 1)}, row_number="_pos",
+        runs=_since_specs(activity, since)[0], sums=_since_specs(activity, since)[1])
+    d = d.withColumns(_since_outputs(since, since_prefix)).drop(
+        *[f"_r_{n}" for n in since], *[f"_m_{n}" for n in since])
     d = d.withColumns({
         "lote_change": F.col("_pos") == 1,
         "actividad_change": F.coalesce(F.col(activity) == F.col("_prev_act"), F.lit(False)),

@@ -16,7 +16,7 @@ from ..functions.text import parse_date, safe_ratio
 from ..operators.aggregate import herd_day_totals, last_non_null_by_group, latest_by
 from ..operators.calendar import date_bounds, key_days
 from ..operators.reshape import unpivot
-from ..operators.runs import grazing_state, movement_path, previous_run_values, since_last, zero_on
+from ..operators.runs import grazing_state, movement_path, previous_run_values, zero_on
 from ..operators.scan import CHUNK, day_chunk, with_balanced_chunks
 from ..operators.select import not_equal_keep_null
 from ..session import cut_lineage
@@ -91,9 +91,10 @@ def daily_tracking(clean: DataFrame, lotes: DataFrame) -> DataFrame:
     facts = clean.withColumn("_day", F.to_date("FECHA ACTIVIDAD"))
     full = grid.join(facts, (grid["name_c"] == facts["lote_c"]) & (grid["date"] == facts["_day"]), "left").drop("_day")
     chunk = day_chunk("date", CHUNK_DAYS)
-    st = grazing_state(full, ["lote_id"], order(), chunk, activity="ACTIVIDAD", date="date",
-                       animals="NUMERO ANIMALES", grazing=GRAZING, fill=["TIPO DE FORRAJE"], paddock_output=False)
-    return since_last(st, ["lote_id"], order(), chunk, "ACTIVIDAD", OTHER_ACTIVITIES)
+    # one ordered scan: grazing state and the rows-since counters together
+    return grazing_state(full, ["lote_id"], order(), chunk, activity="ACTIVIDAD", date="date",
+                         animals="NUMERO ANIMALES", grazing=GRAZING, fill=["TIPO DE FORRAJE"], paddock_output=False,
+                         since=OTHER_ACTIVITIES)
 
 
 def paddock_output(tracked: DataFrame) -> DataFrame:

@@ -59,3 +59,33 @@ def test_soil_chemistry(spark):
     assert sorted(str(r.FECHA) for r in changes.collect()) == ["2024-01-01", "2024-01-03"]
     s = stats.first()
     assert s.total_cells > 0 and 0 <= s.na_ratio <= 1
+
+
+def test_streaming_drops_rows_behind_the_watermark(spark, tmp_path):
+    """Append mode emits a day once the watermark passes it; a later row for that day is dropped."""
+    from pradera.plans import paddock_jobs as J
+    schema = J.clean_log(paddock_log(spark), start=None).schema
+    src = tmp_path / "src"
+
+    def batch(rows, name):
+        df = spark.createDataFrame(rows, "ACTIVIDAD string, HATO string, `NUMERO ANIMALES` int, `LECHE TOTAL` double, "
+                                         "`FECHA ACTIVIDAD` timestamp")
+        df.write.parquet(str(src / name))
+
+    import datetime as dt
+    d = dt.datetime
+    batch([("PASTOREO", "RECODO 1", 10, 50.0, d(2024, 1, 1, 8))], "b0")
+    stream = spark.readStream.schema(spark.read.parquet(str(src / "b0")).schema).option("recursiveFileLookup", "true") \
+        .parquet(str(src))
+    q = milk_totals(stream, "1 day").writeStream.outputMode("append").format("memory").queryName("late_out").start()
+    q.processAllAvailable()
+    batch([("PASTOREO", "RECODO 1", 5, 20.0, d(2024, 1, 5, 8))], "b1")      # moves the watermark to Jan 4
+    q.processAllAvailable()
+    batch([("PASTOREO", "RECODO 1", 7, 30.0, d(2024, 1, 1, 9))], "b2")      # late for Jan 1: dropped
+    q.processAllAvailable()
+    batch([("PASTOREO", "RECODO 1", 1, 1.0, d(2024, 1, 9, 8))], "b3")       # closes Jan 5
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((str(r.FECHA_ACTIVIDAD), r.Numero_Animales, r.Leche_Total) for r in spark.sql("SELECT * FROM late_out").collect())
+    assert got == [("2024-01-01", 10, 50.0), ("2024-01-05", 5, 20.0)]
+    assert schema is not None
