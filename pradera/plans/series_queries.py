@@ -1,7 +1,9 @@
 """Satellite-band series (B20) and soil-chemistry fill (B21) on ``events``.
 
-Stand-ins: paddock = ``user_id``; band = ``event_type``; band mean =
-``value``; soil element columns = the value of each event type.  The
+Stand-ins: paddock = ``user_id``; band = ``event_type``; the band's daily
+value = the day's largest ``value`` of that type (a satellite band has one
+value per paddock, band and day, so every per-month list is bounded by the
+days of the month); soil element columns = the value of each event type.  The
 calendar runs from the first to the last event day; days before ``START``
 are cut before the join (trap T13: a value dated earlier is not carried in).
 """
@@ -27,13 +29,14 @@ CHUNK_DAYS = 8
 
 
 def _band_grid(spark, sf, start=START):
-    """B20 front: (paddock, band) x days, left joined with the band values, from ``start`` on."""
+    """B20 front: (paddock, band) x days, left joined with the daily band values, from ``start`` on."""
     e = table(spark, sf, "events").select(
-        "user_id", F.col("event_type").alias("band"), F.to_date("ts").alias("day"), "ts", "event_id", "value")
+        "user_id", F.col("event_type").alias("band"), F.to_date("ts").alias("day"), "value")
+    daily = e.groupBy("user_id", "band", "day").agg(F.max("value").alias("value"))
     lo, hi = date_bounds(e, "day")
-    grid = key_days(e, ["user_id", "band"], lo, hi, "date")
+    grid = key_days(daily, ["user_id", "band"], lo, hi, "date")
     grid = grid.filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
-    f = e.withColumnsRenamed({"user_id": "_u", "band": "_b"})
+    f = daily.withColumnsRenamed({"user_id": "_u", "band": "_b"})
     j = grid.join(f, (F.col("user_id") == F.col("_u")) & (F.col("band") == F.col("_b")) & (F.col("date") == F.col("day")),
                   "left")
     return j.drop("_u", "_b", "day")
@@ -46,22 +49,22 @@ def _vals_text(arr):
 def q_band_series(spark, sf):
     """A9 long form: per paddock, month and band, the values in date order (nulls kept)."""
     g = _band_grid(spark, sf).withColumn("ym", format_date("date", "yyyy-MM"))
-    st = F.struct(F.col("date"), F.col("ts"), F.col("event_id"), F.col("value"))
+    st = F.struct(F.col("date"), F.col("value"))
     per = g.groupBy("user_id", "ym", "band").agg(F.array_sort(F.collect_list(st)).alias("_l"))
     return per.select("user_id", "ym", "band", _vals_text(F.transform("_l", lambda s: s["value"])).alias("vals"))
 
 
 SQL_BAND = f"""b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
 cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b),
-k AS (SELECT DISTINCT user_id, event_type AS band FROM events),
-g AS (SELECT k.user_id, k.band, cal.date, e.ts, e.event_id, e.value, strftime(cal.date, '%Y-%m') AS ym
-  FROM k CROSS JOIN cal LEFT JOIN events e
-    ON e.user_id = k.user_id AND e.event_type = k.band AND CAST(e.ts AS DATE) = cal.date
+dv AS (SELECT user_id, event_type AS band, CAST(ts AS DATE) AS day, max(value) AS value FROM events GROUP BY ALL),
+k AS (SELECT DISTINCT user_id, band FROM dv),
+g AS (SELECT k.user_id, k.band, cal.date, e.value, strftime(cal.date, '%Y-%m') AS ym
+  FROM k CROSS JOIN cal LEFT JOIN dv e ON e.user_id = k.user_id AND e.band = k.band AND e.day = cal.date
   WHERE cal.date >= {START_SQL})"""
 
 SQL["band_series"] = f"""WITH {SQL_BAND}
 SELECT user_id, ym, band,
-  string_agg(coalesce(CAST(value AS VARCHAR), 'null'), ',' ORDER BY date, ts NULLS FIRST, event_id NULLS FIRST) AS vals
+  string_agg(coalesce(CAST(value AS VARCHAR), 'null'), ',' ORDER BY date) AS vals
 FROM g GROUP BY user_id, ym, band"""
 
 
@@ -80,17 +83,17 @@ FROM g GROUP BY user_id, ym"""
 def q_band_filter(spark, sf):
     """The band-filtered rows the function returns."""
     g = _band_grid(spark, sf).filter(F.col("band").isin("click", "view"))
-    return g.select("user_id", "band", format_date("date", "yyyy-MM-dd").alias("date"), "event_id", "value")
+    return g.select("user_id", "band", format_date("date", "yyyy-MM-dd").alias("date"), "value")
 
 
 SQL["band_filter"] = f"""WITH {SQL_BAND}
-SELECT user_id, band, strftime(date, '%Y-%m-%d') AS date, event_id, value FROM g WHERE band IN ('click', 'view')"""
+SELECT user_id, band, strftime(date, '%Y-%m-%d') AS date, value FROM g WHERE band IN ('click', 'view')"""
 
 
 def q_band_series_doc(spark, sf):
     """K4: one JSON document per paddock and month (keys sorted)."""
     g = _band_grid(spark, sf).withColumns({"ym": format_date("date", "yyyy-MM"), "day": format_date("date", "yyyy-MM-dd")})
-    docs = nested_series(g, ["user_id"], "ym", "band", ["date", "ts", "event_id"], "value", "day")
+    docs = nested_series(g, ["user_id"], "ym", "band", ["date"], "value", "day")
     return nested_documents(docs.withColumn("key", F.concat_ws("/", F.col("user_id").cast("string"), "ym")), "key")
 
 
