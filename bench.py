@@ -22,7 +22,7 @@ HEADLINE = [
     "calendar_grid", "since_all_types", "grazing_state", "prev_run_values", "path_lags", "path_unpivot",
     "herd_daily_sum", "forage_current", "band_series", "fill_and_thresh",
     "reconcile_counts", "new_activity_ids", "keep_last", "group_size_filter", "fk_remap", "zip_rows",
-    "dup_report", "comment_category", "split_explode", "code_pad",
+    "dup_report", "comment_category", "split_explode", "code_pad", "job_daily_tracking", "job_herd_milk",
 ]
 
 

@@ -105,11 +105,9 @@ def previous_run_values(df: DataFrame, key: Sequence[str], order, chunk, *, acti
     """Grazing rows only; on the first row of each grazing run take the
     previous grazing row's values, then forward fill within the key."""
     gz = df.filter(F.col(activity).eqNullSafe(F.lit(grazing)))
-    d = ordered_scan(gz, key, order, chunk, lags={f"_p_{c}": (c, 1) for c in cols}, keep_chunk=True)
     start = ~F.col(same)
-    d = d.withColumns({f"_s_{c}": F.when(start, F.col(f"_p_{c}")) for c in cols})
-    d = ordered_scan(d, key, order, CHUNK, ffill={f"{prefix}{c}": f"_s_{c}" for c in cols})
-    return d.drop(*[f"_p_{c}" for c in cols], *[f"_s_{c}" for c in cols], CHUNK)
+    d = ordered_scan(gz, key, order, chunk, lag_fills={f"{prefix}{c}": (c, start) for c in cols})
+    return d
 
 
 def movement_path(df: DataFrame, herd: Sequence[str], order, chunk, *, place: str, row_id: str,

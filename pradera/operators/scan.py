@@ -23,6 +23,8 @@ Supported outputs (all equal to the unbounded-preceding window on the key):
              with zeros turned to null and then forward filled, i.e. the run
              length at the last non-zero row; ``reset_at_start`` counts the
              key's first row as a zero
+* ``lag_fills``  ``{name: (value, start)}``: on a ``start`` row the value of
+             the row before it, forward filled (last non-null) over the key
 * ``row_number``  1-based position of the row in its key
 
 Rows with a null key get null outputs (a pandas ``groupby`` drops null keys).
@@ -84,12 +86,14 @@ def ordered_scan(
     ffill: Mapping[str, Column | str] | None = None,
     lags: Mapping[str, tuple[Column | str, int]] | None = None,
     run_fills: Mapping[str, tuple[Column | str, bool]] | None = None,
+    lag_fills: Mapping[str, tuple[Column | str, Column | str]] | None = None,
     row_number: str | None = None,
     keep_chunk: bool = False,
 ) -> DataFrame:
     """Add scan outputs to ``df``; see the module doc. ``order`` must be total within a key."""
     sums, runs, ffill, lags = dict(sums or {}), dict(runs or {}), dict(ffill or {}), dict(lags or {})
     run_fills = dict(run_fills or {})
+    lag_fills = dict(lag_fills or {})
     keys = list(keys)
     order = [_c(o) for o in order]
     part = keys + [CHUNK]
@@ -107,6 +111,9 @@ def ordered_scan(
         inputs[f"_vl_{n}"] = _c(c)
     for n, (c, _r) in run_fills.items():
         inputs[f"_vq_{n}"] = F.coalesce(_c(c), F.lit(0))
+    for n, (c, st) in lag_fills.items():
+        inputs[f"_vg_{n}"] = _c(c)
+        inputs[f"_sg_{n}"] = F.coalesce(_c(st).cast("boolean"), F.lit(False))
     if inputs:
         d = d.withColumns(inputs)
     # One explicit shuffle on (key, chunk): the windows, the chunk summary and
@@ -127,6 +134,9 @@ def ordered_scan(
         local[f"_ll_{n}"] = F.lag(f"_vl_{n}", k).over(wl)
     if lags:
         local["_cnt"] = F.count(F.lit(1)).over(Window.partitionBy(*part))
+    for n in lag_fills:
+        local[f"_lg_{n}"] = F.lag(f"_vg_{n}", 1).over(wl)
+        local[f"_fs_{n}"] = F.first(f"_sg_{n}").over(wlr)          # is the chunk's first row a start
     for n, (_c0, reset) in run_fills.items():
         local[f"_lq_{n}"] = F.sum(f"_vq_{n}").over(wlr)
         if reset:
@@ -157,6 +167,10 @@ def ordered_scan(
                 rs[f"_lsaf_{n}"] = F.last(F.when(hit, F.col(f"_lqf_{n}")), ignorenulls=True).over(wlr)
                 rs[f"_lsbf_{n}"] = F.last(F.when(hit, F.col(f"_lzqf_{n}")), ignorenulls=True).over(wlr)
         d = d.withColumns(rs)
+    if lag_fills:
+        # value before the latest start row inside the chunk (first row excluded), filled
+        d = d.withColumns({f"_lgf_{n}": F.last(F.when(F.col(f"_sg_{n}") & (F.col("_rn") > 1), F.col(f"_lg_{n}")),
+                                               ignorenulls=True).over(wlr) for n in lag_fills})
     if runs:
         # local sum at the last zero at or before the row (within the chunk)
         d = d.withColumns({
@@ -176,6 +190,10 @@ def ordered_scan(
         tail = F.collect_list(F.when(F.col("_rn") > F.col("_cnt") - k,
                                      F.struct(F.col("_rn").alias("rn"), F.col(f"_vl_{n}").alias("v"))))
         aggs.append(F.transform(F.array_sort(tail), lambda s: s["v"]).alias(f"_te_{n}"))
+    for n in lag_fills:
+        aggs.append(F.max_by(f"_lgf_{n}", "_rn").alias(f"_gend_{n}"))
+        aggs.append(F.max_by(f"_vg_{n}", "_rn").alias(f"_glast_{n}"))
+        aggs.append(F.min_by(f"_sg_{n}", "_rn").alias(f"_gfs_{n}"))
     for n, (_c0, reset) in run_fills.items():
         aggs.append(F.sum(f"_vq_{n}").alias(f"_tq_{n}"))
         aggs.append(F.max_by(f"_lzq_{n}", "_rn").alias(f"_zeq_{n}"))
@@ -223,7 +241,13 @@ def ordered_scan(
             F.col(f"_eseb_{n}") < 0, F.col(f"_esea_{n}") + F.col(f"_cqr_{n}")).otherwise(
             F.col(f"_esea_{n}") - F.col(f"_eseb_{n}"))) for n in run_fills})
         s = s.withColumns({f"_cqf_{n}": F.last(f"_qend_{n}", ignorenulls=True).over(wcp) for n in run_fills})
-    keep = part + [c for c in s.columns if c.startswith(("_cn", "_cs_", "_crs_", "_cf_", "_cl_", "_cz_", "_cqr_", "_cqf_"))]
+    if lag_fills:
+        s = s.withColumns({f"_gpl_{n}": F.lag(f"_glast_{n}", 1).over(wc) for n in lag_fills})
+        s = s.withColumns({f"_gown_{n}": F.coalesce(F.col(f"_gend_{n}"), F.when(F.col(f"_gfs_{n}"), F.col(f"_gpl_{n}")))
+                           for n in lag_fills})
+        s = s.withColumns({f"_cgf_{n}": F.last(f"_gown_{n}", ignorenulls=True).over(wcp) for n in lag_fills})
+    keep = part + [c for c in s.columns if c.startswith(("_cn", "_cs_", "_crs_", "_cf_", "_cl_", "_cz_", "_cqr_", "_cqf_",
+                                                          "_gpl_", "_cgf_"))]
     s = s.select(*keep)
 
     j = d.join(s, on=part, how="left")
@@ -250,6 +274,8 @@ def ordered_scan(
             la, lb = F.col(f"_lsa_{n}"), F.col(f"_lsb_{n}")
         outs[n] = F.when(la.isNotNull(), F.when(lb < 0, la + F.col(f"_cqr_{n}")).otherwise(la - lb)).otherwise(
             F.col(f"_cqf_{n}"))
+    for n in lag_fills:
+        outs[n] = F.coalesce(F.col(f"_lgf_{n}"), F.when(F.col(f"_fs_{n}"), F.col(f"_gpl_{n}")), F.col(f"_cgf_{n}"))
     if row_number:
         outs[row_number] = F.col("_cn") + F.col("_rn")
     if keys:
@@ -264,7 +290,8 @@ def ordered_scan(
 
 
 def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
-                     sums=None, runs=None, ffill=None, lags=None, row_number=None, run_fills=None) -> DataFrame:
+                     sums=None, runs=None, ffill=None, lags=None, row_number=None, run_fills=None,
+                     lag_fills=None) -> DataFrame:
     """Single-window version of ``ordered_scan`` (one task per key): for tests and small data."""
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -284,6 +311,9 @@ def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         w2 = Window.partitionBy(*keys, "_g").orderBy(*[_c(o) for o in order]).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         d = d.withColumn(n, F.sum(v).over(w2)).drop("_g")
+    for n, (c, st) in (lag_fills or {}).items():
+        d = d.withColumn("_lv", F.when(F.coalesce(_c(st).cast("boolean"), F.lit(False)), F.lag(_c(c), 1).over(w)))
+        d = d.withColumn(n, F.last("_lv", ignorenulls=True).over(wr)).drop("_lv")
     for n, (c, reset) in (run_fills or {}).items():
         v = F.coalesce(_c(c), F.lit(0))
         if reset:
