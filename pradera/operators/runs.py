@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .scan import CHUNK, ordered_scan
 
 
@@ -111,12 +112,17 @@ def previous_run_values(df: DataFrame, key: Sequence[str], order, chunk, *, acti
 
 
 def movement_path(df: DataFrame, herd: Sequence[str], order, chunk, *, place: str, row_id: str,
-                  depth: int = 3, prefix: str = "lag_") -> DataFrame:
+                  depth: int = 3, prefix: str = "lag_", cut: bool = True) -> DataFrame:
     """W8 + W9: per herd, keep change points (place differs from the previous
     row, first row included), take the 1..depth previous places over the
-    change points and spread them forward to every herd row."""
+    change points and spread them forward to every herd row.
+
+    Three chained scans; with ``cut`` the change-point frame is checkpointed
+    into the shared checkpoint folder so the later scans do not recompute it."""
     d = ordered_scan(df, herd, order, chunk, lags={"_prev": (place, 1)}, keep_chunk=True)
     d = d.withColumn("_cp", ~F.col(place).eqNullSafe(F.col("_prev")))
+    if cut:
+        d = cut_lineage(d)
     cps = ordered_scan(d.filter("_cp"), herd, order, CHUNK,
                        lags={f"_l{k}": (place, k) for k in range(1, depth + 1)}, keep_chunk=True)
     rest = d.filter(~F.col("_cp")).withColumns({f"_l{k}": F.lit(None).cast(df.schema[place].dataType)
