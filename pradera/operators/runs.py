@@ -34,26 +34,23 @@ def since_last(df: DataFrame, key: Sequence[str], order, chunk, activity: str,
                names: Sequence[str], prefix: str = "dias_sin_") -> DataFrame:
     """Rows since the last row with each activity name; 0 on that row and on the key's first row.
 
-    ``flag = 0 if first row or activity == name else 1`` and the output is the
-    run of 1-flags (zeros kept, ``defa=1``).  One scan serves all names: the
-    run from the key start is shortened by one until the first match.
+    Equal to the run of ``flag = 0 if first row or activity == name else 1``
+    (zeros kept, ``defa=1``), computed as the row's position minus the
+    position of the last match (the first row counting as one); one scan
+    serves all names.
     """
-    runs, sums = _since_specs(activity, names)
-    d = ordered_scan(df, key, order, chunk, runs=runs, sums=sums)
-    return d.withColumns(_since_outputs(names, prefix)).drop(*[f"_r_{n}" for n in names], *[f"_m_{n}" for n in names])
+    d = ordered_scan(df, key, order, chunk, last_pos=_since_specs(activity, names), row_number="_pos")
+    return d.withColumns(_since_outputs(names, prefix)).drop("_pos", *[f"_p_{n}" for n in names])
 
 
 def _since_specs(activity: str, names: Sequence[str]):
-    runs, sums = {}, {}
-    for n in names:
-        hit = F.col(activity).eqNullSafe(F.lit(n))
-        runs[f"_r_{n}"] = F.when(hit, 0).otherwise(1)
-        sums[f"_m_{n}"] = F.when(hit, 1).otherwise(0)
-    return runs, sums
+    """``last_pos`` inputs: the position of the last row with each activity."""
+    return {f"_p_{n}": F.col(activity).eqNullSafe(F.lit(n)) for n in names}
 
 
-def _since_outputs(names: Sequence[str], prefix: str):
-    return {f"{prefix}{n.lower()}": F.col(f"_r_{n}") - F.when(F.col(f"_m_{n}") == 0, 1).otherwise(0) for n in names}
+def _since_outputs(names: Sequence[str], prefix: str, pos: str = "_pos"):
+    """Rows since the last match; the key's first row counts as a match (position 1)."""
+    return {f"{prefix}{n.lower()}": F.col(pos) - F.coalesce(F.col(f"_p_{n}"), F.lit(1)) for n in names}
 
 
 def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity: str, date: str,
@@ -83,10 +80,8 @@ def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity:
         d, key, order, chunk,
         run_fills={"dias_de_pastoreo": (F.when(F.col("_g"), 1).otherwise(0), False),
                    "dias_sin_pastoreo": (F.when(F.col("_g"), 0).otherwise(1), True)},
-        ffill=ff, lags={"_prev_act": (activity, 1)}, row_number="_pos",
-        runs=_since_specs(activity, since)[0], sums=_since_specs(activity, since)[1])
-    d = d.withColumns(_since_outputs(since, since_prefix)).drop(
-        *[f"_r_{n}" for n in since], *[f"_m_{n}" for n in since])
+        ffill=ff, lags={"_prev_act": (activity, 1)}, row_number="_pos", last_pos=_since_specs(activity, since))
+    d = d.withColumns(_since_outputs(since, since_prefix)).drop(*[f"_p_{n}" for n in since])
     d = d.withColumns({
         "lote_change": F.col("_pos") == 1,
         "actividad_change": F.coalesce(F.col(activity) == F.col("_prev_act"), F.lit(False)),

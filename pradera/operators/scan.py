@@ -25,6 +25,8 @@ Supported outputs (all equal to the unbounded-preceding window on the key):
              key's first row as a zero
 * ``lag_fills``  ``{name: (value, start)}``: on a ``start`` row the value of
              the row before it, forward filled (last non-null) over the key
+* ``last_pos``  ``{name: condition}``: position (as ``row_number``) of the
+             last row at or before this one where the condition holds, else null
 * ``row_number``  1-based position of the row in its key
 
 Rows with a null key get null outputs (a pandas ``groupby`` drops null keys).
@@ -87,6 +89,7 @@ def ordered_scan(
     lags: Mapping[str, tuple[Column | str, int]] | None = None,
     run_fills: Mapping[str, tuple[Column | str, bool]] | None = None,
     lag_fills: Mapping[str, tuple[Column | str, Column | str]] | None = None,
+    last_pos: Mapping[str, Column | str] | None = None,
     row_number: str | None = None,
     keep_chunk: bool = False,
 ) -> DataFrame:
@@ -94,6 +97,7 @@ def ordered_scan(
     sums, runs, ffill, lags = dict(sums or {}), dict(runs or {}), dict(ffill or {}), dict(lags or {})
     run_fills = dict(run_fills or {})
     lag_fills = dict(lag_fills or {})
+    last_pos = dict(last_pos or {})
     keys = list(keys)
     order = [_c(o) for o in order]
     part = keys + [CHUNK]
@@ -111,6 +115,8 @@ def ordered_scan(
         inputs[f"_vl_{n}"] = _c(c)
     for n, (c, _r) in run_fills.items():
         inputs[f"_vq_{n}"] = F.coalesce(_c(c), F.lit(0))
+    for n, c in last_pos.items():
+        inputs[f"_vp_{n}"] = F.coalesce(_c(c).cast("boolean"), F.lit(False))
     for n, (c, st) in lag_fills.items():
         inputs[f"_vg_{n}"] = _c(c)
         inputs[f"_sg_{n}"] = F.coalesce(_c(st).cast("boolean"), F.lit(False))
@@ -123,7 +129,7 @@ def ordered_scan(
 
     wl = Window.partitionBy(*part).orderBy(*order)
     wlr = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = {"_rn": F.row_number().over(wl)}
+    local = {}
     for n in sums:
         local[f"_ls_{n}"] = F.sum(f"_vs_{n}").over(wlr)
     for n in runs:
@@ -134,6 +140,9 @@ def ordered_scan(
         local[f"_ll_{n}"] = F.lag(f"_vl_{n}", k).over(wl)
     if lags:
         local["_cnt"] = F.count(F.lit(1)).over(Window.partitionBy(*part))
+    d = d.withColumn("_rn", F.row_number().over(wl))
+    for n in last_pos:
+        local[f"_lp_{n}"] = F.last(F.when(F.col(f"_vp_{n}"), F.col("_rn")), ignorenulls=True).over(wlr)
     for n in lag_fills:
         local[f"_lg_{n}"] = F.lag(f"_vg_{n}", 1).over(wl)
         local[f"_fs_{n}"] = F.first(f"_sg_{n}").over(wlr)          # is the chunk's first row a start
@@ -190,6 +199,8 @@ def ordered_scan(
         tail = F.collect_list(F.when(F.col("_rn") > F.col("_cnt") - k,
                                      F.struct(F.col("_rn").alias("rn"), F.col(f"_vl_{n}").alias("v"))))
         aggs.append(F.transform(F.array_sort(tail), lambda s: s["v"]).alias(f"_te_{n}"))
+    for n in last_pos:
+        aggs.append(F.max(F.when(F.col(f"_vp_{n}"), F.col("_rn"))).alias(f"_pm_{n}"))
     for n in lag_fills:
         aggs.append(F.max_by(f"_lgf_{n}", "_rn").alias(f"_gend_{n}"))
         aggs.append(F.max_by(f"_vg_{n}", "_rn").alias(f"_glast_{n}"))
@@ -217,6 +228,10 @@ def ordered_scan(
         carry[f"_cf_{n}"] = F.last(f"_fe_{n}", ignorenulls=True).over(wcp)
     for n, (_c0, k) in lags.items():
         carry[f"_cl_{n}"] = F.flatten(F.collect_list(f"_te_{n}").over(wc.rowsBetween(-k, -1)))
+    for n in last_pos:
+        carry[f"_cp_{n}"] = F.last(F.col("_cn_self") + F.col(f"_pm_{n}"), ignorenulls=True).over(wcp)
+    if last_pos:
+        s = s.withColumn("_cn_self", F.coalesce(F.sum("_n").over(wcp), F.lit(0)))
     s = s.withColumns(carry)
     if runs:
         # global running sum at the chunk's last zero, then carried forward
@@ -247,7 +262,7 @@ def ordered_scan(
                            for n in lag_fills})
         s = s.withColumns({f"_cgf_{n}": F.last(f"_gown_{n}", ignorenulls=True).over(wcp) for n in lag_fills})
     keep = part + [c for c in s.columns if c.startswith(("_cn", "_cs_", "_crs_", "_cf_", "_cl_", "_cz_", "_cqr_", "_cqf_",
-                                                          "_gpl_", "_cgf_"))]
+                                                          "_gpl_", "_cgf_", "_cp_"))]
     s = s.select(*keep)
 
     j = d.join(s, on=part, how="left")
@@ -276,6 +291,8 @@ def ordered_scan(
             F.col(f"_cqf_{n}"))
     for n in lag_fills:
         outs[n] = F.coalesce(F.col(f"_lgf_{n}"), F.when(F.col(f"_fs_{n}"), F.col(f"_gpl_{n}")), F.col(f"_cgf_{n}"))
+    for n in last_pos:
+        outs[n] = F.coalesce(F.col("_cn") + F.col(f"_lp_{n}"), F.col(f"_cp_{n}"))
     if row_number:
         outs[row_number] = F.col("_cn") + F.col("_rn")
     if keys:
@@ -291,7 +308,7 @@ def ordered_scan(
 
 def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
                      sums=None, runs=None, ffill=None, lags=None, row_number=None, run_fills=None,
-                     lag_fills=None) -> DataFrame:
+                     lag_fills=None, last_pos=None) -> DataFrame:
     """Single-window version of ``ordered_scan`` (one task per key): for tests and small data."""
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -311,6 +328,9 @@ def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         w2 = Window.partitionBy(*keys, "_g").orderBy(*[_c(o) for o in order]).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         d = d.withColumn(n, F.sum(v).over(w2)).drop("_g")
+    for n, c in (last_pos or {}).items():
+        d = d.withColumn(n, F.last(F.when(F.coalesce(_c(c).cast("boolean"), F.lit(False)), F.row_number().over(w)),
+                                   ignorenulls=True).over(wr))
     for n, (c, st) in (lag_fills or {}).items():
         d = d.withColumn("_lv", F.when(F.coalesce(_c(st).cast("boolean"), F.lit(False)), F.lag(_c(c), 1).over(w)))
         d = d.withColumn(n, F.last("_lv", ignorenulls=True).over(wr)).drop("_lv")

@@ -24,7 +24,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # no Python call-site capture per Column call (a JVM round trip each)
+          .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()

@@ -29,12 +29,13 @@ def test_scan_matches_window(spark, seed, width):
     df = spark.createDataFrame(_rows(seed), "rid long, k long, t int, f int, x double")
     spec = dict(sums={"s": "f"}, runs={"r": "f"}, ffill={"ff": "x"}, lags={"l1": ("x", 1), "l3": ("rid", 3)},
                 run_fills={"q": ("f", False), "qr": ("f", True)}, row_number="rn",
-                lag_fills={"g": ("x", F.col("f") == 0), "g2": ("rid", F.col("f") != 1)})
+                lag_fills={"g": ("x", F.col("f") == 0), "g2": ("rid", F.col("f") != 1)},
+                last_pos={"p": F.col("f") == 0, "p2": F.col("x").isNotNull()})
     order = ["t", "rid"]
     a = ordered_scan(df, ["k"], order, value_chunk("t", width), **spec)
     b = window_reference(df, ["k"], order, **spec)
     # rows with a null key get null outputs from the chunked scan
-    outs = ["s", "r", "ff", "l1", "l3", "q", "qr", "rn", "g", "g2"]
+    outs = ["s", "r", "ff", "l1", "l3", "q", "qr", "rn", "g", "g2", "p", "p2"]
     b = b.withColumns({c: F.when(F.col("k").isNotNull(), F.col(c)) for c in outs})
     _cmp(a, b, ["rid", *outs])
 
