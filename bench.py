@@ -32,11 +32,7 @@ def main():
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = sys.argv[1:] or HEADLINE
     spark = get_spark(f"local[{cpus}]", int(cpus) * 2)
-    # The bench tables are a few MB: let AQE keep shuffle partitions small
-    # enough that every core gets work (cluster defaults are left alone).
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize",
-                   os.environ.get("BENCH_MIN_PARTITION", "128k"))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("BENCH_ADVISORY", "1m"))
+
     qs = catalog.queries()
     times = {}
     for name in only:
