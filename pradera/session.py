@@ -37,7 +37,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a local one only when none is named."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     cur = sc.getCheckpointDir()
     if cur:
         return cur
@@ -52,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir")
     return f"{base}/pradera-{name}-{uuid.uuid4().hex[:12]}"
 
 
