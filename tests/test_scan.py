@@ -80,3 +80,21 @@ def test_balanced_chunks_match_window(spark):
     a = ordered_scan(c, ["k"], ["d", "rid"], CHUNK, **spec)
     b = window_reference(df, ["k"], ["d", "rid"], **spec)
     _cmp(a, b, ["rid", "r", "l2", "rn", "q"])
+
+
+def test_hot_key_is_split_across_tasks(spark):
+    """One key holds a third of all rows: its rows spread over many (key, chunk) groups."""
+    n = 3000
+    df = spark.range(0, n).select(
+        F.col("id").alias("rid"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("k"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("d"),
+        (F.col("id") % 4 == 0).cast("int").alias("f"))
+    out = ordered_scan(df, ["k"], ["d", "rid"], day_chunk("d", 7), runs={"r": "f"}, keep_chunk=True)
+    groups = out.filter("k = 0").select("_chunk").distinct().count()
+    assert groups >= 12                                   # 90 days / 7-day chunks
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and "_chunk" in plan
+    # no exchange partitions the rows by the key alone
+    import re
+    assert not re.search(r"hashpartitioning\(k#\d+L?, \d+\), REPARTITION", plan)
