@@ -122,9 +122,10 @@ def ordered_scan(
         inputs[f"_sg_{n}"] = F.coalesce(_c(st).cast("boolean"), F.lit(False))
     if inputs:
         d = d.withColumns(inputs)
-    # One explicit shuffle on (key, chunk): the windows, the chunk summary and
-    # the join back all read it (the exchange is reused), so a chain of scans
-    # stays linear instead of recomputing every earlier scan in each branch.
+    # One explicit shuffle on (key, chunk): it puts an exchange between chained
+    # scans.  The rows and the chunk summary both read it; Spark reuses it when
+    # both need the same columns, otherwise the summary side shuffles a
+    # narrower copy of the input (README, "Known cost of the two-pass scan").
     d = d.repartition(*part)
 
     wl = Window.partitionBy(*part).orderBy(*order)
