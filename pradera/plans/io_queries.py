@@ -23,12 +23,12 @@ CUSTOMER = T.StructType([
     T.StructField("c_mktsegment", T.StringType()),
 ])
 LOTES = T.StructType([
-    T.StructField("ID_FINCA", T.IntegerType()), T.StructField("ID_LOTE", T.IntegerType()),
+    T.StructField("ID_FINCA", T.IntegerType()), T.StructField("ID_LOTE", T.LongType()),
     T.StructField("NOMBRE_LOTE", T.StringType()), T.StructField("LATITUD", T.DoubleType()),
     T.StructField("LONGITUD", T.DoubleType()),
 ])
 HATOS = T.StructType([
-    T.StructField("ID_FINCA", T.IntegerType()), T.StructField("ID_HATO", T.IntegerType()),
+    T.StructField("ID_FINCA", T.IntegerType()), T.StructField("ID_HATO", T.LongType()),
     T.StructField("Nombre_Hato", T.StringType()), T.StructField("TIPO_Hato", T.StringType()),
 ])
 
@@ -44,43 +44,45 @@ SQL["csv_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mkts
 
 
 def q_json_dims(spark, sf):
-    """The nation table landed as a paddock API dump (one object per line), read back."""
-    n = table(spark, sf, "nation")
-    dump = n.select(F.col("n_regionkey").alias("ID_FINCA"), F.col("n_nationkey").alias("ID_LOTE"),
-                    F.col("n_name").alias("NOMBRE_LOTE"))
+    """The customer table landed as a paddock API dump (one object per line), read back."""
+    c = table(spark, sf, "customer")
+    dump = c.select(F.col("c_nationkey").alias("ID_FINCA"), F.col("c_custkey").alias("ID_LOTE"),
+                    F.col("c_name").alias("NOMBRE_LOTE"), F.col("c_acctbal").alias("LATITUD"))
     path = scratch_path(spark, "json")
     dump.write.mode("overwrite").json(path)
     return paddocks(spark, path, LOTES, coords=True)
 
 
-SQL["json_dims"] = """SELECT n_regionkey AS Finca, n_nationkey AS lote_id, n_name AS nombre_lote,
-  CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y FROM nation"""
+SQL["json_dims"] = """SELECT c_nationkey AS Finca, c_custkey AS lote_id, c_name AS nombre_lote,
+  c_acctbal AS x, CAST(NULL AS DOUBLE) AS y FROM customer"""
 
 
 def q_json_herds(spark, sf):
-    """The region table landed as a herd API dump, read back."""
-    r = table(spark, sf, "region")
-    dump = r.select(F.lit(1).alias("ID_FINCA"), F.col("r_regionkey").alias("ID_HATO"),
-                    F.col("r_name").alias("Nombre_Hato"), F.lit("LECHE").alias("TIPO_Hato"))
+    """The supplier table landed as a herd API dump, read back."""
+    s = table(spark, sf, "supplier")
+    dump = s.select(F.col("s_nationkey").alias("ID_FINCA"), F.col("s_suppkey").alias("ID_HATO"),
+                    F.col("s_name").alias("Nombre_Hato"),
+                    F.when(F.col("s_acctbal") < 0, "SECAS").otherwise("LECHE").alias("TIPO_Hato"))
     path = scratch_path(spark, "json")
     dump.write.mode("overwrite").json(path)
     return herds(spark, path, HATOS)
 
 
-SQL["json_herds"] = "SELECT 1 AS Finca, r_regionkey AS hato_id, r_name AS nombre_hato, 'LECHE' AS tipo_hato FROM region"
+SQL["json_herds"] = """SELECT s_nationkey AS Finca, s_suppkey AS hato_id, s_name AS nombre_hato,
+  CASE WHEN s_acctbal < 0 THEN 'SECAS' ELSE 'LECHE' END AS tipo_hato FROM supplier"""
 
 
 def q_append_overwrite(spark, sf):
-    """K2 then K1 twice: replace with region, append region again."""
+    """K2 then K1: replace with the supplier table (twice), append it once more."""
     path = scratch_path(spark, "parquet")
-    r = table(spark, sf, "region")
+    r = table(spark, sf, "supplier")
     replace(r, path)
     replace(r, path)
     append(r, path)
     return spark.read.parquet(path)
 
 
-SQL["append_overwrite"] = "SELECT * FROM region UNION ALL SELECT * FROM region"
+SQL["append_overwrite"] = "SELECT * FROM supplier UNION ALL SELECT * FROM supplier"
 
 
 QUERIES = {

@@ -56,8 +56,8 @@ SOIL = _s(("row_id", L), ("FINCA", S), ("SECTOR", S), ("FECHA", S), ("N", D), ("
 
 # ---- API dumps -----------------------------------------------------------------
 CLIENTS = _s(("ID_CLIENTE", I))
-LOTES = _s(("ID_FINCA", I), ("ID_LOTE", I), ("NOMBRE_LOTE", S), ("LATITUD", D), ("LONGITUD", D))
-HATOS = _s(("ID_FINCA", I), ("ID_HATO", I), ("Nombre_Hato", S), ("TIPO_Hato", S))
+LOTES = _s(("ID_FINCA", I), ("ID_LOTE", L), ("NOMBRE_LOTE", S), ("LATITUD", D), ("LONGITUD", D))
+HATOS = _s(("ID_FINCA", I), ("ID_HATO", L), ("Nombre_Hato", S), ("TIPO_Hato", S))
 
 # ---- stored target tables ---------------------------------------------------------
 VACAS = _s(("ID_VACA", L), ("ID_CLIENTE", I), ("ID_FINCA", I), ("ElectronicID", S), ("Nombre_Vaca", S), ("Raza", I),
