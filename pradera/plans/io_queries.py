@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from ..sources.files import herds, paddocks, read_csv
+from ..schemas import CLIENTS
+from ..sources.files import client_ids, herds, paddocks, read_csv
 from ..sources.sinks import append, export_csv, replace
 from ..sources.tables import table
 
@@ -85,7 +86,18 @@ def q_append_overwrite(spark, sf):
 SQL["append_overwrite"] = "SELECT * FROM supplier UNION ALL SELECT * FROM supplier"
 
 
+def q_json_clients(spark, sf):
+    """The client-id list landed as a JSON dump (one object per line), read back."""
+    path = scratch_path(spark, "json")
+    table(spark, sf, "customer").select(F.col("c_custkey").alias("ID_CLIENTE")).write.mode("overwrite").json(path)
+    return client_ids(spark, path, CLIENTS)
+
+
+SQL["json_clients"] = "SELECT c_custkey AS ID_CLIENTE FROM customer"
+
+
 QUERIES = {
+    "json_clients": q_json_clients,
     "csv_roundtrip": q_csv_roundtrip,
     "json_dims": q_json_dims,
     "json_herds": q_json_herds,

@@ -55,7 +55,7 @@ BANDS = _s(("lote_id", L), ("name_c", S), ("band", S), ("date", TS), ("mean_valu
 SOIL = _s(("row_id", L), ("FINCA", S), ("SECTOR", S), ("FECHA", S), ("N", D), ("P", D), ("K", D), ("CA", D), ("MG", D))
 
 # ---- API dumps -----------------------------------------------------------------
-CLIENTS = _s(("ID_CLIENTE", I))
+CLIENTS = _s(("ID_CLIENTE", L))
 LOTES = _s(("ID_FINCA", I), ("ID_LOTE", L), ("NOMBRE_LOTE", S), ("LATITUD", D), ("LONGITUD", D))
 HATOS = _s(("ID_FINCA", I), ("ID_HATO", L), ("Nombre_Hato", S), ("TIPO_Hato", S))
 
