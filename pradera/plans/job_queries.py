@@ -1,6 +1,13 @@
-"""The paddock jobs themselves, run on ``events`` landed as a paddock log.
+"""The jobs themselves, run on the shared tables landed as their inputs.
 
-Mapping: every user is a paddock of farm EL RECODO (POTRERO = user id);
+Paddock jobs (B6, B10) run on ``events`` landed as a paddock log; the
+herd-database diagnosis load (B12) runs on ``orders`` landed as the
+operations extract (priority -> operation type, customer -> cow, customer
+key mod 30 / 25 -> result / officer) and ``lineitem`` as its detail rows,
+with ``nation`` as the result map and the largest supplier key as the id mark.
+
+Paddock mapping:
+every user is a paddock of farm EL RECODO (POTRERO = user id);
 ``purchase`` -> PASTOREO, ``click`` -> FUMIGADA, ``signup`` -> SIEMBRA,
 ``view`` -> ABONADA, ``error`` -> ROTOBO; animals = floor(value); milk =
 value; herd = RECODO 1..3 / JUNCAL / ISLA by user id; forage by value;
@@ -13,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import pad_suffix, paddock_code
 from ..sources.tables import table
+from . import herd_db_jobs as H
 from . import paddock_jobs as J
 
 SQL = {}
@@ -131,7 +139,76 @@ SELECT CAST(id AS INTEGER) AS ID_HATO, CASE WHEN id IS NULL THEN hato END AS HAT
 FROM m GROUP BY id, CASE WHEN id IS NULL THEN hato END, fecha"""
 
 
+# --------------------------------------------------------------------------- B12 on orders / line items
+# fixed values of the stand-in: order priority -> herd-database operation type
+PRIORITY_OPERATION = {"1-URGENT": 91, "2-HIGH": 92, "3-MEDIUM": 96, "4-NOT SPECIFIED": 106, "5-LOW": 23}
+
+
+def _operations(spark, sf):
+    o = table(spark, sf, "orders")
+    op = None
+    for k, v in PRIORITY_OPERATION.items():
+        op = F.when(F.col("o_orderpriority") == k, v) if op is None else op.when(F.col("o_orderpriority") == k, v)
+    return o.select(F.col("o_orderkey").alias("ID"), F.col("o_custkey").alias("Animal"), op.alias("OperationType"),
+                    (F.col("o_custkey") % 30).cast("int").alias("Result"),
+                    (F.col("o_custkey") % 25).cast("int").alias("Officer"), F.col("o_orderdate").alias("Date"),
+                    F.col("o_orderstatus").alias("Remarks"), F.lit(1).alias("Done"))
+
+
+def _diagnosis(spark, sf):
+    li = table(spark, sf, "lineitem")
+    detail = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID"), F.col("l_suppkey").alias("Animal"),
+                       F.col("l_linenumber").alias("Result"), F.floor("l_quantity").cast("int").alias("Days"),
+                       F.col("l_partkey").alias("Service"), F.col("l_orderkey").alias("OpID"))
+    cows = table(spark, sf, "customer").select(F.col("c_custkey").alias("ID_VACA"), F.col("c_name").alias("Nombre_Vaca"))
+    stored = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ID_Actividad"))
+    rmap = table(spark, sf, "nation").select(F.col("n_nationkey").alias("ID"), F.col("n_regionkey").alias("id_resultado_M4A"))
+    return H.detail_load(_operations(spark, sf), detail, stored, cows, H.DIAGNOSIS, result_map=rmap)
+
+
+def q_job_diagnosis_activities(spark, sf):
+    """Activities of the diagnosis extract with their new ids."""
+    a = _diagnosis(spark, sf)["activities"]
+    return a.select("ID_Actividad", "ID_VACA", "ID_TipoOperacion", F.col("ID_Resultado").cast("int").alias("ID_Resultado"),
+                    "ID_OPERARIO", "ID_Categoria", F.date_format("Fecha", "yyyy-MM-dd").alias("Fecha"), "Comentario")
+
+
+def q_job_diagnosis_detail(spark, sf):
+    """Diagnosis detail rows pointing at the new activity ids."""
+    return _diagnosis(spark, sf)["detail"].select("IDdiagpre", "ID_VACA", "ID_Resultado", "Dias", "ID_servicio",
+                                                  "ID_ACTIVIDAD")
+
+
+SQL_DIAG = """ops AS (SELECT o_orderkey AS Old_ID, o_custkey AS ID_VACA,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 91 WHEN '2-HIGH' THEN 92 WHEN '3-MEDIUM' THEN 96
+      WHEN '4-NOT SPECIFIED' THEN 106 ELSE 23 END AS op,
+    CAST(o_custkey % 30 AS INTEGER) AS res, CAST(o_custkey % 25 AS INTEGER) AS off, o_orderdate AS Fecha,
+    o_orderstatus AS Comentario FROM orders),
+acts AS (SELECT DISTINCT Old_ID, ID_VACA,
+    CAST(CASE op WHEN 91 THEN 7 WHEN 92 THEN 4 WHEN 93 THEN 5 WHEN 96 THEN 3 WHEN 101 THEN 3 WHEN 102 THEN 5 ELSE 6 END
+      AS INTEGER) AS ID_TipoOperacion, res,
+    CAST(CASE off WHEN 3 THEN 33 WHEN 7 THEN 25 WHEN 12 THEN 36 WHEN 13 THEN 9 WHEN 15 THEN 9 WHEN 17 THEN 7
+      WHEN 19 THEN 2 WHEN 20 THEN 23 ELSE 35 END AS INTEGER) AS ID_OPERARIO,
+    18 AS ID_Categoria, Fecha, Comentario
+  FROM ops WHERE op IN (91, 92, 93, 96, 101, 102, 106)),
+ids AS (SELECT a.*, CAST(coalesce(n.n_regionkey, 34) AS INTEGER) AS ID_Resultado,
+    (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY Old_ID) AS ID_Actividad
+  FROM acts a LEFT JOIN nation n ON a.res = n.n_nationkey)"""
+
+SQL["job_diagnosis_activities"] = f"""WITH {SQL_DIAG}
+SELECT ID_Actividad, ID_VACA, ID_TipoOperacion, ID_Resultado, ID_OPERARIO, ID_Categoria,
+  strftime(Fecha, '%Y-%m-%d') AS Fecha, Comentario FROM ids"""
+
+SQL["job_diagnosis_detail"] = f"""WITH {SQL_DIAG},
+d AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS IDdiagpre, l_suppkey AS ID_VACA, l_linenumber AS ID_Resultado,
+    CAST(floor(l_quantity) AS INTEGER) AS Dias, l_partkey AS ID_servicio, l_orderkey AS op_id FROM lineitem)
+SELECT d.IDdiagpre, d.ID_VACA, d.ID_Resultado, d.Dias, d.ID_servicio, ids.ID_Actividad AS ID_ACTIVIDAD
+FROM d LEFT JOIN ids ON d.op_id = ids.Old_ID"""
+
+
 QUERIES = {
     "job_daily_tracking": q_job_daily_tracking,
     "job_herd_milk": q_job_herd_milk,
+    "job_diagnosis_activities": q_job_diagnosis_activities,
+    "job_diagnosis_detail": q_job_diagnosis_detail,
 }
