@@ -114,7 +114,7 @@ def register_missing_cows(matched: DataFrame, export: DataFrame, cows: DataFrame
 
 
 def duplicate_report(matched: DataFrame, cows: DataFrame) -> DataFrame:
-    """Rows whose name occurs more than once, with both registrations (``duplicados.csv``)."""
+    """Rows whose name occurs more than once, with both registrations (the duplicate-name report)."""
     d = matched.filter(F.col("duplicados") > 1).select("ID_VACA", "Nombre_Vaca", "row_id")
     d = keep_last(d, ["ID_VACA", "Nombre_Vaca"], ["row_id"]).drop("row_id")
     return enrich(d, cows, ["ID_VACA"])

@@ -93,8 +93,13 @@ def activities_extract(operations: DataFrame, spec: DetailSpec) -> DataFrame:
     return acts
 
 
+# Map tables are data passed in by the caller: result map (ID, id_resultado_destino), operation-type map
+# (OperationType, id_tipo_destino), breed map (ID, id_raza_destino), older result map (ID_RESUL_IH,
+# id_resultado_destino, id_categoria_destino).
+
+
 def detail_load(operations: DataFrame, detail: DataFrame | None, stored: DataFrame, cows: DataFrame, spec: DetailSpec,
-                result_map: DataFrame | None = None, result_key: str = "ID", result_value: str = "id_resultado_M4A",
+                result_map: DataFrame | None = None, result_key: str = "ID", result_value: str = "id_resultado_destino",
                 type_map: DataFrame | None = None):
     """Returns dict(activities, id_map, detail, audit)."""
     acts = activities_extract(operations, spec)
@@ -103,7 +108,7 @@ def detail_load(operations: DataFrame, detail: DataFrame | None, stored: DataFra
         acts = recode_join(acts, result_map, "ID_Resultado", result_key, result_value, "ID_Resultado",
                            default=DEFAULT_RESULT)
     if type_map is not None:                         # exam operation types through a map, no default
-        acts = recode_join(acts, type_map, "ID_TipoOperacion", "OperationType", "ID_m4a", "ID_TipoOperacion")
+        acts = recode_join(acts, type_map, "ID_TipoOperacion", "OperationType", "id_tipo_destino", "ID_TipoOperacion")
     mark = stored.select(F.max("ID_Actividad")).scalar()
     acts = assign_ids(acts, "Old_ID_Actividad", mark, "ID_Actividad")
     id_map = acts.select("ID_VACA", F.col("Old_ID_Actividad").alias("ID_Actividad_x"),
@@ -122,7 +127,7 @@ def sires_load(sires: DataFrame, breed_map: DataFrame) -> DataFrame:
     s = sires.distinct().select(F.col("ID").alias("IDsire"), "Active", "IDOfficial", "AINumber",
                                 F.col("LongName").alias("Nombre_Largo"), F.col("Registration").alias("Registro"),
                                 F.col("Breed").alias("Raza"), F.col("Discontinued").alias("Fecha_descontinuado"))
-    s = recode_join(s, breed_map, "Raza", "ID", "ID_M4A", "Raza")
+    s = recode_join(s, breed_map, "Raza", "ID", "id_raza_destino", "Raza")
     return blanks_to_null(s)
 
 
@@ -174,8 +179,8 @@ def vet_activities(operations: DataFrame, result_map: DataFrame) -> DataFrame:
                       case_map("OperationType", VET_TYPES, 0).alias("ID_TipoOperacion"),
                       F.coalesce(F.col("Result"), F.lit(34)).alias("ID_RESUL_IH"), F.lit(36).alias("ID_OPERARIO"),
                       F.col("Date").alias("Fecha"), F.col("Remarks").alias("Comentario")).distinct()
-    m = result_map.select("ID_RESUL_IH", F.col("ID_RESULT_M4A").alias("ID_Resultado"),
-                          F.col("ID_CATEGORIA_M4A").alias("ID_Categoria")).distinct()
+    m = result_map.select("ID_RESUL_IH", F.col("id_resultado_destino").alias("ID_Resultado"),
+                          F.col("id_categoria_destino").alias("ID_Categoria")).distinct()
     j = acts.join(m, "ID_RESUL_IH", "left")
     return j.select("ID_VACA", "ID_TipoOperacion", "ID_Resultado", "ID_OPERARIO", "ID_Categoria", "Fecha", "Comentario")
 

@@ -162,7 +162,7 @@ def _diagnosis(spark, sf):
                        F.col("l_partkey").alias("Service"), F.col("l_orderkey").alias("OpID"))
     cows = table(spark, sf, "customer").select(F.col("c_custkey").alias("ID_VACA"), F.col("c_name").alias("Nombre_Vaca"))
     stored = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ID_Actividad"))
-    rmap = table(spark, sf, "nation").select(F.col("n_nationkey").alias("ID"), F.col("n_regionkey").alias("id_resultado_M4A"))
+    rmap = table(spark, sf, "nation").select(F.col("n_nationkey").alias("ID"), F.col("n_regionkey").alias("id_resultado_destino"))
     return H.detail_load(_operations(spark, sf), detail, stored, cows, H.DIAGNOSIS, result_map=rmap)
 
 

@@ -25,7 +25,7 @@ def _stored(spark):
 
 def test_diagnosis_load(spark):
     diag = spark.createDataFrame([(1, 1, 3, 40, 7, 10), (2, 2, 9, 35, 8, 11), (2, 2, 9, 35, 8, 11)], schemas.PREG_DIAGS)
-    rmap = spark.createDataFrame([(3, 60)], "ID int, id_resultado_M4A int")
+    rmap = spark.createDataFrame([(3, 60)], "ID int, id_resultado_destino int")
     out = H.detail_load(_ops(spark), diag, _stored(spark), _cows(spark), H.DIAGNOSIS, result_map=rmap)
     acts = sorted((r.ID_Actividad, r.ID_VACA, r.ID_TipoOperacion, r.ID_Resultado, r.ID_OPERARIO, r.ID_Categoria)
                   for r in out["activities"].collect())
@@ -64,6 +64,6 @@ def test_supplies_remap_and_balance(spark):
 
 
 def test_vet_activities_dedupes_map(spark):
-    m = spark.createDataFrame([(3, 40, 2), (3, 40, 2), (34, 41, 3)], "ID_RESUL_IH int, ID_RESULT_M4A int, ID_CATEGORIA_M4A int")
+    m = spark.createDataFrame([(3, 40, 2), (3, 40, 2), (34, 41, 3)], "ID_RESUL_IH int, id_resultado_destino int, id_categoria_destino int")
     r = sorted((x.ID_VACA, x.ID_TipoOperacion, x.ID_Resultado) for x in H.vet_activities(_ops(spark), m).collect())
     assert r == [(1, 4, 40), (1, 4, 40), (2, 3, 41), (3, 6, None)]
