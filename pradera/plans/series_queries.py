@@ -97,6 +97,16 @@ def q_band_series_doc(spark, sf):
     return nested_documents(docs.withColumn("key", F.concat_ws("/", F.col("user_id").cast("string"), "ym")), "key")
 
 
+SQL["band_series_doc"] = f"""WITH {SQL_BAND},
+per AS (SELECT user_id, ym, band AS k, '"' || band || '":[' || string_agg(CASE WHEN value IS NULL THEN 'null'
+    ELSE '"' || CAST(value AS VARCHAR) || '"' END, ',' ORDER BY date) || ']' AS part FROM g GROUP BY user_id, ym, band),
+ds AS (SELECT user_id, ym, '"' || ym || '":[' || string_agg(DISTINCT '"' || strftime(date, '%Y-%m-%d') || '"', ','
+    ORDER BY '"' || strftime(date, '%Y-%m-%d') || '"') || ']' AS part FROM g GROUP BY user_id, ym),
+allp AS (SELECT user_id, ym, ym AS k, part FROM ds UNION ALL SELECT user_id, ym, k, part FROM per)
+SELECT CAST(user_id AS VARCHAR) || '/' || ym AS key, '{{' || string_agg(part, ',' ORDER BY k) || '}}' AS json
+FROM allp GROUP BY user_id, ym"""
+
+
 # --------------------------------------------------------------------------- B21: F5 R3 J10 J11 W6 A10 A11 P12
 ELEMENTS = [f"e_{t}" for t in EVENT_TYPES]
 
