@@ -35,8 +35,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", proper
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """K3: CSV folder with a header line per file."""
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """K3: CSV folder with a header line per file; values keep their blanks (Spark trims them by default)."""
+    (df.write.mode(mode).option("header", True).option("sep", sep)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def nested_documents(df: DataFrame, key: str, doc: str = "doc") -> DataFrame:
