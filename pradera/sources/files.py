@@ -25,29 +25,32 @@ def read_sheet(spark: SparkSession, path: str, schema: StructType, n_cols: int |
     return df
 
 
-def read_json_list(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A landed JSON list of flat objects (one object per line, or a
-    JSON array with ``multiLine``); a missing key reads as null."""
-    return spark.read.schema(schema).option("multiLine", False).json(path)
+def read_json_list(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """A landed JSON list of flat objects, one object per line, or with
+    ``multi_line`` one JSON array per file (each element a row); a missing key
+    reads as null.  JSON lines split across tasks; an array file is read whole
+    by one task, so land large dumps as JSON lines."""
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def client_ids(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def client_ids(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """The client id list."""
-    return read_json_list(spark, path, schema).select("ID_CLIENTE")
+    return read_json_list(spark, path, schema, multi_line).select("ID_CLIENTE")
 
 
-def paddocks(spark: SparkSession, path: str, schema: StructType, coords: bool = False) -> DataFrame:
+def paddocks(spark: SparkSession, path: str, schema: StructType, coords: bool = False,
+             multi_line: bool = False) -> DataFrame:
     """Paddock dimension ``(Finca, lote_id, nombre_lote[, x, y])``."""
-    d = read_json_list(spark, path, schema)
+    d = read_json_list(spark, path, schema, multi_line)
     cols = [F.col("ID_FINCA").alias("Finca"), F.col("ID_LOTE").alias("lote_id"), F.col("NOMBRE_LOTE").alias("nombre_lote")]
     if coords:
         cols += [F.col("LATITUD").alias("x"), F.col("LONGITUD").alias("y")]
     return d.select(*cols)
 
 
-def herds(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def herds(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """Herd dimension ``(Finca, hato_id, nombre_hato, tipo_hato)``."""
-    d = read_json_list(spark, path, schema)
+    d = read_json_list(spark, path, schema, multi_line)
     return d.select(F.col("ID_FINCA").alias("Finca"), F.col("ID_HATO").alias("hato_id"),
                     F.col("Nombre_Hato").alias("nombre_hato"), F.col("TIPO_Hato").alias("tipo_hato"))
 

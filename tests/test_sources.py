@@ -1,6 +1,5 @@
 """Readers and writers on temporary folders."""
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pradera import schemas
@@ -50,4 +49,11 @@ def test_key_update_sets_unmatched_to_null(spark):
     got = sorted(tuple(r) for r in key_update(cows, upd, "ID_VACA", "IDparto").collect())
     assert got == [(1, "LUNA", 50), (2, "SOL", None)]
     assert key_update(cows, upd, "ID_VACA", "IDparto").columns == cows.columns
-    assert F is not None
+
+
+def test_json_array_dump(spark, tmp_path):
+    p = tmp_path / "hatos.json"
+    p.write_text('[{"ID_FINCA": 1, "ID_HATO": 2, "Nombre_Hato": "RECODO 2", "TIPO_Hato": "LECHE"},\n'
+                 ' {"ID_FINCA": 1, "ID_HATO": 3, "Nombre_Hato": "JUNCAL"}]')
+    h = files.herds(spark, str(p), schemas.HATOS, multi_line=True).orderBy("hato_id").collect()
+    assert [(r.hato_id, r.nombre_hato, r.tipo_hato) for r in h] == [(2, "RECODO 2", "LECHE"), (3, "JUNCAL", None)]
