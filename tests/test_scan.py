@@ -98,3 +98,16 @@ def test_hot_key_is_split_across_tasks(spark):
     # no exchange partitions the rows by the key alone
     import re
     assert not re.search(r"hashpartitioning\(k#\d+L?, \d+\), REPARTITION", plan)
+
+
+def test_change_flags_and_reset_sum(spark):
+    from pradera.operators.runs import change_flags, run_sum_reset
+    rows = [(1, 1, "A"), (1, 2, "A"), (1, 3, None), (1, 4, None), (1, 5, "B"), (2, 1, "B"), (2, 2, "B")]
+    df = spark.createDataFrame(rows, "k long, t int, act string").withColumn(
+        "d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("t")))
+    out = change_flags(df, ["k"], ["t"], day_chunk("d", 2), "act").orderBy("k", "t").collect()
+    assert [r.lote_change for r in out] == [True, False, False, False, False, True, False]
+    assert [r.actividad_change for r in out] == [False, True, False, False, False, False, True]   # null != null
+    f = df.withColumn("f", F.when(F.col("act").isNull(), 0).otherwise(1))
+    r = run_sum_reset(f, ["k"], ["t"], day_chunk("d", 2), "f", "run").orderBy("k", "t").collect()
+    assert [x.run for x in r] == [1, 2, None, None, 1, 1, 2]
