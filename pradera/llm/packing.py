@@ -187,7 +187,11 @@ class _Stream:
 
     def add(self, doc, start: int, ids: np.ndarray, ends_doc: bool):
         self.ids.append(ids)
-        self.parts.append((doc, start, len(ids), ends_doc))
+        if self.parts and self.parts[-1][0] == doc:  # goes on with the same document
+            _, start, n, _ = self.parts.pop()
+            self.parts.append((doc, start, n + len(ids), ends_doc))
+        else:
+            self.parts.append((doc, start, len(ids), ends_doc))
         self.size += len(ids)
 
     def settle(self, last: bool):
