@@ -6,16 +6,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, quality, token_counts
+from pradera.session import scratch_path
+
+from . import language_id, licenses, mixing, packing, quality, token_counts, warc
 from .common import read
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archive(read(spark, sf_dir, "pages"), path)
+    return warc.archived(spark, path)
+
+
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"), licenses.known_licences(spark))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -30,8 +46,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op6_token_counts, op8_language_id, op9_quality)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op8_language_id, op9_quality)}
+SQL = {"op2_warc": warc.sql(), "op3_licences": licenses.sql(), "op5_mixing": mixing.sql()}
 
 
 def queries():
