@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pradera.session import scratch_path
 
-from . import language_id, licenses, mixing, packing, quality, token_counts, warc
+from . import jaccard_join, language_id, licenses, mixing, packing, quality, token_counts, warc
 from .common import read
 
 
@@ -36,6 +36,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return language_id.classify(docs, language_id.fit(docs))
@@ -46,7 +50,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op8_language_id, op9_quality)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_quality)}
 SQL = {"op2_warc": warc.sql(), "op3_licences": licenses.sql(), "op5_mixing": mixing.sql()}
 
 
