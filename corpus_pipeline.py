@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pradera.llm import language_id, packing, quality
+from pradera.llm import jaccard_join, language_id, mixing, packing, quality
 from pradera.llm.common import read, stored
 
+LANGUAGE_SCORE = 0.5  # texts whose best language scores less are of no determined language
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts."""
@@ -20,17 +23,29 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the string-kernel classifier determines."""
-    return language_id.keep_languages(docs, language_id.fit(docs))
+    return language_id.keep_languages(docs, language_id.fit(docs), LANGUAGE_SCORE)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: the smallest id."""
+    return jaccard_join.keep_one(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' words as the mix of sources takes them, a document once per round that draws from it."""
+    return mixing.mix_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in training sequences."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Pieces of the documents in training sequences: their ids, where they lie in the document and the sequence."""
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
-STAGES = [("quality", good_documents), ("language", known_language), ("packing", packed)]
+STAGES = [("quality", good_documents), ("language", known_language), ("near_duplicates", one_of_each),
+          ("source_mix", mixed), ("packing", packed)]
 
-# classifiers, MinHash recursion and packing have no SQL form: tests compare the stages with brute-force versions
+# trained classifiers, the chosen-path join and packing have no SQL form: tests hold the stages against brute force
 ORACLE_SQL = None
 
 

@@ -8,10 +8,25 @@ from pyspark.sql import functions as F
 
 from pradera.session import scratch_path
 
-from . import jaccard_join, language_id, licenses, mixing, packing, quality, token_counts, warc
+from . import (
+    embedding_dedup,
+    jaccard_join,
+    language_id,
+    licenses,
+    mixing,
+    packing,
+    permutation_index,
+    quality,
+    token_counts,
+    warc,
+)
 from .common import read
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(read(spark, sf_dir, "pages"), path)
@@ -50,7 +65,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_quality)}
+def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_embedding_dedup, op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op7_jaccard_join,
+    op8_language_id, op9_quality, op10_permutation_index)}
 SQL = {"op2_warc": warc.sql(), "op3_licences": licenses.sql(), "op5_mixing": mixing.sql()}
 
 
