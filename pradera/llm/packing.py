@@ -115,10 +115,11 @@ def candidates(n: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window:
     is_cut = np.zeros(n + 1, dtype=bool)
     is_cut[sentence_ends] = is_cut[doc_ends] = is_cut[0] = is_cut[n] = True
     ends = np.flatnonzero(is_cut)
-    extra = np.maximum(0, (np.diff(ends) - 1) // GRAIN)
+    grain = min(GRAIN, window)
+    extra = np.maximum(0, (np.diff(ends) - 1) // grain)
     base = np.repeat(ends[:-1], extra)
     step = np.arange(len(base)) - np.repeat(np.cumsum(extra) - extra, extra) + 1
-    is_cut[base + step * GRAIN] = True
+    is_cut[base + step * grain] = True
     if last:
         is_cut[max(0, n - window):] = True
     cost = np.full(n + 1, TRUNCATION_COST)
