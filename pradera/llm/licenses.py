@@ -31,12 +31,7 @@ EQUIVALENT = [
 ]
 
 # Licence texts and the notices that stand for a licence.
-LICENCES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "This project is licensed under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
 Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -47,7 +42,13 @@ Software.
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
 COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
-OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+LICENCES = [
+    ("MIT", "Released under the MIT License."),
+    ("MIT", "This project is licensed under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MIT", _MIT), ("MIT", "MIT License\n" + _MIT), ("MIT", "The MIT License (MIT)\n" + _MIT),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
@@ -80,7 +81,8 @@ PERFORMANCE OF THIS SOFTWARE."""),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
-COPYRIGHT_LINE = r"(?m)^[^a-z\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = (r"(?m)^[^a-z\n]*(copyright([^\n]*[0-9]{4}|[^a-z\n]*(\(c\)|©|by ))|\(c\)[^a-z\n]*[0-9]{4}|©"
+                  r"|all rights reserved)[^\n]*$\n?")
 # all but letters and digits, and but the marks 1 to 3
 SEPARATORS = r"[\x00\x04-\x2f\x3a-\x60\x7b-\x7f\x{a0}-\x{bf}\x{2010}-\x{203a}\x{3000}]+"
 SENTENCE_END, SENTENCE = r"([.!?])[ \t]+", "\x01"
