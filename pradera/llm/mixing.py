@@ -21,7 +21,7 @@ from .common import stored
 BLOCK = 64                 # words
 REPEATS = 3                # a source's target stops at so many times its size
 SHARD_BLOCKS = 4096        # slots of an output shard
-BUCKET_ROWS = 20_000       # rows of a bucket; a source's buckets are laid end to end
+BUCKET_ROWS = 2_000        # rows of a bucket; a source's buckets are laid end to end
 SLOT_CHUNK = 1 << 14       # slots made by one row before they are spread
 ROUNDS = 24
 PRIME = (1 << 31) - 1
