@@ -8,7 +8,6 @@ operators  DataFrame -> DataFrame operators (calendar grid, ordered scans,
            reset counters, reconciliation, keys, aggregates, reshaping)
 plans      the jobs users run, composed from operators, and the query catalog
            over the shared test tables
-streaming  Structured Streaming variants of the batch jobs
 """
 
 __version__ = "0.1.0"

@@ -1,8 +1,8 @@
 """Dictionary recodes and CASE recodes (F11 F12 F13 F17 F26 F27 F28, J1 helper).
 
 Small fixed dictionaries become ``CASE``/``map`` literals inside the plan
-(no join at all); recode *tables* (data) are joined with ``broadcast`` only
-after their size is checked (``recode_join``).
+(no join at all); recode *tables* (data) are joined, and the planner broadcasts
+them where their size allows (``recode_join``).
 """
 
 from __future__ import annotations
@@ -12,9 +12,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Size limit (rows) for broadcasting a recode table; above it the join shuffles.
-BROADCAST_ROWS = 1_000_000
-
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
@@ -64,12 +61,9 @@ def shift_code(col: Column | str) -> Column:
 def recode_join(df: DataFrame, table: DataFrame, on: str, table_key: str, value: str, out: str,
                 default=None) -> DataFrame:
     """Left lookup join to a recode table and replace ``on`` by the mapped
-    value (``default`` when missing).  The table is broadcast only when its
-    row count is below ``BROADCAST_ROWS`` (one cheap count on the small side)."""
+    value (``default`` when missing)."""
     # no dedupe: duplicate map rows fan out, as a pandas merge does
     t = table.select(F.col(table_key).alias("_rk"), F.col(value).alias("_rv"))
-    small = t.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    t = F.broadcast(t) if small else t
     j = df.join(t, df[on] == t["_rk"], "left")
     val = F.col("_rv") if default is None else F.coalesce(F.col("_rv"), F.lit(default))
     return j.withColumn(out, val).drop("_rk", "_rv")

@@ -124,10 +124,9 @@ def change_dates(df: DataFrame, date_col: str, start: str | None = None) -> Data
 def nested_series(df: DataFrame, keys: Sequence[str], month: str, series: str, order: Sequence[Column | str],
                   value: str, date_text: str) -> DataFrame:
     """Per key and month, ``{series -> [values in order], month -> [sorted distinct dates]}``
-    as a map column ``doc`` (values kept with their nulls).
+    as a map column ``doc`` (values kept with their nulls; every row's value is in its list).
 
-    Each list holds one group's rows: feed one row per key, series and day
-    (as band means are), so a list is bounded by the days of a month."""
+    A document is one value, so it holds what one key has in one month: the lists are the feature."""
     st = F.struct(*[_c(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(value).alias("_v"))
     per = (df.groupBy(*keys, month, series)
              .agg(F.array_sort(F.collect_list(st)).alias("_l"))

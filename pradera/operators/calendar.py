@@ -1,9 +1,10 @@
 """Daily calendars and dense key x day grids.
 
 The bounds are two scalar subqueries (one partial/final aggregate, no driver
-round trip); the grid is generated next to each key row with
-``explode(sequence(lo, hi))`` so it grows linearly with keys x days and never
-goes through a join or a broadcast.
+round trip); the grid is generated next to each key row: first its months,
+which are spread over the tasks, then their days, so it grows linearly with
+keys x days, never goes through a join or a broadcast, and no task makes more
+than its share of it.
 """
 
 from __future__ import annotations
@@ -31,9 +32,15 @@ def calendar(df: DataFrame, date_col: Column | str, name: str = "date", offset:
 
 
 def key_days(keys: DataFrame, key_cols: Sequence[str], lo: Column, hi: Column, name: str = "date") -> DataFrame:
-    """Distinct keys x every day in ``[lo, hi]``, generated per key row."""
-    return (keys.select(*key_cols).distinct()
-            .withColumn(name, F.explode(F.sequence(lo, hi))))
+    """Distinct keys x every day in ``[lo, hi]``, generated per key and month.
+
+    The (key, month) rows are dealt to a fixed number of tasks: they are few and small, so left to itself Spark would
+    join them into one partition, and one task would make the whole grid."""
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    months = keys.select(*key_cols).distinct().withColumn("_month", F.explode(F.sequence(
+        F.trunc(lo, "month"), hi, F.expr("interval 1 month"))))
+    days = F.sequence(F.greatest(F.col("_month"), lo), F.least(F.last_day("_month"), hi))
+    return months.repartition(tasks, *key_cols, "_month").withColumn(name, F.explode(days)).drop("_month")
 
 
 def dense_grid(keys: DataFrame, key_cols: Sequence[str], facts: DataFrame, fact_keys: Sequence[str],

@@ -1,9 +1,8 @@
 """Surrogate ids, id maps, foreign-key remaps and key updates.
 
-Numbering never uses an unpartitioned window: rows are cut into id buckets,
-counted per bucket, the small bucket table is prefix-summed and each bucket
-numbers its own rows (``ordered_scan`` with no key).  Deterministic, unlike
-``monotonically_increasing_id`` or partition ids.
+Numbering never uses an unpartitioned window: rows are cut by rows along the order (``ordered_scan`` with no key),
+counted per chunk, the small chunk table is prefix-summed and each chunk numbers its own rows, whatever the ids'
+values are.  Deterministic, unlike ``monotonically_increasing_id`` or partition ids.
 """
 
 from __future__ import annotations
@@ -13,24 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import ordered_scan, value_chunk
+from .aggregate import keep_last
+from .scan import ordered_scan
 
-ID_BUCKET = 1 << 16
 
-
-def row_numbers(df: DataFrame, order: Sequence[Column | str], bucket: Column, name: str = "row_no") -> DataFrame:
-    """Global 1-based numbering in ``order``; ``bucket`` must not decrease with the order."""
-    return ordered_scan(df, [], order, bucket, row_number=name)
+def row_numbers(df: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:
+    """Global 1-based numbering in ``order`` (nulls first)."""
+    return ordered_scan(df, [], order, row_number=name)
 
 
 def assign_ids(df: DataFrame, old_id: str, start_after: Column, name: str = "new_id",
-               bucket_width: int = ID_BUCKET, tie: Sequence[str] = ()) -> DataFrame:
-    """``new_id = start_after + row_number() over (order by old_id)``.
+               tie: Sequence[str] = ()) -> DataFrame:
+    """``new_id = start_after + row_number() over (order by old_id)``; rows without an old id come first.
 
     ``start_after`` is usually a scalar subquery (``max`` of the stored ids),
     so the stored table's existing ids are never reused (trap T11).  ``tie``
     columns break ties between equal old ids."""
-    n = row_numbers(df, [F.col(old_id), *[F.col(t) for t in tie]], value_chunk(old_id, bucket_width), "_no")
+    n = row_numbers(df, [F.col(old_id), *[F.col(t) for t in tie]], "_no")
     return n.withColumn(name, F.coalesce(start_after, F.lit(0)) + F.col("_no")).drop("_no")
 
 
@@ -52,20 +50,25 @@ def remap(facts: DataFrame, fk: str, maps: Sequence[DataFrame], old: str = "old_
     return j.withColumn(out or fk, F.col("_new")).drop("_old", "_new")
 
 
-def zip_rows(left: DataFrame, right: DataFrame, left_order: Sequence[Column | str], right_order: Sequence[Column | str],
-             left_bucket: Column, right_bucket: Column) -> DataFrame:
+def zip_rows(left: DataFrame, right: DataFrame, left_order: Sequence[Column | str],
+             right_order: Sequence[Column | str]) -> DataFrame:
     """Positional zip = full join on explicit row numbers of both sides."""
-    ln = row_numbers(left, left_order, left_bucket, "_pos")
-    rn = row_numbers(right, right_order, right_bucket, "_pos")
-    return ln.join(rn, on="_pos", how="full")
+    return row_numbers(left, left_order, "_pos").join(row_numbers(right, right_order, "_pos"), on="_pos", how="full")
+
 
+def key_update(target: DataFrame, updates: DataFrame, key: str, col: str, value: str | None = None,
+               order: Sequence[Column | str] | None = None, unmatched_to_null: bool = True) -> DataFrame:
+    """K6: ``UPDATE target SET col = updates.value WHERE key = ...`` as a new snapshot.
 
-def key_update(target: DataFrame, updates: DataFrame, key: str, col: str, value: str | None = None) -> DataFrame:
-    """K6: ``UPDATE target SET col = updates.value WHERE key = ...`` as a new
-    snapshot; rows without an update get null, as the original's second pass does."""
-    u = updates.select(F.col(key).alias("_uk"), F.col(value or col).alias("_uv"))
+    An update never adds rows: of several updates for one key the last in ``order`` counts (without one, the largest
+    value).  Rows without an update get null, as the original's second pass does, or keep theirs."""
+    u = updates.select("*", F.col(value or col).alias("_uv"), F.col(key).alias("_uk")).where("_uk is not null")
+    u = keep_last(u, ["_uk"], list(order) if order else ["_uv"]).select("_uk", "_uv", F.lit(True).alias("_hit"))
     j = target.join(u, target[key] == u["_uk"], "left")
-    cols = [F.col("_uv").alias(col) if c == col else F.col(c) for c in target.columns]
+    new = F.col("_uv")
+    if col in target.columns and not unmatched_to_null:
+        new = F.when(F.col("_hit"), F.col("_uv")).otherwise(F.col(col))
+    cols = [new.alias(col) if c == col else F.col(c) for c in target.columns]
     if col not in target.columns:
-        cols.append(F.col("_uv").alias(col))
+        cols.append(new.alias(col))
     return j.select(*cols)

@@ -2,7 +2,7 @@
 fill, previous-run values and movement paths (W1-W11).
 
 Every ordered step goes through ``ordered_scan`` so a busy paddock or herd is
-split along time instead of landing in one task.  Counters count rows, not
+split along its rows instead of landing in one task.  Counters count rows, not
 days (two activities on one day add two), as the original does.
 """
 
@@ -13,24 +13,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .scan import CHUNK, ordered_scan
+from .scan import ordered_scan
 
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
 
 
-def change_flags(df: DataFrame, key: Sequence[str], order, chunk, activity: str,
+def change_flags(df: DataFrame, key: Sequence[str], order, activity: str,
                  first_name: str = "lote_change", same_name: str = "actividad_change") -> DataFrame:
     """W1 first row of the key; W2 ``activity == previous activity`` (null never equal)."""
-    d = ordered_scan(df, key, order, chunk, lags={"_prev_act": (activity, 1)}, row_number="_pos")
+    d = ordered_scan(df, key, order, lags={"_prev_act": (activity, 1)}, row_number="_pos")
     return (d.withColumn(first_name, F.col("_pos") == 1)
              .withColumn(same_name, F.coalesce(F.col(activity) == F.col("_prev_act"), F.lit(False)))
              .drop("_prev_act", "_pos"))
 
 
-def since_last(df: DataFrame, key: Sequence[str], order, chunk, activity: str,
+def since_last(df: DataFrame, key: Sequence[str], order, activity: str,
                names: Sequence[str], prefix: str = "dias_sin_") -> DataFrame:
     """Rows since the last row with each activity name; 0 on that row and on the key's first row.
 
@@ -39,7 +38,7 @@ def since_last(df: DataFrame, key: Sequence[str], order, chunk, activity: str,
     position of the last match (the first row counting as one); one scan
     serves all names.
     """
-    d = ordered_scan(df, key, order, chunk, last_pos=_since_specs(activity, names), row_number="_pos")
+    d = ordered_scan(df, key, order, last_pos=_since_specs(activity, names), row_number="_pos")
     return d.withColumns(_since_outputs(names, prefix)).drop("_pos", *[f"_p_{n}" for n in names])
 
 
@@ -53,7 +52,7 @@ def _since_outputs(names: Sequence[str], prefix: str, pos: str = "_pos"):
     return {f"{prefix}{n.lower()}": F.col(pos) - F.coalesce(F.col(f"_p_{n}"), F.lit(1)) for n in names}
 
 
-def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity: str, date: str,
+def grazing_state(df: DataFrame, key: Sequence[str], order, *, activity: str, date: str,
                   animals: str, grazing: str = "PASTOREO", fill: Sequence[str] = (),
                   paddock_output: bool = True, since: Sequence[str] = (), since_prefix: str = "dias_sin_") -> DataFrame:
     """W2 W3 W4 W6 W11 and trap T9, the full row-state chain.
@@ -77,7 +76,7 @@ def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity:
     # One scan: both counters come out already zero->null and forward filled
     # (``run_fills``); the rest counter counts the key's first row as a reset.
     d = ordered_scan(
-        d, key, order, chunk,
+        d, key, order,
         run_fills={"dias_de_pastoreo": (F.when(F.col("_g"), 1).otherwise(0), False),
                    "dias_sin_pastoreo": (F.when(F.col("_g"), 0).otherwise(1), True)},
         ffill=ff, lags={"_prev_act": (activity, 1)}, row_number="_pos", last_pos=_since_specs(activity, since))
@@ -94,7 +93,7 @@ def grazing_state(df: DataFrame, key: Sequence[str], order, chunk, *, activity:
     return d.drop("_g")
 
 
-def previous_run_values(df: DataFrame, key: Sequence[str], order, chunk, *, activity: str,
+def previous_run_values(df: DataFrame, key: Sequence[str], order, *, activity: str,
                         grazing: str = "PASTOREO", same: str = "actividad_change",
                         cols: Sequence[str] = ("ultimo_animales", "dias_de_pastoreo"),
                         prefix: str = "lag_") -> DataFrame:
@@ -102,41 +101,36 @@ def previous_run_values(df: DataFrame, key: Sequence[str], order, chunk, *, acti
     previous grazing row's values, then forward fill within the key."""
     gz = df.filter(F.col(activity).eqNullSafe(F.lit(grazing)))
     start = ~F.col(same)
-    d = ordered_scan(gz, key, order, chunk, lag_fills={f"{prefix}{c}": (c, start) for c in cols})
+    d = ordered_scan(gz, key, order, lag_fills={f"{prefix}{c}": (c, start) for c in cols})
     return d
 
 
-def movement_path(df: DataFrame, herd: Sequence[str], order, chunk, *, place: str, row_id: str,
-                  depth: int = 3, prefix: str = "lag_", cut: bool = True) -> DataFrame:
+def movement_path(df: DataFrame, herd: Sequence[str], order, *, place: str, depth: int = 3,
+                  prefix: str = "lag_") -> DataFrame:
     """W8 + W9: per herd, keep change points (place differs from the previous
     row, first row included), take the 1..depth previous places over the
     change points and spread them forward to every herd row.
 
-    Three chained scans; with ``cut`` the change-point frame is checkpointed
-    into the shared checkpoint folder so the later scans do not recompute it."""
-    d = ordered_scan(df, herd, order, chunk, lags={"_prev": (place, 1)}, keep_chunk=True)
-    d = d.withColumn("_cp", ~F.col(place).eqNullSafe(F.col("_prev")))
-    if cut:
-        d = cut_lineage(d)
-    cps = ordered_scan(d.filter("_cp"), herd, order, CHUNK,
-                       lags={f"_l{k}": (place, k) for k in range(1, depth + 1)}, keep_chunk=True)
-    rest = d.filter(~F.col("_cp")).withColumns({f"_l{k}": F.lit(None).cast(df.schema[place].dataType)
-                                                for k in range(1, depth + 1)})
-    u = cps.unionByName(rest)
-    u = ordered_scan(u, herd, order, CHUNK, ffill={f"{prefix}{k}": f"_l{k}" for k in range(1, depth + 1)})
-    return u.drop("_prev", "_cp", *[f"_l{k}" for k in range(1, depth + 1)], CHUNK)
-
-
-def run_sum_reset(df: DataFrame, key: Sequence[str], order, chunk, value: Column | str, name: str,
+    One scan numbers the herd's stays (runs of one place) and fills the place forward; the place of k stays before
+    comes from the small table of stays, joined on (herd, stay).  Rows without a herd get null places."""
+    d = ordered_scan(df, herd, order, change_ids={"_stay": place}, ffill={"_pf": place})
+    stays = d.where(F.col("_stay").isNotNull()).groupBy(*herd, "_stay").agg(F.max("_pf").alias("_v"))
+    later = F.explode(F.array(*[F.struct((F.col("_stay") + k).alias("s"), F.lit(k).alias("k")) for k in range(1, depth + 1)]))
+    back = stays.withColumn("_l", later).groupBy(*herd, F.col("_l.s").alias("_stay")).agg(
+        *[F.max(F.when(F.col("_l.k") == k, F.col("_v"))).alias(f"{prefix}{k}") for k in range(1, depth + 1)])
+    return d.join(back, [*herd, "_stay"], "left").drop("_stay", "_pf")
+
+
+def run_sum_reset(df: DataFrame, key: Sequence[str], order, value: Column | str, name: str,
                   keep_zeros: bool = False) -> DataFrame:
     """Sum of ``value`` since the last 0 (0 at a reset); zeros become null unless ``keep_zeros``."""
-    d = ordered_scan(df, key, order, chunk, runs={name: value})
+    d = ordered_scan(df, key, order, runs={name: value})
     return d if keep_zeros else d.withColumn(name, F.nullif(F.col(name), F.lit(0)))
 
 
-def forward_fill(df: DataFrame, key: Sequence[str], order, chunk, cols: Sequence[str]) -> DataFrame:
+def forward_fill(df: DataFrame, key: Sequence[str], order, cols: Sequence[str]) -> DataFrame:
     """Last non-null value per key in order, for the named columns only."""
-    d = ordered_scan(df, key, order, chunk, ffill={f"_ff_{c}": c for c in cols})
+    d = ordered_scan(df, key, order, ffill={f"_ff_{c}": c for c in cols})
     return d.withColumns({c: F.col(f"_ff_{c}") for c in cols}).drop(*[f"_ff_{c}" for c in cols])
 
 

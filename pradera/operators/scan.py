@@ -1,16 +1,17 @@
 """Ordered scans per key that stay parallel when one key holds most rows.
 
-``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one task, so
-a key with a third of all rows becomes one straggler task.  ``ordered_scan``
-gives the same answers as that single window but cuts each key's rows into
-chunks along the order (``chunk`` is a Column that never decreases with the
-order, e.g. 31-day buckets of the date):
+``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one task, so a key with a third of all rows
+becomes one straggler task.  ``ordered_scan`` gives the same answers as that single window but cuts the rows into
+chunks along (key, order):
 
-1. rows are shuffled once on ``(key, chunk)`` and windows run inside each
-   ``(key, chunk)`` group,
-2. one summary row per ``(key, chunk)`` is aggregated (same partitioning,
-   no new shuffle) and scanned per key -- a table of keys x chunks rows,
-3. the carry from earlier chunks is joined back on ``(key, chunk)``.
+1. the rows are range-partitioned on (key, order) -- by rows, so a hot key, or one hot day of it, is split -- and
+   each partition is a chunk; windows run inside each (key, chunk),
+2. that frame is written once into the shared folder (both later steps read the same rows, and the input is not
+   computed again), and one summary row per (key, chunk) is aggregated from it,
+3. the summaries, at most keys + chunks rows, are scanned per key and joined back.
+
+A caller that has a chunk Column which never decreases with the order (a bucket of the date) may pass it; then
+nothing is written, and the rows of one chunk are the unit of work.  Null order values come first, as in a window.
 
 Supported outputs (all equal to the unbounded-preceding window on the key):
 
@@ -25,6 +26,7 @@ Supported outputs (all equal to the unbounded-preceding window on the key):
              key's first row as a zero
 * ``lag_fills``  ``{name: (value, start)}``: on a ``start`` row the value of
              the row before it, forward filled (last non-null) over the key
+* ``change_ids``  running number of the key's runs of equal values (null equals null); the first run is 1
 * ``last_pos``  ``{name: condition}``: position (as ``row_number``) of the
              last row at or before this one where the condition holds, else null
 * ``row_number``  1-based position of the row in its key
@@ -39,6 +41,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_once
+
 CHUNK = "_chunk"
 
 
@@ -58,30 +62,11 @@ def _c(x):
     return F.col(x) if isinstance(x, str) else x
 
 
-def with_balanced_chunks(df: DataFrame, keys: Sequence[str], day: Column | str, target_rows: int = 1_000_000,
-                         name: str = CHUNK) -> DataFrame:
-    """Add a chunk column sized by rows instead of calendar width.
-
-    Rows per (key, day) are counted with a partial aggregate; per key, the
-    running count over days (a table of keys x days rows) cuts the days into
-    chunks of about ``target_rows`` rows; the (key, day) -> chunk map is joined
-    back.  A busy key gets many short chunks, a quiet one a few long ones.
-    Chunks never split a day, so one day of one key is the unit of work.
-    """
-    dcol = F.to_date(_c(day))
-    d = df.withColumn("_cday", dcol)
-    counts = d.groupBy(*keys, "_cday").agg(F.count(F.lit(1)).alias("_dn"))
-    w = Window.partitionBy(*keys).orderBy("_cday").rowsBetween(Window.unboundedPreceding, -1)
-    cmap = counts.withColumn(name, F.floor(F.coalesce(F.sum("_dn").over(w), F.lit(0)) / F.lit(target_rows))) \
-                 .drop("_dn")
-    return d.join(cmap, on=[*keys, "_cday"], how="left").drop("_cday")
-
-
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
-    chunk: Column | str,
+    chunk: Column | str | None = None,
     *,
     sums: Mapping[str, Column | str] | None = None,
     runs: Mapping[str, Column | str] | None = None,
@@ -90,6 +75,7 @@ def ordered_scan(
     run_fills: Mapping[str, tuple[Column | str, bool]] | None = None,
     lag_fills: Mapping[str, tuple[Column | str, Column | str]] | None = None,
     last_pos: Mapping[str, Column | str] | None = None,
+    change_ids: Mapping[str, Column | str] | None = None,
     row_number: str | None = None,
     keep_chunk: bool = False,
 ) -> DataFrame:
@@ -98,10 +84,16 @@ def ordered_scan(
     run_fills = dict(run_fills or {})
     lag_fills = dict(lag_fills or {})
     last_pos = dict(last_pos or {})
+    change_ids = dict(change_ids or {})
     keys = list(keys)
     order = [_c(o) for o in order]
     part = keys + [CHUNK]
-    d = df if (isinstance(chunk, str) and chunk == CHUNK) else df.withColumn(CHUNK, _c(chunk))
+    by_rows = chunk is None
+    if by_rows:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = df.repartitionByRange(tasks, *keys, *order).withColumn(CHUNK, F.spark_partition_id().cast("long"))
+    else:  # rows without an order value come first
+        d = df.withColumn(CHUNK, F.coalesce(_c(chunk).cast("long"), F.lit(-(1 << 62)).cast("long")))
 
     # materialise inputs once, under private names
     inputs = {}
@@ -120,13 +112,13 @@ def ordered_scan(
     for n, (c, st) in lag_fills.items():
         inputs[f"_vg_{n}"] = _c(c)
         inputs[f"_sg_{n}"] = F.coalesce(_c(st).cast("boolean"), F.lit(False))
+    for n, c in change_ids.items():
+        inputs[f"_vc_{n}"] = _c(c)
     if inputs:
         d = d.withColumns(inputs)
-    # One explicit shuffle on (key, chunk): it puts an exchange between chained
-    # scans.  The rows and the chunk summary both read it; Spark reuses it when
-    # both need the same columns, otherwise the summary side shuffles a
-    # narrower copy of the input (README, "Known cost of the two-pass scan").
-    d = d.repartition(*part)
+    if not by_rows:
+        # an exchange between chained scans; the summary side shuffles a narrower copy of the input
+        d = d.repartition(*part)
 
     wl = Window.partitionBy(*part).orderBy(*order)
     wlr = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -142,6 +134,11 @@ def ordered_scan(
     if lags:
         local["_cnt"] = F.count(F.lit(1)).over(Window.partitionBy(*part))
     d = d.withColumn("_rn", F.row_number().over(wl))
+    if change_ids:  # whether a chunk's first row starts a run is only known with the chunk before it
+        d = d.withColumns({f"_fc_{n}": F.when((F.col("_rn") > 1) & ~F.col(f"_vc_{n}").eqNullSafe(
+            F.lag(f"_vc_{n}", 1).over(wl)), 1).otherwise(0) for n in change_ids})
+    for n in change_ids:
+        local[f"_lc_{n}"] = F.sum(f"_fc_{n}").over(wlr)
     for n in last_pos:
         local[f"_lp_{n}"] = F.last(F.when(F.col(f"_vp_{n}"), F.col("_rn")), ignorenulls=True).over(wlr)
     for n in lag_fills:
@@ -187,6 +184,10 @@ def ordered_scan(
             f"_lz_{n}": F.last(F.when(F.col(f"_vr_{n}") == 0, F.col(f"_lr_{n}")), ignorenulls=True).over(wlr)
             for n in runs})
 
+    if by_rows:
+        # partition numbers come from a sampled range: they are taken once, both sides read what was written
+        d = write_once(d, "scan")
+
     # ---- one summary row per (key, chunk) -------------------------------------
     aggs = [F.count(F.lit(1)).alias("_n")]
     for n in sums:
@@ -200,6 +201,10 @@ def ordered_scan(
         tail = F.collect_list(F.when(F.col("_rn") > F.col("_cnt") - k,
                                      F.struct(F.col("_rn").alias("rn"), F.col(f"_vl_{n}").alias("v"))))
         aggs.append(F.transform(F.array_sort(tail), lambda s: s["v"]).alias(f"_te_{n}"))
+    for n in change_ids:
+        aggs.append(F.sum(f"_fc_{n}").alias(f"_tc_{n}"))
+        aggs.append(F.max_by(F.struct(f"_vc_{n}"), "_rn").alias(f"_clast_{n}"))
+        aggs.append(F.min_by(F.struct(f"_vc_{n}"), "_rn").alias(f"_cfirst_{n}"))
     for n in last_pos:
         aggs.append(F.max(F.when(F.col(f"_vp_{n}"), F.col("_rn"))).alias(f"_pm_{n}"))
     for n in lag_fills:
@@ -257,13 +262,18 @@ def ordered_scan(
             F.col(f"_eseb_{n}") < 0, F.col(f"_esea_{n}") + F.col(f"_cqr_{n}")).otherwise(
             F.col(f"_esea_{n}") - F.col(f"_eseb_{n}"))) for n in run_fills})
         s = s.withColumns({f"_cqf_{n}": F.last(f"_qend_{n}", ignorenulls=True).over(wcp) for n in run_fills})
+    if change_ids:
+        s = s.withColumns({f"_cf0_{n}": F.when((F.col("_cn") > 0) & F.col(f"_cfirst_{n}").eqNullSafe(
+            F.lag(f"_clast_{n}", 1).over(wc)), 0).otherwise(1) for n in change_ids})
+        s = s.withColumns({f"_cc_{n}": F.col(f"_cf0_{n}") + F.coalesce(
+            F.sum(F.col(f"_cf0_{n}") + F.col(f"_tc_{n}")).over(wcp), F.lit(0)) for n in change_ids})
     if lag_fills:
         s = s.withColumns({f"_gpl_{n}": F.lag(f"_glast_{n}", 1).over(wc) for n in lag_fills})
         s = s.withColumns({f"_gown_{n}": F.coalesce(F.col(f"_gend_{n}"), F.when(F.col(f"_gfs_{n}"), F.col(f"_gpl_{n}")))
                            for n in lag_fills})
         s = s.withColumns({f"_cgf_{n}": F.last(f"_gown_{n}", ignorenulls=True).over(wcp) for n in lag_fills})
     keep = part + [c for c in s.columns if c.startswith(("_cn", "_cs_", "_crs_", "_cf_", "_cl_", "_cz_", "_cqr_", "_cqf_",
-                                                          "_gpl_", "_cgf_", "_cp_"))]
+                                                          "_gpl_", "_cgf_", "_cp_", "_cc_"))]
     s = s.select(*keep)
 
     j = d.join(s, on=part, how="left")
@@ -294,6 +304,8 @@ def ordered_scan(
         outs[n] = F.coalesce(F.col(f"_lgf_{n}"), F.when(F.col(f"_fs_{n}"), F.col(f"_gpl_{n}")), F.col(f"_cgf_{n}"))
     for n in last_pos:
         outs[n] = F.coalesce(F.col("_cn") + F.col(f"_lp_{n}"), F.col(f"_cp_{n}"))
+    for n in change_ids:
+        outs[n] = F.col(f"_cc_{n}") + F.col(f"_lc_{n}")
     if row_number:
         outs[row_number] = F.col("_cn") + F.col("_rn")
     if keys:
@@ -305,43 +317,3 @@ def ordered_scan(
     if not keep_chunk and CHUNK not in df.columns:
         j = j.drop(CHUNK)
     return j
-
-
-def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
-                     sums=None, runs=None, ffill=None, lags=None, row_number=None, run_fills=None,
-                     lag_fills=None, last_pos=None) -> DataFrame:
-    """Single-window version of ``ordered_scan`` (one task per key): for tests and small data."""
-    w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
-    wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    outs = {}
-    for n, c in (sums or {}).items():
-        outs[n] = F.sum(F.coalesce(_c(c), F.lit(0))).over(wr)
-    for n, (c, k) in (lags or {}).items():
-        outs[n] = F.lag(_c(c), k).over(w)
-    for n, c in (ffill or {}).items():
-        outs[n] = F.last(_c(c), ignorenulls=True).over(wr)
-    if row_number:
-        outs[row_number] = F.row_number().over(w)
-    d = df.withColumns(outs) if outs else df
-    for n, c in (runs or {}).items():
-        v = F.coalesce(_c(c), F.lit(0))
-        d = d.withColumn("_g", F.sum(F.when(v == 0, 1).otherwise(0)).over(wr))
-        w2 = Window.partitionBy(*keys, "_g").orderBy(*[_c(o) for o in order]).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        d = d.withColumn(n, F.sum(v).over(w2)).drop("_g")
-    for n, c in (last_pos or {}).items():
-        d = d.withColumn(n, F.last(F.when(F.coalesce(_c(c).cast("boolean"), F.lit(False)), F.row_number().over(w)),
-                                   ignorenulls=True).over(wr))
-    for n, (c, st) in (lag_fills or {}).items():
-        d = d.withColumn("_lv", F.when(F.coalesce(_c(st).cast("boolean"), F.lit(False)), F.lag(_c(c), 1).over(w)))
-        d = d.withColumn(n, F.last("_lv", ignorenulls=True).over(wr)).drop("_lv")
-    for n, (c, reset) in (run_fills or {}).items():
-        v = F.coalesce(_c(c), F.lit(0))
-        if reset:
-            v = F.when(F.row_number().over(w) == 1, F.lit(0)).otherwise(v)
-        d = d.withColumn("_v", v).withColumn("_g", F.sum(F.when(F.col("_v") == 0, 1).otherwise(0)).over(wr))
-        w2 = Window.partitionBy(*keys, "_g").orderBy(*[_c(o) for o in order]).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        d = d.withColumn("_r", F.nullif(F.sum("_v").over(w2), F.lit(0)))
-        d = d.withColumn(n, F.last("_r", ignorenulls=True).over(wr)).drop("_g", "_v", "_r")
-    return d

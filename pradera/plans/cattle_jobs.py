@@ -12,6 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.categories import name_to_id
 from ..functions.recode import recode, shift_code
@@ -26,6 +27,7 @@ from ..schemas import VACAS
 # fixed values: quarter score recodes (P, p -> 5; in the PI column also PI -> 0); null -> 0
 QUARTER_SCORES = {"P": "5", "p": "5"}
 PI_SCORES = {"P": "5", "PI": "0", "p": "5"}
+# fixed values: type, result and category of a mastitis check, operator of unknown names
 MASTITIS_TYPE, MASTITIS_RESULT, MASTITIS_CATEGORY, DEFAULT_OPERATOR = 9, 34, 1, 35
 # fixed values: transfer group -> herd id
 GROUP_IDS = {"NI": "9", "CF": "8", "JCAL": "4", "R 2": "2", "R 1": "1", "R 3": "3", "PARAI": "5", "HOR.1": "6",
@@ -35,12 +37,15 @@ BREED_IDS = {"AN": "6", "AY": "18", "GY(50%) x HO(50%)": "3", "HO": "2", "HO(50%
              "HO(75%) x GY(25%)": "2", "HO(75%) x JE(25%)": "2", "HO(88%) x GY(13%)": "2", "HO(88%) x JE(13%)": "2",
              "HO(92%) x JE(8%)": "2", "??": "17"}
 SEX_IDS = {"He:Rp": "1"}
+# fixed values: dates that the two loads are booked under
 TRANSFER_DATE = "2021-04-27"
 REGISTER_DATE = "2021-04-25"
 
 
 def mastitis_load(mastitis: DataFrame, stored: DataFrame, cows: DataFrame, operators: Mapping[str, int]):
-    """B2: returns (new_activities, mastitis_detail, missing_in_file, existing).
+    """B2: returns (new_activities, mastitis_detail, missing_in_file, existing, rejected).
+
+    ``rejected`` are rows whose date is a text that is no date; they are not loaded.
 
     ``mastitis``: landed history (``schemas.MASTITIS``); ``stored``: the
     activities table; ``cows``: the cow table."""
@@ -54,6 +59,8 @@ def mastitis_load(mastitis: DataFrame, stored: DataFrame, cows: DataFrame, opera
         "ID_Categoria": F.lit(MASTITIS_CATEGORY),
         "_fecha": F.to_date(F.coalesce(parse_date("Fecha", "yyyy-MM-dd"), parse_date("Fecha", "MM/dd/yyyy"))),
     }).filter(F.col("ID_VACA").isNotNull())
+    unread = F.col("Fecha").isNotNull() & F.col("_fecha").isNull()
+    rejected, m = m.where(unread).select(*mastitis.columns), m.where(~unread)
     acts = m.select("ID_VACA", "ID_TipoOperacion", "ID_Resultado", "ID_OPERARIO", "ID_Categoria",
                     F.col("_fecha").alias("Fecha"), "Comentario").distinct()
     key = composite_key(format_date("Fecha", "MM/dd/yyyy"), "ID_VACA", "ID_TipoOperacion")
@@ -72,7 +79,8 @@ def mastitis_load(mastitis: DataFrame, stored: DataFrame, cows: DataFrame, opera
     ids = new.select("ID_Actividad", dkey.alias("_k2"))
     detail = ids.join(det, "_k2", "left").drop("_k2")
     detail = keep_last(detail, ["ID_Actividad"], ["row_id"]).drop("row_id")
-    return (new.drop("key"), detail, r.filter(F.col(MERGE) == "right_only"), r.filter(F.col(MERGE) == "both"))
+    return (new.drop("key"), detail, r.filter(F.col(MERGE) == "right_only"), r.filter(F.col(MERGE) == "both"),
+            rejected)
 
 
 def transfers(transfers_file: DataFrame, cows: DataFrame):
@@ -90,27 +98,40 @@ def transfers(transfers_file: DataFrame, cows: DataFrame):
     return ready, location, j
 
 
+def _id_and_text(code, kind: str, name: str):
+    """The id that a code is, and beside it the text of a code that is none."""
+    number = code.try_cast(kind)
+    return number.alias(name), F.when(number.isNull(), code).alias(f"{name}_texto")
+
+
 def register_missing_cows(matched: DataFrame, export: DataFrame, cows: DataFrame) -> DataFrame:
-    """Cows named in the transfers but not in the cow table, from the master export."""
+    """Cows named in the transfers but not in the cow table, from the master export.
+
+    A breed, sex or sire that is no known code stays as text beside its null id.  Of several export rows or mothers
+    the last counts: by transfer row, then export row, then mother id.
+    """
     missing = matched.filter(F.col("ID_VACA").isNull()).select("ID", "row_id")
-    ex = export.withColumn("ID", strip("ID")).drop("row_id")
+    ex = export.withColumn("ID", strip("ID")).withColumnRenamed("row_id", "_export_row")
     d = missing.join(ex, "ID", "left")
     d = d.select(
         F.coalesce(F.col("Nombre"), F.col("ID")).alias("Nombre_Vaca"),
         F.col("`Id. Electr?ica`").alias("ElectronicID"),
-        recode("Raza", BREED_IDS).try_cast("int").alias("Raza"),
-        recode("Sexo/ tipo", SEX_IDS).try_cast("int").alias("Sexo"),
+        *_id_and_text(recode("Raza", BREED_IDS), "int", "Raza"),
+        *_id_and_text(recode("Sexo/ tipo", SEX_IDS), "int", "Sexo"),
         F.coalesce(F.col("Madre "), F.col("`Madre gen.`")).alias("_madre"),
         F.lit(REGISTER_DATE).cast("date").alias("FechaRegistro"),
         F.to_date(parse_date("Nacimiento", "dd/MM/yyyy")).alias("FechaNacimiento"),
-        F.col("Padre").try_cast("long").alias("Sire"),
-        F.lit(1).alias("ID_CLIENTE"), F.lit(2).alias("IDTipoOrigen"), F.lit(2).alias("IDTipoSalida"), "row_id")
+        *_id_and_text(F.col("Padre"), "long", "Sire"),
+        F.lit(1).alias("ID_CLIENTE"), F.lit(2).alias("IDTipoOrigen"), F.lit(2).alias("IDTipoSalida"), "row_id",
+        "_export_row")
     d = anti(d, cows, ["Nombre_Vaca"])
     d = parent_lookup(d, "_madre", cows, "Nombre_Vaca", "ID_VACA", "VacaMadre").drop("_madre")
-    d = keep_last(d, ["Nombre_Vaca"], ["row_id"])
+    d = keep_last(d, ["Nombre_Vaca"], ["row_id", "_export_row", "VacaMadre"])
     cols = ["ID_CLIENTE", "ElectronicID", "Nombre_Vaca", "Raza", "Sexo", "VacaMadre", "FechaRegistro", "IDTipoOrigen",
             "FechaNacimiento", "IDTipoSalida", "Sire"]
-    return conform(d, VACAS).select(*cols)
+    texts = ["Raza_texto", "Sexo_texto", "Sire_texto"]
+    return conform(d, T.StructType([*VACAS.fields, *[T.StructField(c, T.StringType()) for c in texts]])).select(
+        *cols, *texts)
 
 
 def duplicate_report(matched: DataFrame, cows: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.categories import calving_category, service_category, vocabulary_category
+from ..functions.categories import (CALVING_RULES, CALVING_VOCAB, CALVING_VOCAB_IDS, calving_category, service_category,
+                                    vocabulary_category)
 from ..functions.codes import farm_prefix, pad_suffix, paddock_code, prefixed_code
 from ..functions.text import (blank_to_null, col_diff, day_diff, format_date, null_if, parse_date,
                               parse_numbers, percent_to_fraction, replace_value, safe_ratio, split_sector, upper)
@@ -150,21 +151,28 @@ FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l
 
 
 # --------------------------------------------------------------------------- F14 F15 F16 T4
+# fixed values of the stand-in: words put before a text, so that each rule and its place in the order is hit
+COMMENT_WORDS = ("M.MUERT ", "Macho muerto ", "H.MUERT ", "InterHerd ", "aborto ", "PRETERMINO ", "distocia ", "Gemelos ",
+                 "retencion ", "LactoInduccion ", "H ", "hembra ", "macho ", "M ", "H.MUERT M.MUERT ", "gemelos aborto ",
+                 "", "insemino el toro ", "Toro ", "h ")
+
+
 def _comments(spark, sf):
+    """Every text is a comment, some with a word in front; one in 29 is null."""
     d = _t(spark, sf, "documents")
-    return d.select("doc_id", F.when(F.col("lang") != "en", F.col("text")).alias("comment"))
+    word = F.element_at(F.array(*[F.lit(w) for w in COMMENT_WORDS]), (F.col("doc_id") % len(COMMENT_WORDS) + 1).cast("int"))
+    # lower case, so that the one-letter rules are decided by the word in front
+    comment = F.concat(word, F.lower("text"))
+    return d.select("doc_id", F.when(F.col("doc_id") % 29 != 0, comment).alias("comment"))
 
 
-SQL_COMMENT = "WITH d AS (SELECT doc_id, CASE WHEN lang <> 'en' THEN text END AS comment FROM documents)"
+SQL_COMMENT = f"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 29 <> 0 THEN {list(COMMENT_WORDS)}[doc_id % {len(COMMENT_WORDS)} + 1]
+  || lower(text) END AS comment FROM documents)"""
 
 
 def _sql_calving(null_value):
-    tests = [("lit", "M.MUERT", 4), ("re", "(?i)macho muer", 4), ("lit", "H.MUERT", 5), ("lit", "InterHerd", 1),
-             ("re", "(?i)abor", 8), ("re", "(?i)pret", 6), ("re", "(?i)disto", 7), ("re", "(?i)geme", 10),
-             ("re", "(?i)rete", 9), ("re", "(?i)lacto", 11), ("lit", "H", 2), ("re", "(?i)hembr", 2),
-             ("re", "(?i)macho", 3), ("lit", "M", 3)]
     whens = " ".join(
-        f"WHEN {'contains(comment, ' if k == 'lit' else 'regexp_matches(comment, '}'{p}') THEN {c}" for k, p, c in tests)
+        f"WHEN {'contains(comment, ' if k == 'lit' else 'regexp_matches(comment, '}'{p}') THEN {c}" for k, p, c in CALVING_RULES)
     return f"CASE WHEN comment IS NULL THEN {null_value} {whens} ELSE 1 END"
 
 
@@ -193,15 +201,23 @@ SELECT doc_id, CAST(CASE WHEN regexp_matches(comment, '(?i)insemi') THEN 12 WHEN
   ELSE 12 END AS INTEGER) AS category FROM d"""
 
 
+# fixed values of the stand-in: order comments, the vocabulary in any case, words outside it and no comment
+VOCAB_COMMENTS = ("h", "M", "H.Muert", "m.muert", "Aborto", "pretérmino", "PRETERMINO", "Distocia", "gemelos", "Retención",
+                  "RETENCION", "lactoinducción", "LactoInduccion", "parto", "", None)
+
+
 def q_vocab_match(spark, sf):
     o = _t(spark, sf, "orders")
-    word = (F.when(F.col("o_orderstatus") == "F", F.lit("h"))
-             .when(F.col("o_orderstatus") == "O", F.lit("m.muert")).otherwise(F.lit("Distocia")))
+    word = F.element_at(F.array(*[F.lit(w) for w in VOCAB_COMMENTS]), (F.col("o_orderkey") % len(VOCAB_COMMENTS) + 1).cast("int"))
     return o.select("o_orderkey", word.alias("comment"), vocabulary_category(word).cast("int").alias("category"))
 
 
-SQL["vocab_match"] = """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'h' WHEN 'O' THEN 'm.muert' ELSE 'Distocia' END AS comment,
-  CAST(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 4 ELSE NULL END AS INTEGER) AS category FROM orders"""
+_VOCAB = "[" + ", ".join("NULL" if w is None else f"'{w}'" for w in VOCAB_COMMENTS) + "]"
+_VOCAB_IDS = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CALVING_VOCAB_IDS.items())
+_VOCAB_LIST = ", ".join(f"'{w}'" for w in CALVING_VOCAB)
+SQL["vocab_match"] = f"""WITH o AS (SELECT o_orderkey, {_VOCAB}[o_orderkey % {len(VOCAB_COMMENTS)} + 1] AS comment FROM orders)
+SELECT o_orderkey, comment, CAST(CASE CASE WHEN upper(comment) IN ({_VOCAB_LIST}) THEN upper(comment) ELSE 'No definido' END
+  {_VOCAB_IDS} END AS INTEGER) AS category FROM o"""
 
 
 # --------------------------------------------------------------------------- F20 F21 F4 F22 F23 R2

@@ -17,7 +17,6 @@ from ..operators.keys import assign_ids, id_map, key_update, remap, zip_rows
 from ..operators.reconcile import MERGE, anti, audit_missing, enrich, join_flag, parent_lookup, reconcile, semi
 from ..operators.reshape import key_difference, key_intersection
 from ..operators.runs import group_size
-from ..operators.scan import value_chunk
 from ..operators.select import above_mark
 from ..sources.tables import table
 
@@ -315,7 +314,7 @@ SELECT c_custkey, c_name, l.o_orderkey AS last_orderkey FROM customer LEFT JOIN
 def q_zip_rows(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey")
     c = _t(spark, sf, "customer").select("c_custkey")
-    z = zip_rows(o, c, ["o_orderkey"], ["c_custkey"], value_chunk("o_orderkey", 4096), value_chunk("c_custkey", 4096))
+    z = zip_rows(o, c, ["o_orderkey"], ["c_custkey"])
     return z.select(F.col("_pos").cast("bigint").alias("pos"), "o_orderkey", "c_custkey")
 
 

@@ -17,9 +17,7 @@ from ..operators.aggregate import herd_day_totals, last_non_null_by_group, lates
 from ..operators.calendar import date_bounds, key_days
 from ..operators.reshape import unpivot
 from ..operators.runs import grazing_state, movement_path, previous_run_values, zero_on
-from ..operators.scan import CHUNK, day_chunk, with_balanced_chunks
 from ..operators.select import not_equal_keep_null
-from ..session import cut_lineage
 from ..sources.sinks import patch_payload
 
 GRAZING = "PASTOREO"
@@ -34,7 +32,6 @@ FORAGE_IDS = {"KYKUYO": 1, "RAYGRAS": 2}
 # fixed values: herd name -> herd id
 HERD_IDS = {"ISLA": 5, "JUNCAL": 4, "PARAISO": 5, "PROXIMAS JUN": 4, "RECODO 1": 1, "RECODO 2": 2, "RECODO 3": 3}
 DATE_FMT = "yyyy-MM-dd HH:mm:ss"
-CHUNK_DAYS = 31
 
 
 def order():
@@ -90,9 +87,8 @@ def daily_tracking(clean: DataFrame, lotes: DataFrame) -> DataFrame:
     grid = key_days(lotes.select("lote_id", F.col("nombre_lote").alias("name_c")), ["lote_id", "name_c"], lo, hi)
     facts = clean.withColumn("_day", F.to_date("FECHA ACTIVIDAD"))
     full = grid.join(facts, (grid["name_c"] == facts["lote_c"]) & (grid["date"] == facts["_day"]), "left").drop("_day")
-    chunk = day_chunk("date", CHUNK_DAYS)
     # one ordered scan: grazing state and the rows-since counters together
-    return grazing_state(full, ["lote_id"], order(), chunk, activity="ACTIVIDAD", date="date",
+    return grazing_state(full, ["lote_id"], order(), activity="ACTIVIDAD", date="date",
                          animals="NUMERO ANIMALES", grazing=GRAZING, fill=["TIPO DE FORRAJE"], paddock_output=False,
                          since=OTHER_ACTIVITIES)
 
@@ -104,22 +100,14 @@ def paddock_output(tracked: DataFrame) -> DataFrame:
                   "LECHE TOTAL", "LECHE VACA", "lote_change", "actividad_change")
 
 
-def herd_tracking(tracked: DataFrame, herd_chunk_rows: int = 1_000_000):
+def herd_tracking(tracked: DataFrame):
     """(seguimiento_hatos, lag_lotes).  Grazing rows per paddock get the
     previous run's animals and length (W7); per herd, change points of the
-    paddock give the 1-3 previous paddocks (W8 W9), unpivoted (R1 F3)."""
-    chunk = day_chunk("date", CHUNK_DAYS)
-    # Each ordered scan reads its input twice (summary + join back), so a long
-    # chain of scans doubles the plan each time; a reliable checkpoint into
-    # the shared folder cuts it (B6 writes this frame out anyway).
-    tracked = cut_lineage(tracked)
-    prev = previous_run_values(tracked, ["lote_id"], order(), chunk, activity="ACTIVIDAD", grazing=GRAZING)
-    herd = cut_lineage(prev.filter(F.col("HATO").isNotNull()))
-    # a farm has a handful of herds, each with many rows: chunk them by rows
-    herd = with_balanced_chunks(herd, ["HATO"], "date", herd_chunk_rows)
-    path = movement_path(herd, ["HATO"], [F.col("date"), F.col("lote_id"), F.col("row_id")], CHUNK,
-                         place="lote_c", row_id="row_id")
-    hatos = path.drop(CHUNK, "name_c", "FECHA ACTIVIDAD", "ACTIVIDAD", "PRODUCTO", "DIAS ANTIGUEDAD PASTOS", "lote_change",
+    paddock give the 1-3 previous paddocks (W8 W9), unpivoted (R1 F3).
+    Grazing rows without a herd stay in both outputs, with null previous paddocks."""
+    prev = previous_run_values(tracked, ["lote_id"], order(), activity="ACTIVIDAD", grazing=GRAZING)
+    path = movement_path(prev, ["HATO"], [F.col("date"), F.col("lote_id"), F.col("row_id")], place="lote_c")
+    hatos = path.drop("name_c", "FECHA ACTIVIDAD", "ACTIVIDAD", "PRODUCTO", "DIAS ANTIGUEDAD PASTOS", "lote_change",
                       "actividad_change", "ultimo_pastoreo", "ultimo_animales")
     solo = unpivot(hatos.select("date", "HATO", "lote_c", "lag_1", "lag_2", "lag_3"), ["date", "HATO"],
                    ["lote_c", "lag_1", "lag_2", "lag_3"])
@@ -136,10 +124,12 @@ def coded_activity_load(otras: DataFrame) -> DataFrame:
 
 
 def forage_payload(pasto_actual: DataFrame) -> DataFrame:
-    """One PATCH body per paddock, the unknown forage left out of the body."""
+    """One PATCH body per paddock; a forage without an id is sent by its name, a missing one is left out."""
     d = recode_with_fallback(pasto_actual, "TIPO DE FORRAJE", FORAGE_IDS, "ID_variedad", "variedad_texto")
-    d = d.select(F.col("lote_id").cast("int").alias("ID_LOTE"), "ID_variedad")
-    return patch_payload(d, ["ID_LOTE", "ID_variedad"])
+    d = d.select(F.col("lote_id").cast("int").alias("ID_LOTE"), "ID_variedad", "variedad_texto")
+    by_id = patch_payload(d, ["ID_LOTE", "ID_variedad"])
+    by_name = F.to_json(F.struct("ID_LOTE", F.col("variedad_texto").alias("ID_variedad")))
+    return by_id.withColumn("payload", F.when(F.col("ID_variedad").isNull(), by_name).otherwise(F.col("payload")))
 
 
 def herd_milk(clean: DataFrame) -> DataFrame:

@@ -20,14 +20,10 @@ from ..operators.calendar import dense_grid
 from ..operators.reshape import unpivot
 from ..operators.runs import (forward_fill, grazing_state, movement_path, previous_run_values,
                               run_sum_reset, since_last)
-from ..operators.scan import CHUNK, day_chunk, with_balanced_chunks
 from ..functions.recode import recode_with_fallback
 from ..functions.codes import herd_label
 from ..sources.tables import table
 
-# Chunk width (days) of the ordered scans: a paddock's rows are split into
-# buckets of this many days, each scanned in its own task.
-CHUNK_DAYS = 8
 def order():
     """Row order inside a paddock / herd: day, then event time, then event id."""
     return [F.col("date"), F.col("ts").asc_nulls_first(), F.col("event_id").asc_nulls_first()]
@@ -43,10 +39,6 @@ grid AS (
   LEFT JOIN events e ON e.user_id = k.user_id AND CAST(e.ts AS DATE) = cal.date)"""
 
 
-def _chunk():
-    return day_chunk("date", CHUNK_DAYS)
-
-
 def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
 
@@ -77,7 +69,7 @@ def q_since_purchase(spark, sf):
     """W3 with zeros as null: rows since the last purchase (0 -> null)."""
     g = events_grid(spark, sf)
     flag = F.when(F.col("event_type").eqNullSafe(F.lit("purchase")), 0).otherwise(1)
-    d = run_sum_reset(g, ["user_id"], order(), _chunk(), flag, "dias_sin_purchase")
+    d = run_sum_reset(g, ["user_id"], order(), flag, "dias_sin_purchase")
     return d.select("user_id", _ds("date").alias("date"), "event_id",
                     F.col("dias_sin_purchase").cast("bigint").alias("dias_sin_purchase"))
 
@@ -95,7 +87,7 @@ FROM r"""
 # --------------------------------------------------------------------------- W1 W5
 def q_since_all_types(spark, sf):
     g = events_grid(spark, sf)
-    d = since_last(g, ["user_id"], order(), _chunk(), "event_type", EVENT_TYPES)
+    d = since_last(g, ["user_id"], order(), "event_type", EVENT_TYPES)
     cols = [F.col(f"dias_sin_{t}").cast("bigint").alias(f"dias_sin_{t}") for t in EVENT_TYPES]
     return d.select("user_id", _ds("date").alias("date"), "event_id", *cols)
 
@@ -132,7 +124,7 @@ def _state(spark, sf, paddock_output=True):
         "animals": F.floor("value").cast("bigint"),
         "forage": F.when(purchase, F.when(F.col("value") >= 100, "RAYGRAS").otherwise("KYKUYO")),
     })
-    return grazing_state(g, ["user_id"], order(), _chunk(), activity="event_type", date="date",
+    return grazing_state(g, ["user_id"], order(), activity="event_type", date="date",
                          animals="animals", grazing="purchase", fill=["forage"],
                          paddock_output=paddock_output)
 
@@ -183,7 +175,7 @@ FROM st"""
 # --------------------------------------------------------------------------- W7
 def q_prev_run_values(spark, sf):
     d = _state(spark, sf, paddock_output=False)
-    p = previous_run_values(d, ["user_id"], order(), _chunk(), activity="event_type", grazing="purchase")
+    p = previous_run_values(d, ["user_id"], order(), activity="event_type", grazing="purchase")
     return p.select("user_id", _ds("date").alias("date"), "event_id",
                     F.col("lag_ultimo_animales").cast("bigint").alias("lag_ultimo_animales"),
                     F.col("lag_dias_de_pastoreo").cast("bigint").alias("lag_dias_de_pastoreo"))
@@ -205,13 +197,8 @@ def _herd_rows(spark, sf):
                     F.col("user_id").alias("lote"), F.to_date("ts").alias("date"), "ts", "event_id")
 
 
-# Few herds hold many rows each: chunks are cut by row counts, not by calendar.
-HERD_CHUNK_ROWS = 2000
-
-
 def _path(spark, sf):
-    h = with_balanced_chunks(_herd_rows(spark, sf), ["herd"], "date", HERD_CHUNK_ROWS)
-    return movement_path(h, ["herd"], order(), CHUNK, place="lote", row_id="event_id", depth=3)
+    return movement_path(_herd_rows(spark, sf), ["herd"], order(), place="lote", depth=3)
 
 
 def q_path_lags(spark, sf):
@@ -346,7 +333,7 @@ WHERE event_type IS DISTINCT FROM 'purchase'"""
 # --------------------------------------------------------------------------- W6 forward fill alone
 def q_fill_forward(spark, sf):
     g = events_grid(spark, sf).withColumn("v_view", F.when(F.col("event_type") == "view", F.col("value")))
-    d = forward_fill(g, ["user_id"], order(), _chunk(), ["v_view"])
+    d = forward_fill(g, ["user_id"], order(), ["v_view"])
     return d.select("user_id", _ds("date").alias("date"), "event_id", "v_view")
 
 

@@ -13,7 +13,6 @@ from ..operators.aggregate import change_dates, completeness, nested_series
 from ..operators.calendar import dense_grid, date_bounds, key_days
 from ..operators.reshape import explode_non_null
 from ..operators.runs import forward_fill
-from ..operators.scan import day_chunk
 from ..operators.select import keep_min_non_null
 from ..sources.sinks import nested_documents
 
@@ -30,7 +29,7 @@ def band_series(data: DataFrame, bands: Sequence[str], start: str | None = "no")
     full = full.drop("_d")
     filtered = full.filter(F.col("band").isin(*bands))
     g = full.withColumns({"ym": format_date("date", "yyyy-MM"), "day": format_date("date", "yyyy-MM-dd")})
-    docs = nested_series(g, ["lote_id"], "ym", "band", ["date"], "mean_value", "day")
+    docs = nested_series(g, ["lote_id"], "ym", "band", ["date", "mean_value"], "mean_value", "day")
     return filtered, full, nested_documents(docs.withColumn("key", F.concat_ws("/", F.col("lote_id").cast("string"), "ym")), "key")
 
 
@@ -45,7 +44,7 @@ def soil_paddocks(props: DataFrame) -> DataFrame:
 
 
 def soil_chemistry(props: DataFrame, elements: Sequence[str], start: str, thresh: int = 10,
-                   carry_in: bool = False, chunk_days: int = 31):
+                   carry_in: bool = False):
     """Returns (filled per paddock-day, change dates, element names, calendar, per-paddock rows, completeness).
 
     ``carry_in=False`` cuts the calendar at ``start`` before the join, so a
@@ -60,10 +59,10 @@ def soil_chemistry(props: DataFrame, elements: Sequence[str], start: str, thresh
     f = p.withColumnsRenamed({"name_c": "_n", "date": "_d"})
     full = grid.join(f, (F.col("name_c") == F.col("_n")) & (F.col("date") == F.col("_d")), "left").drop("_n", "_d")
     cols = [c for c in full.columns if c not in ("name_c", "date", "row_id")]
-    filled = forward_fill(full, ["name_c"], [F.col("date"), F.col("row_id").asc_nulls_first()],
-                          day_chunk("date", chunk_days), cols)
+    filled = forward_fill(full, ["name_c"], [F.col("date"), F.col("row_id").asc_nulls_first()], cols)
     if carry_in:
         filled = filled.filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
+    filled = filled.drop("row_id", "FECHA")  # the date has taken FECHA's place: neither counts as a cell
     stats = completeness(filled)
     kept = keep_min_non_null(filled, thresh)
     changes = change_dates(props.select(F.to_date(parse_date("FECHA", "MM/dd/yyyy")).alias("FECHA")), "FECHA", start)

@@ -1,9 +1,8 @@
 """Satellite-band series (B20) and soil-chemistry fill (B21) on ``events``.
 
-Stand-ins: paddock = ``user_id``; band = ``event_type``; the band's daily
-value = the day's largest ``value`` of that type (a satellite band has one
-value per paddock, band and day, so every per-month list is bounded by the
-days of the month); soil element columns = the value of each event type.  The
+Stand-ins: paddock = ``user_id``; band = ``event_type``; the band's values of a
+day = the values of that day's events of the type, all of them, in event
+order; soil element columns = the value of each event type.  The
 calendar runs from the first to the last event day; days before ``START``
 are cut before the join (trap T13: a value dated earlier is not carried in).
 """
@@ -16,7 +15,6 @@ from ..functions.text import format_date
 from ..operators.aggregate import change_dates, completeness, nested_series
 from ..operators.calendar import date_bounds, key_days
 from ..operators.runs import forward_fill
-from ..operators.scan import day_chunk
 from ..operators.select import keep_min_non_null
 from ..sources.sinks import nested_documents
 from ..sources.tables import table
@@ -25,18 +23,16 @@ from .paddock_queries import EVENT_TYPES, order
 SQL = {}
 START = "20240103"
 START_SQL = "DATE '2024-01-03'"
-CHUNK_DAYS = 8
 
 
 def _band_grid(spark, sf, start=START):
-    """B20 front: (paddock, band) x days, left joined with the daily band values, from ``start`` on."""
+    """B20 front: (paddock, band) x days, left joined with all values of the band, from ``start`` on."""
     e = table(spark, sf, "events").select(
-        "user_id", F.col("event_type").alias("band"), F.to_date("ts").alias("day"), "value")
-    daily = e.groupBy("user_id", "band", "day").agg(F.max("value").alias("value"))
+        "user_id", F.col("event_type").alias("band"), F.to_date("ts").alias("day"), "event_id", "value")
     lo, hi = date_bounds(e, "day")
-    grid = key_days(daily, ["user_id", "band"], lo, hi, "date")
+    grid = key_days(e, ["user_id", "band"], lo, hi, "date")
     grid = grid.filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
-    f = daily.withColumnsRenamed({"user_id": "_u", "band": "_b"})
+    f = e.withColumnsRenamed({"user_id": "_u", "band": "_b"})
     j = grid.join(f, (F.col("user_id") == F.col("_u")) & (F.col("band") == F.col("_b")) & (F.col("date") == F.col("day")),
                   "left")
     return j.drop("_u", "_b", "day")
@@ -49,22 +45,22 @@ def _vals_text(arr):
 def q_band_series(spark, sf):
     """A9 long form: per paddock, month and band, the values in date order (nulls kept)."""
     g = _band_grid(spark, sf).withColumn("ym", format_date("date", "yyyy-MM"))
-    st = F.struct(F.col("date"), F.col("value"))
+    st = F.struct(F.col("date"), F.col("event_id"), F.col("value"))
     per = g.groupBy("user_id", "ym", "band").agg(F.array_sort(F.collect_list(st)).alias("_l"))
     return per.select("user_id", "ym", "band", _vals_text(F.transform("_l", lambda s: s["value"])).alias("vals"))
 
 
 SQL_BAND = f"""b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
 cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b),
-dv AS (SELECT user_id, event_type AS band, CAST(ts AS DATE) AS day, max(value) AS value FROM events GROUP BY ALL),
+dv AS (SELECT user_id, event_type AS band, CAST(ts AS DATE) AS day, event_id, value FROM events),
 k AS (SELECT DISTINCT user_id, band FROM dv),
-g AS (SELECT k.user_id, k.band, cal.date, e.value, strftime(cal.date, '%Y-%m') AS ym
+g AS (SELECT k.user_id, k.band, cal.date, e.event_id, e.value, strftime(cal.date, '%Y-%m') AS ym
   FROM k CROSS JOIN cal LEFT JOIN dv e ON e.user_id = k.user_id AND e.band = k.band AND e.day = cal.date
   WHERE cal.date >= {START_SQL})"""
 
 SQL["band_series"] = f"""WITH {SQL_BAND}
 SELECT user_id, ym, band,
-  string_agg(coalesce(CAST(value AS VARCHAR), 'null'), ',' ORDER BY date) AS vals
+  string_agg(coalesce(CAST(value AS VARCHAR), 'null'), ',' ORDER BY date, event_id) AS vals
 FROM g GROUP BY user_id, ym, band"""
 
 
@@ -93,13 +89,13 @@ SELECT user_id, band, strftime(date, '%Y-%m-%d') AS date, value FROM g WHERE ban
 def q_band_series_doc(spark, sf):
     """K4: one JSON document per paddock and month (keys sorted)."""
     g = _band_grid(spark, sf).withColumns({"ym": format_date("date", "yyyy-MM"), "day": format_date("date", "yyyy-MM-dd")})
-    docs = nested_series(g, ["user_id"], "ym", "band", ["date"], "value", "day")
+    docs = nested_series(g, ["user_id"], "ym", "band", ["date", "event_id"], "value", "day")
     return nested_documents(docs.withColumn("key", F.concat_ws("/", F.col("user_id").cast("string"), "ym")), "key")
 
 
 SQL["band_series_doc"] = f"""WITH {SQL_BAND},
 per AS (SELECT user_id, ym, band AS k, '"' || band || '":[' || string_agg(CASE WHEN value IS NULL THEN 'null'
-    ELSE '"' || CAST(value AS VARCHAR) || '"' END, ',' ORDER BY date) || ']' AS part FROM g GROUP BY user_id, ym, band),
+    ELSE '"' || CAST(value AS VARCHAR) || '"' END, ',' ORDER BY date, event_id) || ']' AS part FROM g GROUP BY user_id, ym, band),
 ds AS (SELECT user_id, ym, '"' || ym || '":[' || string_agg(DISTINCT '"' || strftime(date, '%Y-%m-%d') || '"', ','
     ORDER BY '"' || strftime(date, '%Y-%m-%d') || '"') || ']' AS part FROM g GROUP BY user_id, ym),
 allp AS (SELECT user_id, ym, ym AS k, part FROM ds UNION ALL SELECT user_id, ym, k, part FROM per)
@@ -119,14 +115,13 @@ def _soil(spark, sf, start=START):
     grid = key_days(e, ["user_id"], lo, hi, "date").filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
     f = e.withColumnRenamed("user_id", "_u")
     j = grid.join(f, (F.col("user_id") == F.col("_u")) & (F.col("date") == F.col("day")), "left").drop("_u", "day")
-    filled = forward_fill(j, ["user_id"], order(), day_chunk("date", CHUNK_DAYS), ELEMENTS)
-    return filled.select("user_id", "date", "ts", "event_id", *ELEMENTS)
+    filled = forward_fill(j, ["user_id"], order(), ELEMENTS)
+    return filled.select("user_id", "date", *ELEMENTS)  # time and id only order the rows: they are no cells
 
 
 def q_fill_and_thresh(spark, sf):
-    f = _soil(spark, sf).drop("ts")
-    kept = keep_min_non_null(f, 6)
-    return kept.select("user_id", format_date("date", "yyyy-MM-dd").alias("date"), "event_id", *ELEMENTS)
+    kept = keep_min_non_null(_soil(spark, sf), 5)
+    return kept.select("user_id", format_date("date", "yyyy-MM-dd").alias("date"), *ELEMENTS)
 
 
 def _sql_soil():
@@ -143,21 +138,20 @@ s AS (SELECT k.user_id, cal.date, e.event_id,
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 
-_NN = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in ["user_id", "date", "event_id", *ELEMENTS])
+_NN = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in ["user_id", "date", *ELEMENTS])
 SQL["fill_and_thresh"] = f"""WITH {_sql_soil()}
-SELECT user_id, strftime(date, '%Y-%m-%d') AS date, event_id, {", ".join(ELEMENTS)} FROM s WHERE {_NN} >= 6"""
+SELECT user_id, strftime(date, '%Y-%m-%d') AS date, {", ".join(ELEMENTS)} FROM s WHERE {_NN} >= 5"""
 
 
 def q_completeness(spark, sf):
-    f = _soil(spark, sf).drop("ts")
-    c = completeness(f)
+    c = completeness(_soil(spark, sf))
     return c.select("total_cells", "na_cells", F.round("na_ratio", 6).alias("na_ratio"))
 
 
-_NULLS = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ["user_id", "date", "event_id", *ELEMENTS])
+_NULLS = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ["user_id", "date", *ELEMENTS])
 SQL["completeness"] = f"""WITH {_sql_soil()}
-SELECT CAST(count(*) * 8 AS BIGINT) AS total_cells, CAST({_NULLS} AS BIGINT) AS na_cells,
-  round(CAST({_NULLS} AS DOUBLE) / (count(*) * 8), 6) AS na_ratio FROM s"""
+SELECT CAST(count(*) * 7 AS BIGINT) AS total_cells, CAST({_NULLS} AS BIGINT) AS na_cells,
+  round(CAST({_NULLS} AS DOUBLE) / (count(*) * 7), 6) AS na_ratio FROM s"""
 
 
 def q_change_dates(spark, sf):

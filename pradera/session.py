@@ -6,6 +6,9 @@ checkpoint folder, and only when the cluster did not name one.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -36,7 +39,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only when none is named."""
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, a session whose driver and executors are one process (a local master) gets a folder of its
+    own; any other session is an error, since executors would write to their own disks.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - sessions without a SparkContext: the server owns the setting
@@ -46,8 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        # Only reached in local tests: a cluster names its shared folder.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("no shared folder: set spark.checkpoint.dir")
         conf = tempfile.mkdtemp(prefix="pradera-ckpt-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -67,8 +76,11 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+def write_once(df, name: str):
+    """Write a frame into the shared folder and read it back: its input is computed once, whoever reads it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "local_path"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "write_once"]

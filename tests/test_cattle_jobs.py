@@ -27,7 +27,7 @@ def test_mastitis_incremental_load(spark):
     stored = spark.createDataFrame(
         [(100, 2, 9, 34, 28, 1, dt.datetime(2024, 1, 6), "x"), (101, 4, 9, 34, 28, 1, dt.datetime(2024, 1, 1), "y")],
         schemas.ACTIVIDADES_VACAS)
-    new, detail, missing, existing = C.mastitis_load(mast, stored, _cows(spark), OPERATORS)
+    new, detail, missing, existing, rejected = C.mastitis_load(mast, stored, _cows(spark), OPERATORS)
     n = sorted((r.ID_VACA, r.ID_OPERARIO, r.ID_Actividad) for r in new.collect())
     # cow 2 already stored that day; cow 9 unknown; null cow dropped; LUNA has two rows (two operators)
     assert n == [(1, 19, 102), (1, 35, 103)]

@@ -100,13 +100,11 @@ def test_recodes(spark):
     assert got == [1, 2, 4, None]
 
 
-def test_recode_join_broadcasts_only_below_the_bound(spark, monkeypatch):
+def test_recode_join_leaves_the_strategy_to_the_planner(spark):
     from pradera.functions import recode as R
     facts = spark.range(0, 100).select(F.col("id").alias("k"))
     table = spark.createDataFrame([(i, i * 10) for i in range(50)], "key long, val long")
-    small = R.recode_join(facts, table, "k", "key", "val", "out", default=34)
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-    assert sorted(r.out for r in small.collect())[-1] == 490 and small.filter("out = 34").count() == 50
-    monkeypatch.setattr(R, "BROADCAST_ROWS", 10)
-    big = R.recode_join(facts, table, "k", "key", "val", "out", default=34)
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+    out = R.recode_join(facts, table, "k", "key", "val", "out", default=34)
+    plan = out._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in plan and "limit" not in plan
+    assert sorted(r.out for r in out.collect())[-1] == 490 and out.filter("out = 34").count() == 50

@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pradera.operators.scan import day_chunk, ordered_scan, value_chunk, window_reference
+from pradera.operators.scan import day_chunk, ordered_scan, value_chunk
+
+from .window_reference import window_reference
 
 
 def _rows(seed, n=400):
@@ -13,7 +15,7 @@ def _rows(seed, n=400):
     out = []
     for i in range(n):
         key = rnd.choice([1, 1, 1, 1, 2, 3, None]) if seed % 2 else rnd.choice([1, 2])  # hot key 1
-        out.append((i, key, rnd.randint(0, 60), rnd.choice([0, 1, 1, 2, None]),
+        out.append((i, key, rnd.choice([None, *range(60)]), rnd.choice([0, 1, 1, 2, None]),
                     rnd.choice([None, None, rnd.random()])))
     return out
 
@@ -24,18 +26,18 @@ def _cmp(a, b, cols):
     assert x == y
 
 
-@pytest.mark.parametrize("seed,width", [(0, 1), (1, 3), (2, 7), (3, 100), (4, 2), (5, 5)])
+@pytest.mark.parametrize("seed,width", [(0, 1), (1, 3), (2, 7), (3, 100), (4, 2), (5, 5), (6, None), (7, None)])
 def test_scan_matches_window(spark, seed, width):
     df = spark.createDataFrame(_rows(seed), "rid long, k long, t int, f int, x double")
     spec = dict(sums={"s": "f"}, runs={"r": "f"}, ffill={"ff": "x"}, lags={"l1": ("x", 1), "l3": ("rid", 3)},
                 run_fills={"q": ("f", False), "qr": ("f", True)}, row_number="rn",
                 lag_fills={"g": ("x", F.col("f") == 0), "g2": ("rid", F.col("f") != 1)},
-                last_pos={"p": F.col("f") == 0, "p2": F.col("x").isNotNull()})
+                last_pos={"p": F.col("f") == 0, "p2": F.col("x").isNotNull()}, change_ids={"c": "f", "c2": "x"})
     order = ["t", "rid"]
-    a = ordered_scan(df, ["k"], order, value_chunk("t", width), **spec)
+    a = ordered_scan(df, ["k"], order, value_chunk("t", width) if width else None, **spec)
     b = window_reference(df, ["k"], order, **spec)
     # rows with a null key get null outputs from the chunked scan
-    outs = ["s", "r", "ff", "l1", "l3", "q", "qr", "rn", "g", "g2", "p", "p2"]
+    outs = ["s", "r", "ff", "l1", "l3", "q", "qr", "rn", "g", "g2", "p", "p2", "c", "c2"]
     b = b.withColumns({c: F.when(F.col("k").isNotNull(), F.col(c)) for c in outs})
     _cmp(a, b, ["rid", *outs])
 
@@ -43,7 +45,7 @@ def test_scan_matches_window(spark, seed, width):
 def test_global_numbering_is_dense_and_ordered(spark):
     df = spark.range(0, 5000).withColumn("old", (F.col("id") * 7919) % 100003)
     from pradera.operators.keys import assign_ids
-    out = assign_ids(df, "old", F.lit(100), "new", bucket_width=997)
+    out = assign_ids(df, "old", F.lit(100), "new")
     rows = sorted((r.old, r.new) for r in out.collect())
     assert [n for _, n in rows] == list(range(101, 5101))
 
@@ -68,20 +70,6 @@ def test_no_unpartitioned_window_on_rows(spark):
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_balanced_chunks_match_window(spark):
-    from pradera.operators.scan import CHUNK, with_balanced_chunks
-    rows = [(i, 1 if i % 3 else 2, i // 7, 0 if i % 11 == 0 else 1) for i in range(600)]   # key 1 is hot
-    df = spark.createDataFrame(rows, "rid long, k long, day int, f int").withColumn(
-        "d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")))
-    c = with_balanced_chunks(df, ["k"], "d", target_rows=25)
-    per_key = {r.k: r.n for r in c.groupBy("k").agg(F.countDistinct(CHUNK).alias("n")).collect()}
-    assert per_key[1] > per_key[2] > 1                      # the hot key gets more chunks
-    spec = dict(runs={"r": "f"}, lags={"l2": ("rid", 2)}, row_number="rn", run_fills={"q": ("f", True)})
-    a = ordered_scan(c, ["k"], ["d", "rid"], CHUNK, **spec)
-    b = window_reference(df, ["k"], ["d", "rid"], **spec)
-    _cmp(a, b, ["rid", "r", "l2", "rn", "q"])
-
-
 def test_hot_key_is_split_across_tasks(spark):
     """One key holds a third of all rows: its rows spread over many (key, chunk) groups."""
     n = 3000
@@ -105,9 +93,66 @@ def test_change_flags_and_reset_sum(spark):
     rows = [(1, 1, "A"), (1, 2, "A"), (1, 3, None), (1, 4, None), (1, 5, "B"), (2, 1, "B"), (2, 2, "B")]
     df = spark.createDataFrame(rows, "k long, t int, act string").withColumn(
         "d", F.date_add(F.lit("2024-01-01").cast("date"), F.col("t")))
-    out = change_flags(df, ["k"], ["t"], day_chunk("d", 2), "act").orderBy("k", "t").collect()
+    out = change_flags(df, ["k"], ["t"], "act").orderBy("k", "t").collect()
     assert [r.lote_change for r in out] == [True, False, False, False, False, True, False]
     assert [r.actividad_change for r in out] == [False, True, False, False, False, False, True]   # null != null
     f = df.withColumn("f", F.when(F.col("act").isNull(), 0).otherwise(1))
-    r = run_sum_reset(f, ["k"], ["t"], day_chunk("d", 2), "f", "run").orderBy("k", "t").collect()
+    r = run_sum_reset(f, ["k"], ["t"], "f", "run").orderBy("k", "t").collect()
     assert [x.run for x in r] == [1, 2, None, None, 1, 1, 2]
+
+
+def test_null_order_values_come_first(spark):
+    """The rows (null, 5), (01-01, 6), (01-02, 0), (03-02, 2) of one key, by date buckets and by rows."""
+    df = spark.createDataFrame([(None, 5), ("2024-01-01", 6), ("2024-01-02", 0), ("2024-03-02", 2)], "d string, v int")
+    df = df.select(F.lit(1).alias("k"), F.to_date("d").alias("d"), "v")
+    for chunk in (day_chunk("d", 31), None):
+        out = ordered_scan(df, ["k"], ["d"], chunk, sums={"s": "v"}, row_number="n").orderBy("n").collect()
+        assert [(r.s, r.n) for r in out] == [(5, 1), (11, 2), (11, 3), (13, 4)]
+
+
+def test_ids_by_rows(spark):
+    """Few distinct ids with many rows, random 64-bit ids, and null ids: numbered as row_number does, by many tasks."""
+    from pyspark.sql import Window
+
+    from pradera.operators.keys import assign_ids, row_numbers
+    few = spark.range(0, 20000).select((F.xxhash64("id") % 11 + 11).alias("old"), "id")
+    wide = spark.range(0, 20000).select(F.when(F.col("id") % 50 != 0, F.xxhash64("id")).alias("old"), "id")
+    for df in (few, wide):
+        out = assign_ids(df, "old", F.lit(100), "new", tie=["id"])
+        want = df.withColumn("new", F.lit(100) + F.row_number().over(Window.orderBy("old", "id")))
+        assert out.select("old", "id", "new").exceptAll(want.select("old", "id", "new")).count() == 0
+        assert out.count() == 20000
+    chunks = ordered_scan(few, [], ["old", "id"], row_number="n", keep_chunk=True).groupBy("_chunk").count().collect()
+    assert len(chunks) >= 4 and max(r["count"] for r in chunks) < 10000
+    assert row_numbers(spark.createDataFrame([(None,), (5,), (7,)], "i int"), ["i"]).orderBy("row_no").collect()[0].i is None
+
+
+def test_a_hot_day_is_split(spark):
+    """A third of all rows on one paddock-day: its rows spread over several chunks, the answers stay the same."""
+    n = 6000
+    df = spark.range(0, n).select(
+        F.col("id").alias("rid"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 40 + 2).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-05-01")).otherwise(
+            F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")), "yyyy-MM-dd"))
+        .cast("date").alias("d"), (F.col("id") % 7 != 0).cast("int").alias("f"))
+    spec = dict(runs={"r": "f"}, lags={"l": ("rid", 1)}, row_number="rn")
+    out = ordered_scan(df, ["k"], ["d", "rid"], keep_chunk=True, **spec)
+    assert out.where("k = 1").select("_chunk").distinct().count() > 1
+    _cmp(out, window_reference(df, ["k"], ["d", "rid"], **spec), ["rid", "r", "l", "rn"])
+
+
+def test_the_grid_is_made_by_many_tasks(spark):
+    from pradera.operators.calendar import key_days
+    keys = spark.range(0, 50000).select((F.col("id") % 50000).alias("k"))
+    g = key_days(keys, ["k"], F.lit("2024-01-15").cast("date"), F.lit("2025-01-13").cast("date"))
+    per = g.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per) == 50000 * 365
+    assert len(per) >= 4 and max(r["count"] for r in per) < 50000 * 365 / 2
+
+
+def test_one_pass_over_the_input(spark):
+    """By rows, the input is read and written once; what follows reads the written frame."""
+    df = spark.range(0, 1000).withColumn("k", F.col("id") % 3)
+    out = ordered_scan(df, ["k"], ["id"], sums={"s": "id"})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in plan and plan.count("Relation [") == 2

@@ -4,21 +4,23 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pradera.operators.scan import ordered_scan, value_chunk, window_reference
+from pradera.operators.scan import ordered_scan, value_chunk
 
-ROW = st.tuples(st.sampled_from([1, 1, 1, 2, 3]), st.integers(0, 40), st.sampled_from([0, 1, 2, None]),
+from .window_reference import window_reference
+
+ROW = st.tuples(st.sampled_from([1, 1, 1, 2, 3]), st.one_of(st.none(), st.integers(0, 40)), st.sampled_from([0, 1, 2, None]),
                 st.one_of(st.none(), st.floats(0, 10, allow_nan=False)))
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(rows=st.lists(ROW, min_size=1, max_size=80), width=st.integers(1, 12))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(ROW, min_size=1, max_size=80), width=st.one_of(st.none(), st.integers(1, 12)))
 def test_chunked_scan_equals_windows(spark, rows, width):
     data = [(i, k, t, f, x) for i, (k, t, f, x) in enumerate(rows)]
     df = spark.createDataFrame(data, "rid long, k long, t int, f int, x double")
     spec = dict(sums={"s": "f"}, runs={"r": "f"}, ffill={"ff": "x"}, lags={"l2": ("x", 2)}, row_number="rn",
                 run_fills={"q": ("f", True)}, lag_fills={"g": ("x", F.col("f") == 0)},
-                last_pos={"p": F.col("f") == 2})
-    a = ordered_scan(df, ["k"], ["t", "rid"], value_chunk("t", width), **spec)
+                last_pos={"p": F.col("f") == 2}, change_ids={"c": "f"})
+    a = ordered_scan(df, ["k"], ["t", "rid"], value_chunk("t", width) if width else None, **spec)
     b = window_reference(df, ["k"], ["t", "rid"], **spec)
-    cols = ["rid", "s", "r", "ff", "l2", "rn", "q", "g", "p"]
+    cols = ["rid", "s", "r", "ff", "l2", "rn", "q", "g", "p", "c"]
     assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())

@@ -51,6 +51,42 @@ def test_key_update_sets_unmatched_to_null(spark):
     assert key_update(cows, upd, "ID_VACA", "IDparto").columns == cows.columns
 
 
+def test_key_update_never_adds_rows(spark):
+    cows = spark.createDataFrame([(1, "LUNA", 5), (2, "SOL", 6), (None, "X", 7)], "ID_VACA long, Nombre_Vaca string, IDparto long")
+    upd = spark.createDataFrame([(1, 50, 2), (1, 60, 1), (1, None, 0), (None, 9, 1)], "ID_VACA long, IDparto long, at int")
+    got = lambda **k: sorted((str(r.ID_VACA), r.IDparto) for r in key_update(cows, upd, "ID_VACA", "IDparto", **k).collect())
+    assert got(order=["at"]) == [("1", 50), ("2", None), ("None", None)]
+    assert got(order=["at"], unmatched_to_null=False) == [("1", 50), ("2", 6), ("None", 7)]
+    assert got() == [("1", 60), ("2", None), ("None", None)]
+
+
+def test_malformed_lines_are_not_lost(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    (tmp_path / "x.csv").write_text("a,b\n1,x\nno number,y\n")
+    with pytest.raises(Exception):  # noqa: B017 - Spark's error class differs by reader
+        files.read_csv(spark, str(tmp_path / "x.csv"), schema).collect()
+    rows = files.read_csv(spark, str(tmp_path / "x.csv"), schema, corrupt="_bad").collect()
+    assert [(r.a, r._bad) for r in rows] == [(1, None), (None, "no number,y")]
+    (tmp_path / "y.json").write_text('{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception):  # noqa: B017
+        files.read_json_list(spark, str(tmp_path / "y.json"), schema).collect()
+    rows = files.read_json_list(spark, str(tmp_path / "y.json"), schema, corrupt="_bad").collect()
+    assert [(r.a, r.b, r._bad) for r in rows] == [(1, None, None), (None, None, '{"a": ')]
+
+
+def test_jdbc_reads_are_parallel_or_say_so():
+    import pytest
+    o = files.jdbc_options("jdbc:x", "t", "ID", 0, 100, 4, {"user": "u"})
+    assert o == {"url": "jdbc:x", "dbtable": "t", "user": "u", "partitionColumn": "ID", "lowerBound": "0",
+                 "upperBound": "100", "numPartitions": "4"}
+    assert files.jdbc_options("jdbc:x", "t", one_task=True) == {"url": "jdbc:x", "dbtable": "t"}
+    for bad in ({}, {"partition_column": "ID"}, {"partition_column": "ID", "lower": 5, "upper": 5}):
+        with pytest.raises(ValueError):
+            files.jdbc_options("jdbc:x", "t", **bad)
+
+
 def test_json_array_dump(spark, tmp_path):
     p = tmp_path / "hatos.json"
     p.write_text('[{"ID_FINCA": 1, "ID_HATO": 2, "Nombre_Hato": "RECODO 2", "TIPO_Hato": "LECHE"},\n'
