@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from ..functions.categories import name_to_id
 from ..functions.recode import recode, shift_code
-from ..functions.text import composite_key, format_date, parse_date, percent_to_fraction, strip
+from ..functions.text import (composite_key, format_date, null_if, parse_date, percent_to_fraction, replace_value,
+                              strip)
 from ..operators.aggregate import keep_last
 from ..operators.keys import assign_ids
 from ..operators.reconcile import MERGE, anti, enrich, join_flag, parent_lookup, reconcile, semi
@@ -69,10 +70,10 @@ def mastitis_load(mastitis: DataFrame, stored: DataFrame, cows: DataFrame, opera
     new = r.filter(F.col(MERGE) == "left_only").drop("ID_Actividad", MERGE)
     new = semi(new, cows, ["ID_VACA"])                      # drop cows unknown to the cow table
     mark = stored.select(F.max("ID_Actividad")).scalar()
-    new = assign_ids(new, "ID_VACA", mark, "ID_Actividad", tie=["key", "Comentario"])
+    new = assign_ids(new, "ID_VACA", mark, "ID_Actividad", tie=["key", "Comentario", "ID_OPERARIO"])
     # detail: key without the type (trap T18), keep the last file row per activity
     dkey = composite_key(format_date("Fecha", "MM/dd/yyyy"), "ID_VACA")
-    det = m.select(dkey.alias("_k2"), "row_id", "AI", "AD", "PI", "PD", "Chequeo_revision",
+    det = m.withColumn("Fecha", F.col("_fecha")).select(dkey.alias("_k2"), "row_id", "AI", "AD", "PI", "PD", "Chequeo_revision",
                    percent_to_fraction("Ubre_sana").alias("Ubre_sana"),
                    percent_to_fraction("Calificacion").alias("Calificacion"),
                    percent_to_fraction("GAP").alias("GAP"))
@@ -149,3 +150,12 @@ def animals_extract(animals: DataFrame) -> DataFrame:
         F.col("DamB").alias("VacaMadre"), F.col("DamParity").alias("IDparto"), F.col("OrigDate").alias("FechaRegistro"),
         shift_code("OrigType").alias("IDTipoOrigen"), F.col("BirthDate").alias("FechaNacimiento"),
         shift_code("Fate").alias("IDTipoSalida"), F.col("FateDate").alias("FechaSalida"), "Sire")
+
+
+def animals_extract_older(animals: DataFrame) -> DataFrame:
+    """B11 in its older form: the sentinels 0 of ids and -101 of breeds replaced, blank electronic ids null, two states."""
+    d = animals_extract(animals)
+    return d.withColumns({
+        "ID_VACA": replace_value("ID_VACA", 0, 1), "ElectronicID": null_if("ElectronicID", ""),
+        "Raza": replace_value("Raza", -101, 0), "VacaMadre": replace_value("VacaMadre", 0, 1),
+        "Estado": F.lit(1), "Estado_Final": F.lit(1)})

@@ -15,10 +15,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.categories import calving_category, refine_category, service_category
+from ..functions.categories import calving_category, refine_category, service_category, vocabulary_category
 from ..functions.recode import case_map, recode_join
 from ..functions.text import blanks_to_null, null_if
-from ..operators.keys import assign_ids
+from ..operators.keys import assign_ids, key_update
 from ..operators.reconcile import audit_missing
 from ..operators.reshape import union_by_name
 
@@ -122,6 +122,34 @@ def detail_load(operations: DataFrame, detail: DataFrame | None, stored: DataFra
     return out
 
 
+# fixed values of the older calving script: operation type, activity type, result, operator
+OLD_CALVING, OLD_TYPE, OLD_RESULT, OLD_OPERATOR = 15, 1, 1, 36
+
+
+def calvings_load_older(operations: DataFrame, parities: DataFrame, stored: DataFrame, cows: DataFrame):
+    """B14 in its older form: returns dict(activities, parities, cows, map).
+
+    Calvings with their parity; the category is the comment's vocabulary word (F16).  ``parities`` are the
+    ``Actividad_Partos`` rows; in ``cows`` the parity of birth points at the new activity, null where its parity has
+    none.  ``map`` keeps every calving with its new id."""
+    ops = operations.filter(F.col("OperationType") == OLD_CALVING).select(
+        F.col("ID").alias("ID_OP"), F.col("Animal").alias("ID_VACA"), F.col("Date").alias("Fecha"),
+        F.col("Remarks").alias("Comentario"))
+    par = parities.select(F.col("OpPar").alias("_op"), F.col("Animal").alias("VACA"),
+                          F.col("Number").alias("NumeroDePartos"), F.col("ID").alias("ID_PARTO"))
+    p = ops.join(par, ops["ID_OP"] == par["_op"], "left").drop("_op").distinct()
+    p = p.withColumns({"ID_TipoOperacion": F.lit(OLD_TYPE), "ID_Resultado": F.lit(OLD_RESULT),
+                       "ID_OPERARIO": F.lit(OLD_OPERATOR), "ID_Categoria": vocabulary_category("Comentario")})
+    p = assign_ids(p, "ID_OP", stored.select(F.max("ID_Actividad")).scalar(), "ID_Actividad",
+                   tie=["ID_PARTO", "NumeroDePartos", "VACA", "ID_VACA", "Fecha", "Comentario"])
+    born = cows.filter(F.col("IDparto").isNotNull()).select("ID_VACA", F.col("IDparto").alias("ID_PARTO"))
+    born = born.join(p.select("ID_PARTO", "ID_Actividad"), "ID_PARTO").select("ID_VACA", "ID_Actividad")
+    return {"activities": p.select("ID_Actividad", "ID_VACA", "ID_TipoOperacion", "ID_Resultado", "ID_OPERARIO",
+                                   "ID_Categoria", "Fecha", "Comentario"),
+            "parities": p.select("ID_Actividad", "NumeroDePartos"),
+            "cows": key_update(cows, born, "ID_VACA", "IDparto", "ID_Actividad", order=["ID_Actividad"]), "map": p}
+
+
 def sires_load(sires: DataFrame, breed_map: DataFrame) -> DataFrame:
     """Sires with breeds recoded through the map (unmapped -> null) and blanks -> null."""
     s = sires.distinct().select(F.col("ID").alias("IDsire"), "Active", "IDOfficial", "AINumber",
