@@ -1,8 +1,9 @@
 """Aggregations and de-duplication.
 
-Every aggregate is a hash aggregate with a map-side partial step, so a hot
-key is pre-aggregated before the shuffle.  Order-dependent picks use
-``max_by`` over an explicit order (never file order).
+Every aggregate has a map-side partial step, so a hot key is pre-aggregated
+before the shuffle.  Order-dependent picks use ``max_by`` over an explicit
+order (never file order); those that carry whole rows plan as sort
+aggregates, the others as hash aggregates.
 """
 
 from __future__ import annotations
@@ -37,15 +38,6 @@ def herd_day_totals(df: DataFrame, keys: Sequence[str], *, animals: str, milk: s
     return g
 
 
-def group_sums(df: DataFrame, keys: Sequence[str], sums: dict[str, str]) -> DataFrame:
-    """A1 generic: named sums per group, null keys dropped, all-null group -> 0."""
-    ok = F.lit(True)
-    for k in keys:
-        ok = ok & F.col(k).isNotNull()
-    return df.filter(ok).groupBy(*keys).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()])
-
-
 def last_non_null_by_group(df: DataFrame, keys: Sequence[str], value: str, order: str | Column,
                            name: str | None = None) -> DataFrame:
     """A2: per group, the last non-null ``value`` in ``order`` (pandas ``groupby().last()``)."""

@@ -50,13 +50,6 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], indicator:
     return j.select(*keys, *rest)
 
 
-def reconcile_split(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    """``(new, existing, missing)`` = left_only, both, right_only."""
-    r = reconcile(left, right, keys)
-    return (r.filter(F.col(MERGE) == "left_only"), r.filter(F.col(MERGE) == "both"),
-            r.filter(F.col(MERGE) == "right_only"))
-
-
 def join_flag(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
               flag: str = MERGE, null_safe: bool = False, suffixes=("_x", "_y")) -> DataFrame:
     """Left join with an indicator (``both`` / ``left_only``)."""

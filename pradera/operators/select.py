@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def select_names(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Select by name list."""
-    return df.select(*names)
-
-
 def select_positions(df: DataFrame, positions: Sequence[int]) -> DataFrame:
     """Select by position (names resolved from ``df.columns``)."""
     cols = df.columns

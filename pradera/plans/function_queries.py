@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 
 from ..functions.categories import (CALVING_RULES, CALVING_VOCAB, CALVING_VOCAB_IDS, calving_category, service_category,
                                     vocabulary_category)
-from ..functions.codes import farm_prefix, pad_suffix, paddock_code, prefixed_code
-from ..functions.text import (blank_to_null, col_diff, day_diff, format_date, null_if, parse_date,
-                              parse_numbers, percent_to_fraction, replace_value, safe_ratio, split_sector, upper)
+from ..functions.codes import farm_prefix, pad_suffix, paddock_code, prefer_base, prefixed_code
+from ..functions.text import (blank_to_null, col_diff, day_diff, fill_all, fill_from, format_date, null_if, parse_date,
+                              parse_numbers, percent_to_fraction, replace_value, safe_ratio, split_sector, upper, strict_int)
 from ..operators.aggregate import bounds, distinct_values, null_counts, value_counts
+from ..operators.calendar import calendar
 from ..operators.reshape import explode_non_null
-from ..operators.select import any_of, conform, drop_null, skip_first
+from ..operators.select import any_of, conform, drop_null, since_date, skip_first
 from ..sources.sinks import patch_payload
 from ..sources.tables import table
 
@@ -400,7 +401,67 @@ def q_col_diff(spark, sf):
 SQL["col_diff"] = "SELECT l_orderkey, l_linenumber, l_partkey - l_suppkey AS diff FROM lineitem"
 
 
+# --------------------------------------------------------------------------- F4 F18 F25 P13 R3
+def q_prefer_base(spark, sf):
+    """a paddock number, else the one in a text; some texts are no number, some numbers missing."""
+    p = _t(spark, sf, "part")
+    base = F.when(F.col("p_size") % 3 != 0, F.col("p_size"))
+    alt = F.when(F.col("p_partkey") % 5 == 0, "x").otherwise(F.col("p_partkey").cast("string"))
+    return p.select("p_partkey", prefer_base(base, alt).alias("number"))
+
+
+SQL["prefer_base"] = """SELECT p_partkey, coalesce(CASE WHEN p_size % 3 <> 0 THEN p_size END,
+  TRY_CAST(CASE WHEN p_partkey % 5 = 0 THEN 'x' ELSE CAST(p_partkey AS VARCHAR) END AS INTEGER)) AS number FROM part"""
+
+
+def q_strict_int(spark, sf):
+    """the priority's leading digit as a number (another text would stop the query)."""
+    o = _t(spark, sf, "orders")
+    return o.select("o_orderkey", strict_int(F.substring("o_orderpriority", 1, 1)).alias("priority"))
+
+
+SQL["strict_int"] = "SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority FROM orders"
+
+
+def q_fill_values(spark, sf):
+    """a missing segment from the name, missing balances by a constant."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
+                                         F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"))
+    c = c.withColumn("segment", fill_from("segment", "c_name"))
+    return fill_all(c, ["balance"], 0.0)
+
+
+SQL["fill_values"] = """SELECT c_custkey, c_name, coalesce(nullif(c_mktsegment, 'BUILDING'), c_name) AS segment,
+  CASE WHEN c_acctbal >= 0 THEN c_acctbal ELSE 0.0 END AS balance FROM customer"""
+
+
+def q_since_date(spark, sf):
+    """A start date, and none."""
+    o = _t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    late = since_date(o, "day", "19970101").withColumn("part", F.lit("since"))
+    every = since_date(o, "day", "no").withColumn("part", F.lit("all"))
+    return late.unionByName(every).select("part", "o_orderkey")
+
+
+SQL["since_date"] = """SELECT 'since' AS part, o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1997-01-01'
+UNION ALL SELECT 'all', o_orderkey FROM orders"""
+
+
+def q_calendar_days(spark, sf):
+    """Every day between the first and the last order."""
+    return calendar(_t(spark, sf, "orders"), "o_orderdate", "day").select(format_date("day", "yyyy-MM-dd").alias("day"))
+
+
+SQL["calendar_days"] = """SELECT strftime(unnest(generate_series((SELECT min(CAST(o_orderdate AS DATE)) FROM orders),
+  (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY)), '%Y-%m-%d') AS day"""
+
+
 QUERIES = {
+    "prefer_base": q_prefer_base,
+    "strict_int": q_strict_int,
+    "fill_values": q_fill_values,
+    "since_date": q_since_date,
+    "calendar_days": q_calendar_days,
     "code_build": q_code_build,
     "code_pad": q_code_pad,
     "percent_parse": q_percent_parse,

@@ -3,7 +3,7 @@
 Stand-ins: incoming activity rows = line items, stored activities = line
 items of another status; cows = customers; activity ids = order keys; the
 id high-water mark = the largest customer key (a stored table that already
-holds ids).  Every query reads its tables whole.
+holds ids).
 """
 
 from __future__ import annotations
@@ -249,9 +249,8 @@ FROM orders o LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BU
 def q_dup_report(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", F.md5("text").alias("text_md5"), "lang", "source")
     g = group_size(d, ["text_md5"], "duplicados").filter(F.col("duplicados") > 1)
-    last = keep_last(g, ["doc_id"], ["doc_id"])
     lab = _t(spark, sf, "labels").select("doc_id", F.col("quality").alias("lang_q"), "toxic")
-    e = enrich(last, lab, ["doc_id"])
+    e = enrich(g, lab, ["doc_id"])
     return e.select("doc_id", "text_md5", F.col("duplicados").cast("bigint").alias("duplicados"), "lang", "source",
                     "lang_q", "toxic")
 

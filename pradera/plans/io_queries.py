@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 from ..schemas import CLIENTS
-from ..sources.files import client_ids, herds, paddocks, read_csv
+from ..sources.files import read_sheet, client_ids, herds, paddocks, read_csv
 from ..sources.sinks import append, export_csv, replace
 from ..sources.tables import table
 
@@ -44,6 +44,22 @@ def q_csv_roundtrip(spark, sf):
 SQL["csv_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
 
+SHEET = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("ID", T.StringType()),
+                      T.StructField("Grupo", T.StringType()), T.StructField("note", T.StringType())])
+
+
+def q_sheet_columns(spark, sf):
+    """Orders landed as a sheet with its row numbers; the first three columns are read."""
+    path = scratch_path(spark, "sheet")
+    table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"), F.col("o_orderstatus").alias("ID"), F.col("o_orderpriority").alias("Grupo"),
+        F.lit("note").alias("note")).write.parquet(path)
+    return read_sheet(spark, path, SHEET, n_cols=3, fmt="parquet")
+
+
+SQL["sheet_columns"] = "SELECT o_orderkey AS row_id, o_orderstatus AS ID, o_orderpriority AS Grupo FROM orders"
+
+
 def q_json_dims(spark, sf):
     """The customer table landed as a paddock API dump (one object per line), read back."""
     c = table(spark, sf, "customer")
@@ -99,6 +115,7 @@ SQL["json_clients"] = "SELECT c_custkey AS ID_CLIENTE FROM customer"
 QUERIES = {
     "json_clients": q_json_clients,
     "csv_roundtrip": q_csv_roundtrip,
+    "sheet_columns": q_sheet_columns,
     "json_dims": q_json_dims,
     "json_herds": q_json_herds,
     "append_overwrite": q_append_overwrite,

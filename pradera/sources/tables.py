@@ -15,9 +15,3 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a scale-factor folder (``<dir>/<name>.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Temp views with the table names, for ``spark.sql``."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -108,3 +108,14 @@ def test_recode_join_leaves_the_strategy_to_the_planner(spark):
     plan = out._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in plan and "limit" not in plan
     assert sorted(r.out for r in out.collect())[-1] == 490 and out.filter("out = 34").count() == 50
+
+
+def test_every_category_occurs_in_the_registered_queries(spark):
+    """The stand-in comments reach each rule, its place in the order, and the default."""
+    from pradera.functions.categories import CALVING_RULES
+    from pradera.plans import catalog
+    sf = "/root/testdata/sf0.01"
+    got = lambda q: {r.category for r in catalog.queries()[q](spark, sf).select("category").distinct().collect()}
+    assert got("comment_category") == {c for _, _, c in CALVING_RULES} | {1}
+    assert got("service_category") == {12, 13}
+    assert got("vocab_match") == {1, 2, 3, 4, 5, 6, 8, 10, 11, None}
