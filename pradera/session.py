@@ -62,11 +62,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
+    """A fresh folder under the shared checkpoint folder (never machine-local on a cluster).
+
+    It lies in a folder of the application's own, which the file system deletes when the driver ends; not before,
+    since frames that were built on it are lazy."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     if not base:
         raise RuntimeError("no shared folder: set spark.checkpoint.dir")
-    return f"{base}/pradera-{name}-{uuid.uuid4().hex[:12]}"
+    sc = spark.sparkContext
+    own = f"{base}/pradera-{sc.applicationId}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(own)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
