@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pradera.session import scratch_path
+from pradera.session import write_once
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -14,15 +14,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the cluster's shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def unit_hash(*cols) -> Column:
-    """Reproducible number in [0, 1) from the columns (xxhash64, 52 bits)."""
-    return F.shiftrightunsigned(F.xxhash64(*cols), 12) / F.lit(float(1 << 52))
+    return write_once(df, name)
 
 
 def block_pairs(rows: DataFrame, group: str, block_rows: int) -> DataFrame:
