@@ -3,8 +3,8 @@
 Documents with the same words are one class; classes are joined.  Every class has a signature of MinHash values, one
 per coordinate, so two sets agree on a coordinate with the probability of their similarity.  A run starts with all
 sets in one node; a node with many sets is split: a hash of its path chooses coordinates, SPLITS on average, and the
-sets of a child share the value there.  Nodes of up to LEAF sets, and those at the last level, are leaves.  In a leaf
-every pair's signatures are compared, and pairs that agree on LOOSE of the coordinates or more connect their sets.
+sets of a child share the value there.  Nodes of up to LEAF sets, those of sets that are alike, and those at the last level are
+leaves.  In a leaf signatures are compared, and pairs that agree on LOOSE of the coordinates or more connect their sets.
 Similar sets keep meeting in a child with probability over 1 / 2 per run and level, so RUNS runs reach the recall.
 
 Connected sets form groups; inside a group all pairs are compared exactly, block by block, on the texts' n-grams.
@@ -35,7 +35,9 @@ SPLITS = 1.25            # chosen coordinates of a node, on average: 1 / SIMILAR
 LEVELS = 4
 LEAF = 64                # sets that a node may hold and not be split
 LOOSE = 0.6              # agreement of signatures that connects two sets before the exact comparison
-BLOCK_ROWS = 512         # sets of a block of a leaf
+DENSE = 0.5              # share of a node's sets that are alike, from which it is a leaf of any size
+PEEK = 24                # coordinates that tell whether a node is dense
+BLOCK_ROWS = 4096        # sets of a block of a leaf
 GROUP_ROWS = 256         # of a block of a group
 _WORD = re.compile(r"\w+")
 
@@ -142,15 +144,31 @@ def candidates(sets: DataFrame, runs: int = RUNS, levels: int = LEVELS) -> DataF
                 chosen, lambda c: F.xxhash64(F.col("path"), c, value(c)))).alias("path"))
         sizes = child.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         met = stored(child.join(sizes, "path"), "jaccard-nodes")
-        leaf = met if level == levels else met.where(F.col("n") <= LEAF)
+        if level < levels:
+            dense = stored(_dense_nodes(met.where(F.col("n") > LEAF), sets), "jaccard-dense")
+            leaf = met.where(F.col("n") <= LEAF).unionByName(met.join(dense, "path", "left_semi"))
+            nodes = met.where(F.col("n") > LEAF).join(dense, "path", "left_anti").select("id", "path")
+        else:
+            leaf = met
         dealt = block_pairs(leaf.select("id", "path"), "path", BLOCK_ROWS)
         dealt = dealt.join(sets.select("id", "short"), "id")
         found = over_groups(dealt, ["path", "bi", "bj"], "id", _leaf, "a long, b long")
         edges = found if edges is None else edges.union(found)
-        nodes = met.where(F.col("n") > LEAF).select("id", "path")
     return edges
 
 
+def _dense_nodes(big: DataFrame, sets: DataFrame) -> DataFrame:
+    """Paths of nodes whose sets are alike, DENSE of them to a member drawn by a hash: splitting wouldn't part them."""
+    short = sets.select("id", F.substring("short", 1, PEEK).alias("s"))
+    chosen = big.groupBy("path").agg(F.min_by("id", F.xxhash64("path", "id")).alias("id"))
+    chosen = chosen.join(short, "id").select("path", F.col("s").alias("t"))
+    same = F.size(F.filter(F.sequence(F.lit(1), F.lit(PEEK)),
+                           lambda c: F.substring("s", c, F.lit(1)) == F.substring("t", c, F.lit(1))))
+    return (big.select("id", "path").join(short, "id").join(chosen, "path")
+            .groupBy("path").agg(F.avg((same >= LOOSE * PEEK).cast("double")).alias("share"))
+            .where(F.col("share") >= DENSE).select("path"))
+
+
 def _overlaps(grams: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """For each left set, the number of n-grams that it shares with every right set."""
     owner = np.repeat(np.arange(len(right)), [len(grams[j]) for j in right])
