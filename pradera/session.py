@@ -11,6 +11,8 @@ import re
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -92,4 +94,18 @@ def write_once(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "write_once"]
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (once per application), as ``--py-files`` does."""
+    sc = spark.sparkContext
+    if "pradera.zip" in sc._python_includes:
+        return
+    here = Path(__file__).resolve().parent
+    zipped = Path(tempfile.mkdtemp(prefix="pradera-package-")) / "pradera.zip"
+    with zipfile.ZipFile(zipped, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    atexit.register(shutil.rmtree, zipped.parent, ignore_errors=True)  # executors fetch it as they start
+    sc.addPyFile(str(zipped))
+
+
+__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "write_once", "ship_package"]
