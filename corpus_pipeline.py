@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pradera.llm import jaccard_join, language_id, mixing, packing, quality
 from pradera.llm.common import read, stored
 
-LANGUAGE_SCORE = 0.5  # texts whose best language scores less are of no determined language
+LANGUAGE_SCORE = 0.35  # texts whose best language scores less are of no determined language
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

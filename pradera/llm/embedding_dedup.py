@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pradera.session import ship_package
+
 from .common import block_pairs, connected_components, stored
 from .groups import link_forest, over_groups
 from .vectors import matrix, unit_rows, usable
@@ -132,6 +134,7 @@ def near_duplicates(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
                               F.xxhash64("label").alias("part")), "dedup-sets")
     width = sets.agg(F.max(F.size("embedding"))).first()[0] or 1
 
+    ship_package(vectors.sparkSession)
     posts = sets.select("id", "part", "embedding").mapInArrow(
         lambda b: _post(b, width), "id long, part long, table long, code long")
     key = F.xxhash64("part", "table", "code").alias("bucket")  # rows of other buckets that share a hash are only compared

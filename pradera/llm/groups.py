@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from pradera.session import ship_package
+
 SMALL = 64  # rows of a group that is compared together with others
 
 
@@ -48,6 +50,8 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
 
 def over_groups(rows: DataFrame, keys: list[str], order: str, fn: Callable, schema: str) -> DataFrame:
     """``fn(table, starts)`` -> record batches, over whole groups; a group's rows come in the order of ``order``."""
+    ship_package(rows.sparkSession)
+
     def run(batches):
         for table, starts in whole_groups(batches, keys):
             yield from fn(table, starts)

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from pradera.session import ship_package
+
 from .common import block_pairs, connected_components, stored
 from .groups import binary_rows, link_forest, over_groups
 
@@ -226,6 +228,7 @@ def classes(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int
             levels: int = LEVELS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``h1``, ``h2`` (the row's keys), ``n_grams``, ``n_links``,
     ``class_id``, ``kept``."""
+    ship_package(docs.sparkSession)
     keyed = row_keys(docs.select("doc_id", "text"))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL(
         "h1 long, h2 long, words binary, n_grams long, sig binary, short binary").fields])

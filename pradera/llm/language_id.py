@@ -13,9 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pradera.session import ship_package
+
 LANDMARKS = 40           # per language
 SAMPLE_ROWS = 240        # labelled rows per language, at most, that the fit may use
 SAMPLE_CHARS = 20_000    # longer texts are left out of the fit (never out of the prediction)
@@ -145,7 +147,10 @@ def fit(docs: DataFrame) -> Model | None:
 def prediction(text: Column, model: Model | None) -> Column:
     """Struct of ``lang_pred`` and ``score`` of whole texts.  Null texts and texts without a letter: und, 0;
     the same for every text if no labelled row was there to learn from."""
-    shared = None if model is None else _broadcast(model)
+    spark = SparkSession.active()
+    ship_package(spark)
+    # BINS and the landmarks bound the model's size
+    shared = None if model is None else spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def language(s: pd.Series) -> pd.DataFrame:
@@ -154,11 +159,6 @@ def prediction(text: Column, model: Model | None) -> Column:
     return language(text)
 
 
-def _broadcast(model: Model):
-    from pyspark.sql import SparkSession
-    return SparkSession.active().sparkContext.broadcast(model)  # BINS and the landmarks bound its size
-
-
 def classify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred``, ``score``: one row per row of ``docs``."""
     s = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), prediction(F.col("text"), model).alias("_p"))

@@ -23,6 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from pradera.session import ship_package
+
 WINDOW = 2048
 END_ID = 1
 GROUP = 1 << 19           # tokens per run of the dynamic programme
@@ -292,6 +294,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, window: int
         T.StructField("offset", T.LongType())])
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(spec)  # the vocabulary file
 
     def run(batches):

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pradera.session import ship_package
+
 from .common import stored
 from .groups import over_groups
 from .vectors import matrix, unit_rows, usable
@@ -189,6 +191,7 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS) -> DataFrame:
     for i, r in enumerate(rows):
         sample[i, :len(r["embedding"])] = r["embedding"]
     ix = fit(sample, float(reach), k)
+    ship_package(vectors.sparkSession)
     shared = vectors.sparkSession.sparkContext.broadcast(ix)  # PIVOTS vectors
     points = stored(pts.mapInArrow(lambda b: _represent(b, shared.value),
                                    "vec_id long, x binary, as_vector binary, as_query binary"), "ann-index")

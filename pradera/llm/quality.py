@@ -14,9 +14,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pradera.session import ship_package
+
 SAMPLE_ROWS = 2000       # labelled rows per class, at most, that the fit may use
 SAMPLE_CHARS = 32_768    # longer texts are left out of the fit (never out of the scoring)
 DICT_BYTES = 65_536
@@ -126,6 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 def score(text: Column, model: Model | None) -> Column:
     """Score of whole texts, 0 to 1 (higher: good likelier).  Null and empty texts get the score of an empty text;
     without labelled rows of both classes every score is 0.5."""
+    ship_package(SparkSession.active())
+
     @F.pandas_udf("double")
     def quality_score(s: pd.Series) -> pd.Series:
         return pd.Series(score_texts(s.tolist(), model))

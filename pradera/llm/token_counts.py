@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pradera.session import ship_package
+
 MARK = "▁"
 LIMIT = 4096
 LONG = 256
@@ -315,7 +317,9 @@ def _loaded(path: str) -> Merges:
 
 def token_count(text: Column, model_path: str) -> Column:
     """Tokens of whole texts (long); null and empty texts: 0."""
-    shared = SparkSession.active().sparkContext.broadcast(_loaded(model_path))  # as large as the model file allows
+    spark = SparkSession.active()
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(_loaded(model_path))  # as large as the model file allows
 
     @F.pandas_udf("long")
     def tokens(s: pd.Series) -> pd.Series:
