@@ -41,21 +41,25 @@ DENSE = 0.5              # share of a node's sets that are alike, from which it
 PEEK = 24                # coordinates that tell whether a node is dense
 BLOCK_ROWS = 4096        # sets of a block of a leaf
 GROUP_ROWS = 256         # of a block of a group
-_WORD = re.compile(r"\w+")
+CHUNK = 1 << 20          # characters split into words at a time
+_WORD, _NO_WORD = re.compile(r"\w+"), re.compile(r"\W")
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of a text's words in order; long texts are split at the end of a word."""
+    out, at, text = [], 0, (text or "").lower()
+    while at < len(text):
+        end = at + CHUNK
+        end = m.start() if end < len(text) and (m := _NO_WORD.search(text, end)) else len(text)
+        seen: dict[str, int] = {}
+        out.append(np.array([seen.get(w) or seen.setdefault(w, xxhash.xxh3_64_intdigest(w))
+                             for w in _WORD.findall(text, at, end)], dtype=np.uint64))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    seen: dict[str, int] = {}
-    return np.array([seen.get(w) or seen.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words], dtype=np.uint64)
-
-
-def shingles(words: list[str], n: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams; a shorter text is one n-gram, no word is none."""
-    h = _word_hashes(words)
+def shingles(h: np.ndarray, n: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the n-grams of hashed words; a shorter text is one n-gram, no word is none."""
     if not len(h):
         return h
     n = min(n, len(h))
@@ -84,11 +88,10 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
     for b in batches:
         digest, size, sig, short = [], [], [], []
         for t in b.column("text"):
-            text = t.as_py()
-            words = words_of(text)
+            words = word_hashes(t.as_py())
             g = shingles(words, n)
             s = signature(g) if len(g) else None
-            digest.append(xxhash.xxh3_128_digest("\n".join(words)) if words else None)
+            digest.append(xxhash.xxh3_128_digest(words.tobytes()) if len(words) else None)
             size.append(len(g))
             sig.append(None if s is None else s.astype("<u4").tobytes())
             short.append(None if s is None else s.astype(np.uint8).tobytes())
@@ -197,7 +200,7 @@ def _compare(table: pa.Table, starts: np.ndarray, n: int, similar: float) -> Ite
     links, a, b = np.zeros(len(ids), dtype=np.int64), [], []
     limit = round(similar * 1000)
     for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True):
-        grams = [shingles(words_of(t), n) for t in table.column("text").slice(s, e - s).to_pylist()]
+        grams = [shingles(word_hashes(t), n) for t in table.column("text").slice(s, e - s).to_pylist()]
         total = np.array([len(g) for g in grams])
         left, right = np.flatnonzero(blk[s:e] == bi[s]), np.flatnonzero(blk[s:e] == bj[s])
         if not len(left) or not len(right):

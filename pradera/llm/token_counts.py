@@ -12,6 +12,7 @@ pair first.  Words of over LONG characters are merged one pair at a time from a
 from __future__ import annotations
 
 import heapq
+import re
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -26,7 +27,9 @@ MARK = "▁"
 LIMIT = 4096
 LONG = 256
 CACHE_WORDS = 500_000     # pre-tokens a worker remembers; beyond that it starts anew
+LONG_TEXT = 4_000_000      # characters split into words at a time
 NONE = np.int32(2**31 - 1)
+_SINGLE_SPACE = re.compile("[^ ] (?=[^ ])")
 
 
 @dataclass
@@ -279,8 +282,24 @@ def _learn(words: set[str], m: Merges) -> None:
             m.words[w] = 2 * (count - bare) + bare
 
 
+def _parts(text: str) -> list[str]:
+    """A long text in parts, cut at single spaces: the mark that a part begins with stands for the space."""
+    out, at = [], 0
+    while len(text) - at > LONG_TEXT and (cut := _SINGLE_SPACE.search(text, at + LONG_TEXT)):
+        out.append(text[at:cut.start() + 1])
+        at = cut.start() + 2
+    return [*out, text[at:]]
+
+
 def count_text_list(texts, m: Merges) -> list[int]:
     """Tokens of each whole text; null and empty texts have none."""
+    if any(t and len(t) > LONG_TEXT for t in texts):
+        return [sum(sum(_count_texts([p], m)) for p in _parts(t.replace(MARK, " "))) if t and len(t) > LONG_TEXT
+                else _count_texts([t], m)[0] for t in texts]
+    return _count_texts(texts, m)
+
+
+def _count_texts(texts, m: Merges) -> list[int]:
     out = []
     words = [t.replace(MARK, " ").split(" ") if t else [] for t in texts]
     known = m.words
@@ -327,7 +346,7 @@ def token_count(text: Column, model_path: str) -> Column:
         at = 0
         while at < len(texts):  # some MB of text at a time
             size, to = 0, at
-            while to < len(texts) and size < 4_000_000:
+            while to < len(texts) and size < LONG_TEXT:
                 size += len(texts[to] or "")
                 to += 1
             out += count_text_list(texts[at:to], m)

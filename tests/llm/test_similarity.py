@@ -94,6 +94,14 @@ def test_join_of_nothing(spark):
     assert sorted((r.doc_id, r.class_id, r.n_links, r.kept) for r in got) == [(1, 1, 0, True), (2, 2, 0, True)]
 
 
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    text = "The cat's Éñ_9 sat, on  a mat! " * 5
+    whole = jaccard_join.word_hashes(text)
+    monkeypatch.setattr(jaccard_join, "CHUNK", 7)
+    assert (jaccard_join.word_hashes(text) == whole).all() and len(whole) == 40
+    assert len(jaccard_join.shingles(whole)) == len(grams(text))
+
+
 def test_signature_agreement_estimates_similarity():
     rnd = np.random.default_rng(1)
     a = np.unique(rnd.integers(0, 2**63, 400, dtype=np.uint64))

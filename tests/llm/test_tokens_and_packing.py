@@ -28,6 +28,14 @@ def test_token_counts_are_the_library_s():
     assert token_counts.count_text_list(texts, m) == [len(sp.encode(t or "")) for t in texts]
 
 
+def test_long_texts_are_counted_in_parts(monkeypatch):
+    sp, m = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.load(PIECES)
+    monkeypatch.setattr(token_counts, "LONG_TEXT", 9)
+    texts = _random_texts(800, 5) + ["the cat  sat on\na mat   " * 9, "a" * 50, " " * 50, "a b c d e f g h i j k"]
+    assert len(token_counts._parts(texts[-1])) > 1
+    assert token_counts.count_text_list(texts, m) == [len(sp.encode(t)) for t in texts]
+
+
 def test_long_words_by_rounds_and_by_heap():
     sp, m = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.load(PIECES)
     rnd = random.Random(1)
