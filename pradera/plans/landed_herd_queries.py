@@ -345,6 +345,19 @@ SELECT d.*, m.new_id AS ID_ACTIVIDAD FROM (SELECT DISTINCT l_orderkey * 10 + l_l
     l_tax AS Costo_unitaro, l_suppkey AS ID_VACA, l_orderkey AS ev FROM lineitem) d LEFT JOIN m ON m.id = d.ev"""
 SQL["job_supply_uses"] = SQL["job_supply_uses"].replace("SELECT d.*,", "SELECT d.* EXCLUDE (ev),")
 
+
+# --------------------------------------------------------------------------- B22
+def q_job_stock_balance(spark, sf):
+    s = _supplies(spark, sf)
+    b = H.stock_balance(s["Suministros_origen"], s["Suministros_destino"])
+    return b.select("ID_Suministro", *[F.round(c, 4).alias(c) for c in ("recibido", "usado", "balance")])
+
+
+SQL["job_stock_balance"] = f"""WITH a AS (SELECT ID_Suministro, sum(Unidades) AS recibido FROM ({SQL["job_supply_lots"]}) GROUP BY 1),
+b AS (SELECT ID_suministro AS ID_Suministro, sum(Unidades) AS usado FROM ({SQL["job_supply_uses"]}) GROUP BY 1)
+SELECT coalesce(a.ID_Suministro, b.ID_Suministro) AS ID_Suministro, round(recibido, 4) AS recibido, round(usado, 4) AS usado,
+  round(coalesce(recibido, 0) - coalesce(usado, 0), 4) AS balance FROM a FULL JOIN b ON a.ID_Suministro = b.ID_Suministro"""
+
 # --------------------------------------------------------------------------- B19
 VET = dict(zip(PRIORITIES, (96, 104, 18, 77, 91)))
 
