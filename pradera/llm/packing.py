@@ -11,11 +11,12 @@ partition once, holds GROUP tokens, and carries what follows the last settled cu
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections import deque
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -43,35 +44,63 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Encoder:
-    """Ids that ``tokenizers`` gives for the file, without added special tokens.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed: byte-level BPE
 
-    Where the file is a plain byte-level BPE whose ids follow its merges, tiktoken's merge loop gives the same ids in
-    a third of the time; other files are run by ``tokenizers`` itself.
-    """
 
-    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""  # fixed: byte-level BPE
+@dataclass(frozen=True)
+class Vocabulary:
+    """What tasks need of a tokenizer file."""
+
+    key: str
+    ranks: dict | None     # bytes -> id where ids follow the merges, else None
+    special: dict          # text -> id
+    ends: bytes            # for each id, 1 if a sentence may end with it
+    spec: str | None       # the file, if the library has to run it
 
-    def __init__(self, spec: str):
+
+def vocabulary(spec: str) -> Vocabulary:
+    """Read a ``tokenizers`` file.
+
+    Where it is a plain byte-level BPE whose ids follow its merges, tiktoken's merge loop gives the same ids in a third
+    of the time; other files are run by ``tokenizers`` itself.
+    """
+    d = json.loads(spec)
+    letters, vocab, added = _byte_letters(), d["model"].get("vocab", {}), d.get("added_tokens", [])
+    special = {x["content"]: x["id"] for x in added}
+    pre = d.get("pre_tokenizer") or {}
+    merges = [x if isinstance(x, list) else x.split(" ") for x in d["model"].get("merges", [])]
+    plain = (d["model"].get("type") == "BPE" and pre.get("type") == "ByteLevel" and not d.get("normalizer")
+             and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+             and all(x.get("special") and not (x["lstrip"] or x["rstrip"] or x["single_word"]) for x in added)
+             and [vocab.get(a + b) for a, b in merges] == list(range(256, 256 + len(merges))))
+    ranks = {bytes(letters[c] for c in w): i for w, i in vocab.items() if w not in special} if plain else {}
+    plain = plain and sorted(ranks.values()) == list(range(256 + len(merges)))
+    size = max([*vocab.values(), *special.values()], default=-1) + 1
+    if plain:
+        text = {i: b.decode("utf-8", "replace") for b, i in ranks.items()} | {i: x for x, i in special.items()}
+        words = [text.get(i, "") for i in range(size)]
+    else:
         from tokenizers import Tokenizer
-        self.slow = Tokenizer.from_str(spec)
-        d = json.loads(spec)
-        letters, vocab = _byte_letters(), d["model"].get("vocab", {})
-        self.fast, self.special = None, [x["content"] for x in d.get("added_tokens", [])]
-        pre = d.get("pre_tokenizer") or {}
-        merges = [x if isinstance(x, list) else x.split(" ") for x in d["model"].get("merges", [])]
-        ranks = {bytes(letters[c] for c in w): i for w, i in vocab.items() if w not in self.special}
-        plain = (d["model"].get("type") == "BPE" and pre.get("type") == "ByteLevel" and not d.get("normalizer")
-                 and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-                 and [vocab.get(a + b) for a, b in merges] == list(range(256, 256 + len(merges)))
-                 and sorted(ranks.values()) == list(range(256 + len(merges)))
-                 and all(x.get("special") and not (x["lstrip"] or x["rstrip"] or x["single_word"])
-                         for x in d.get("added_tokens", [])))
-        if plain:
+        whole = Tokenizer.from_str(spec)
+        words = [whole.decode([i], skip_special_tokens=False) for i in range(size)]
+    # a sentence may end with an id whose text ends with a stop or holds a line end
+    ends = bytes(bool(re.search(r"[.!?…。！？][\"')\]»”]*\s*$|\n", w)) for w in words)
+    return Vocabulary(hashlib.md5(spec.encode()).hexdigest(), ranks if plain else None, special, ends,
+                      None if plain else spec)
+
+
+class Encoder:
+    """Ids that ``tokenizers`` gives with a vocabulary, without added special tokens."""
+
+    def __init__(self, v: Vocabulary):
+        self.special, self.fast, self.slow = list(v.special), None, None
+        if v.ranks is not None:
             import tiktoken
-            self.fast = tiktoken.Encoding("vocabulary", pat_str=self.PATTERN, mergeable_ranks=ranks,
-                                          special_tokens={x["content"]: x["id"] for x in d.get("added_tokens", [])})
-        self.size = max([*vocab.values(), *(x["id"] for x in d.get("added_tokens", []))], default=-1) + 1
+            self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=v.ranks,
+                                          special_tokens=v.special)
+        else:
+            from tokenizers import Tokenizer
+            self.slow = Tokenizer.from_str(v.spec)
 
     def _encode(self, text: str) -> list[int]:
         if self.fast is None:
@@ -90,16 +119,15 @@ class Encoder:
             yield np.array(self._encode(text[at:end]), dtype=np.uint32)
             at = end or 1
 
-    def sentence_ends(self) -> np.ndarray:
-        """Whether a sentence may end with the id: its text ends with a stop or holds a line end."""
-        words = [self.slow.decode([i], skip_special_tokens=False) for i in range(self.size)]
-        return np.array([bool(re.search(r"[.!?…。！？][\"')\]»”]*\s*$|\n", w)) for w in words], dtype=bool)
+
+_encoders: dict[str, Encoder] = {}  # of a worker
 
 
-@lru_cache(maxsize=2)
-def _encoder(spec: str) -> tuple[Encoder, np.ndarray]:
-    e = Encoder(spec)
-    return e, e.sentence_ends()
+def _encoder(v: Vocabulary) -> Encoder:
+    if v.key not in _encoders:
+        _encoders.clear()
+        _encoders[v.key] = Encoder(v)
+    return _encoders[v.key]
 
 
 def padding(length, window: int = WINDOW):
@@ -229,10 +257,10 @@ class _Stream:
         return out
 
 
-def _pack_partition(batches, spec: str, end_id: int, window: int, id_type: pa.DataType, task: int):
-    encode, ends = _encoder(spec)
-    is_end = np.zeros(max(len(ends), end_id + 1), dtype=bool)
-    is_end[:len(ends)] = ends
+def _pack_partition(batches, v: Vocabulary, end_id: int, window: int, id_type: pa.DataType, task: int):
+    encode = _encoder(v)
+    is_end = np.zeros(max(len(v.ends), end_id + 1), dtype=bool)
+    is_end[:len(v.ends)] = np.frombuffer(v.ends, dtype=bool)
     stream, totals, open_pieces = _Stream(window, is_end, task), {}, []
     known, row = {}, 0
 
@@ -286,7 +314,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, window: int
     empty table has no piece.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
-        spec = f.read()
+        v = vocabulary(f.read())
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
@@ -295,7 +323,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, window: int
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(spec)  # the vocabulary file
+    shared = docs.sparkSession.sparkContext.broadcast(v)  # as large as the vocabulary file
 
     def run(batches):
         yield from _pack_partition(batches, shared.value, end_id, window, id_type, TaskContext.get().partitionId())

@@ -16,6 +16,10 @@ ODD = [None, "", " ", "  a", "a  ", "▁", "<s>", "</s> x", "a\nb\tc", "漢字 
        "<|endoftext|>", "it's  <|endoftext|>it", "the and of " * 20_000]
 
 
+def _bytes_encoder():
+    return packing.Encoder(packing.vocabulary(open(BYTES, encoding="utf-8").read()))
+
+
 def _random_texts(n, seed=4):
     rnd = random.Random(seed)
     letters = [*"aabbtheinr .,!\n▁  ß漢😀012<s>'_-", "  ", "the", "tion", " the ", "<|endoftext|>"]
@@ -72,7 +76,7 @@ def test_token_counts_of_the_table(spark):
 
 
 def test_ids_are_the_library_s():
-    e, t = packing.Encoder(open(BYTES, encoding="utf-8").read()), Tokenizer.from_file(BYTES)
+    e, t = _bytes_encoder(), Tokenizer.from_file(BYTES)
     assert e.fast is not None
     for x in _random_texts(3000, 8) + [o for o in ODD if o]:
         assert np.concatenate(list(e(x))).tolist() == t.encode(x, add_special_tokens=False).ids
@@ -80,7 +84,7 @@ def test_ids_are_the_library_s():
 
 def test_long_texts_are_cut_where_a_word_ends(monkeypatch):
     monkeypatch.setattr(packing, "CHUNK", 7)
-    e, t = packing.Encoder(open(BYTES, encoding="utf-8").read()), Tokenizer.from_file(BYTES)
+    e, t = _bytes_encoder(), Tokenizer.from_file(BYTES)
     x = "the cat's  tail , it's\n\nred and blue  yes" * 9
     parts = list(e(x))
     assert len(parts) > 5 and np.concatenate(parts).tolist() == t.encode(x, add_special_tokens=False).ids
@@ -88,7 +92,7 @@ def test_long_texts_are_cut_where_a_word_ends(monkeypatch):
 
 def test_other_vocabularies_run_in_the_library():
     path = P.path("word_bpe_49k.json")
-    e = packing.Encoder(open(path, encoding="utf-8").read())
+    e = packing.Encoder(packing.vocabulary(open(path, encoding="utf-8").read()))
     assert e.fast is None
     assert list(e("Some Words"))[0].tolist() == Tokenizer.from_file(path).encode(
         "Some Words", add_special_tokens=False).ids
@@ -154,13 +158,13 @@ def test_packing_the_table_has_little_padding(spark, monkeypatch):
 
 def test_groups_carry_over():
     import pyarrow as pa
-    spec, group = open(BYTES, encoding="utf-8").read(), packing.GROUP
+    v, group = packing.vocabulary(open(BYTES, encoding="utf-8").read()), packing.GROUP
     packing.GROUP = 500
     try:
         texts = {i: "one sentence here. " * (i * 17) for i in range(12)}
         b = pa.RecordBatch.from_arrays([pa.array(list(texts), pa.int64()), pa.array(list(texts.values()))],
                                        names=["doc_id", "text"])
-        out = pa.Table.from_batches(packing._pack_partition(iter([b]), spec, 1, 64, pa.int64(), 0)).to_pandas()
+        out = pa.Table.from_batches(packing._pack_partition(iter([b]), v, 1, 64, pa.int64(), 0)).to_pandas()
     finally:
         packing.GROUP = group
     _check_pieces(list(out.itertuples()), texts, 64)
