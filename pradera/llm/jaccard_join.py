@@ -283,6 +283,6 @@ def join(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int =
 def keep_one(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR) -> DataFrame:
     """One row of each class, with the columns of ``docs`` as they are; repeated rows come once."""
     keep = classes(docs, n, similar).where("kept").select("h1", "h2")
-    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), "doc_id", "text")
+    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("_row"), "doc_id", "text")
     out = row_keys(whole).join(keep, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
-    return out.select([F.col("_row")[c].alias(c) for c in docs.columns])
+    return out.select([(F.col("text") if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns])

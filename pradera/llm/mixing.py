@@ -186,7 +186,8 @@ def mix_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: i
     """
     rows, narrow, sizes, sources = _plan(docs, seed, block, repeats)
     columns = docs.columns
-    data = docs.select("doc_id", "text", "source", F.struct(*[F.col(c) for c in columns]).alias("_row"))
+    data = docs.select("doc_id", "text", "source", F.struct(*[F.col(c) for c in columns if c != "text"])
+                       .alias("_row"))  # the text is carried once
     placed = positions(bucketed(data, rows).where("size > 0"), sizes, sources)
     about = sources.select("sid", "blocks", "slots", "keys")
     placed = placed.join(about, "sid")
@@ -207,7 +208,7 @@ def mix_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: i
     out = out.withColumn("_words", F.when(~F.col("_whole"), words))
     out = out.withColumn("_text", F.when(F.col("_whole"), F.col("text")).otherwise(cut))
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return out.select([new.get(c, F.col("_row")[c]).alias(c) for c in columns])
+    return out.select([(new[c] if c in new else F.col("_row")[c]).alias(c) for c in columns])
 
 
 def sql(documents: str = "documents", seed: int = 0) -> str:
