@@ -83,33 +83,30 @@ PERFORMANCE OF THIS SOFTWARE."""),
 
 COPYRIGHT_LINE = (r"(?m)^[^a-z\n]*(copyright([^\n]*[0-9]{4}|[^a-z\n]*(\(c\)|©|by ))|\(c\)[^a-z\n]*[0-9]{4}|©"
                   r"|all rights reserved)[^\n]*$\n?")
-# all but letters and digits, and but the marks 1 to 3
-SEPARATORS = r"[\x00\x04-\x2f\x3a-\x60\x7b-\x7f\x{a0}-\x{bf}\x{2010}-\x{203a}\x{3000}]+"
+# runs of separators (all but letters, digits and the marks) that aren't one space
+_SEPARATOR = r"\x00\x03-\x09\x0b-\x1f\x21-\x2f\x3a-\x60\x7b-\x7f\x{a0}-\x{bf}\x{2010}-\x{203a}\x{3000}"
+SEPARATORS = f" *[{_SEPARATOR}][ {_SEPARATOR}]*|  +"
 SENTENCE_END, SENTENCE = r"([.!?])[ \t]+", "\x01"
 PARAGRAPH_END, PARAGRAPH = r"\n[ \t]*\n", "\x02"
-LINE = "\x03"
+LINE = "\n"
 MARKS = SENTENCE + PARAGRAPH + LINE
-ONE_WORD = [(a, b) for a, b in EQUIVALENT if " " not in a]
-MORE_WORDS = [(a, b) for a, b in EQUIVALENT if " " in a]
 
 
 def marked(text: Column) -> Column:
     """Lower-case words without copyright lines; ends of sentences, paragraphs and lines stay as marks, all other
-    separators are single spaces; single words have one spelling."""
-    t = F.translate(F.lower(F.coalesce(text, F.lit(""))), MARKS, "   ")
+    separators are single spaces."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    for mark in (SENTENCE, PARAGRAPH):
+        t = F.replace(t, F.lit(mark), F.lit(" "))
     t = F.regexp_replace(t, COPYRIGHT_LINE, "")
     t = F.regexp_replace(F.regexp_replace(t, SENTENCE_END, "$1" + SENTENCE), PARAGRAPH_END, PARAGRAPH)
-    t = F.regexp_replace(F.translate(t, "\n", LINE), SEPARATORS, " ")
-    t = F.concat(F.lit(" "), F.regexp_replace(t, f"([{MARKS}])", " $1 "), F.lit(" "))
-    for a, b in ONE_WORD:
-        t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
-    return t
+    return F.regexp_replace(t, SEPARATORS, " ")
 
 
 def unmarked(t: Column) -> Column:
-    """Canonical form of a marked text or a part of one."""
+    """Canonical form of a marked text or a part of one: marks are spaces, equivalent spellings are one."""
     t = F.regexp_replace(F.concat(F.lit(" "), t, F.lit(" ")), f"[ {MARKS}]+", " ")
-    for a, b in MORE_WORDS:
+    for a, b in EQUIVALENT:
         t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.trim(t)
 
@@ -124,11 +121,35 @@ def known_licences(spark: SparkSession) -> DataFrame:
 
 
 def digests(licences: DataFrame) -> DataFrame:
-    """``digest``, ``licence``, ``n_chars`` of the canonical texts; equal texts of several licences keep the first by
-    name, empty ones are left out."""
+    """``digest``, ``licence``, ``n_chars``, ``first_word`` of the canonical texts; equal texts of several licences
+    keep the first by name, empty ones are left out."""
     c = licences.select("licence", canonical(F.col("text")).alias("c")).where("c <> ''")
-    return c.groupBy(F.sha2("c", 256).alias("digest"), F.length("c").alias("n_chars")).agg(
-        F.min("licence").alias("licence"))
+    return c.groupBy(F.sha2("c", 256).alias("digest"), F.length("c").alias("n_chars"),
+                     F.substring_index("c", " ", 1).alias("first_word")).agg(F.min("licence").alias("licence"))
+
+
+def first_words(known: DataFrame) -> DataFrame:
+    """``word``: what a text that is a known one can begin with, before equivalent spellings are made one."""
+    first = lambda x: x.split(" ")[0]
+    spelled = known.sparkSession.createDataFrame([(first(b), first(a)) for a, b in EQUIVALENT], "to string, word string")
+    own = known.select(F.col("first_word").alias("word"))
+    return own.union(own.join(spelled, own["word"] == spelled["to"]).select(spelled["word"])).distinct()
+
+
+def _units(m: Column, limit: Column | int) -> Column:
+    """Units of a marked text of ``limit`` characters at most, each with its first word: the whole text, paragraphs of
+    several lines, lines of several sentences, sentences (which single lines and paragraphs are)."""
+    first = lambda x: F.regexp_extract(x, f"^[ {MARKS}]*([^ {MARKS}]*)", 1)
+    short = lambda x: F.length(x) <= limit
+    unit = lambda x, word, whole: F.struct(x.alias("u"), word.alias("word"), F.lit(whole).alias("all"))
+    of = lambda parts, keep, word: F.transform(F.filter(parts, keep), lambda x: unit(x, word(x), False))
+    # behind a line or sentence mark, the first word ends at a space or the unit's end
+    plain = lambda x: F.substring_index(F.ltrim(x), " ", 1)
+    return F.concat(
+        of(F.split(m, f"[{MARKS}]"), short, plain),
+        of(F.split(m, f"[{PARAGRAPH}{LINE}]"), lambda x: F.contains(x, F.lit(SENTENCE)) & short(x), first),
+        of(F.split(m, PARAGRAPH), lambda x: F.contains(x, F.lit(LINE)) & short(x), first),
+        F.filter(F.array(unit(m, first(F.substring(m, 1, 256)), True)), lambda x: F.length(x["u"]) <= limit))
 
 
 def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
@@ -138,18 +159,17 @@ def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
     known text), ``licences`` (distinct names in order, joined by commas; empty if none), ``whole_text`` (the entire
     text is a known text).  Null and empty texts match nothing; other columns are not read.
 
-    Units much longer than the longest known text are not digested (marks and re-spelling at most halve a length); the
-    join is on the digest, and a document's matches are counted before they are shuffled.
+    Units much longer than the longest known text (marks and re-spelling at most halve a length), or that begin with
+    a word that no known text begins with, are not digested; the join is on the digest, and a document's matches are
+    counted before they are shuffled.
     """
+    # read from files of known size, which the planner broadcasts or shuffles by
     known = stored(digests(licences), "licence-digests")
+    words = stored(first_words(known), "licence-words")
     longest = known.agg(F.max("n_chars")).first()[0] or 0
     d = docs.select("doc_id", marked(F.col("text")).alias("_m"))
-    u = d.select("doc_id", F.explode(F.concat(
-        F.array(F.struct(F.col("_m").alias("u"), F.lit(True).alias("all"))),
-        F.transform(F.concat(F.split("_m", PARAGRAPH), F.split("_m", f"[{PARAGRAPH}{LINE}]"),
-                             F.split("_m", f"[{MARKS}]")),
-                    lambda x: F.struct(x.alias("u"), F.lit(False).alias("all"))))).alias("_u"))
-    u = u.where(F.length("_u.u").between(1, 2 * longest + 16))
+    u = d.select("doc_id", F.explode(_units(F.col("_m"), 2 * longest + 16)).alias("_u"))
+    u = u.select("doc_id", "_u", F.col("_u.word").alias("word")).join(words, "word", "left_semi")
     hits = u.select("doc_id", F.sha2(unmarked(F.col("_u.u")), 256).alias("digest"), F.col("_u.all").alias("_all"))
     found = (hits.join(known, "digest").groupBy("doc_id", "digest", "licence").agg(F.max("_all").alias("_all"))
              .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_matches"),
@@ -166,7 +186,7 @@ def sql(documents: str = "documents") -> str:
     """DuckDB SQL for the rows of ``scan`` with the known texts of this module."""
     def quote(x):
         for c in MARKS:
-            x = x.replace(c, f"\\x0{ord(c)}")
+            x = x.replace(c, f"\\x{ord(c):02x}")
         return "'" + x.replace("'", "''") + "'"
 
     def spelled(x, table):
@@ -174,17 +194,15 @@ def sql(documents: str = "documents") -> str:
             x = f"replace({x}, ' {a} ', ' {b} ')"
         return x
     mark = {c: f"chr({ord(c)})" for c in MARKS}
-    every = " || ".join(mark.values())
     sub = lambda x, pattern, to: f"regexp_replace({x}, {quote(pattern)}, {to}, 'g')"
 
     def marked_sql(x):
-        t = sub(f"translate(lower({x}), {every}, '   ')", COPYRIGHT_LINE, "''")
+        t = f"replace(replace(lower({x}), {mark[SENTENCE]}, ' '), {mark[PARAGRAPH]}, ' ')"
+        t = sub(t, COPYRIGHT_LINE, "''")
         t = sub(sub(t, SENTENCE_END, f"'\\1' || {mark[SENTENCE]}"), PARAGRAPH_END, mark[PARAGRAPH])
-        t = sub(f"translate({t}, chr(10), {mark[LINE]})", SEPARATORS, "' '")
-        t = sub(t, f"([{MARKS}])", "' \\1 '")
-        return spelled(f"(' ' || {t} || ' ')", ONE_WORD)
+        return sub(t, SEPARATORS, "' '")
     unmarked_sql = lambda x: "trim(" + spelled(
-        sub(f"(' ' || {x} || ' ')", f"[ {MARKS}]+", "' '"), MORE_WORDS) + ")"
+        sub(f"(' ' || {x} || ' ')", f"[ {MARKS}]+", "' '"), EQUIVALENT) + ")"
     rows = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in LICENCES)
     split = lambda marks: f"regexp_split_to_array(m, {quote(f'[{marks}]')})"
     return f"""
