@@ -139,7 +139,7 @@ def first_words(known: DataFrame) -> DataFrame:
 def _units(m: Column, limit: Column | int) -> Column:
     """Units of a marked text of ``limit`` characters at most, each with its first word: the whole text, paragraphs of
     several lines, lines of several sentences, sentences (which single lines and paragraphs are)."""
-    first = lambda x: F.regexp_extract(x, f"^[ {MARKS}]*([^ {MARKS}]*)", 1)
+    head = lambda x: F.regexp_extract(F.substring(x, 1, 256), f"^[ {MARKS}]*([^ {MARKS}]*)", 1)
     short = lambda x: F.length(x) <= limit
     unit = lambda x, word, whole: F.struct(x.alias("u"), word.alias("word"), F.lit(whole).alias("all"))
     of = lambda parts, keep, word: F.transform(F.filter(parts, keep), lambda x: unit(x, word(x), False))
@@ -147,9 +147,9 @@ def _units(m: Column, limit: Column | int) -> Column:
     plain = lambda x: F.substring_index(F.ltrim(x), " ", 1)
     return F.concat(
         of(F.split(m, f"[{MARKS}]"), short, plain),
-        of(F.split(m, f"[{PARAGRAPH}{LINE}]"), lambda x: F.contains(x, F.lit(SENTENCE)) & short(x), first),
-        of(F.split(m, PARAGRAPH), lambda x: F.contains(x, F.lit(LINE)) & short(x), first),
-        F.filter(F.array(unit(m, first(F.substring(m, 1, 256)), True)), lambda x: F.length(x["u"]) <= limit))
+        of(F.split(m, f"[{PARAGRAPH}{LINE}]"), lambda x: F.contains(x, F.lit(SENTENCE)) & short(x), head),
+        of(F.split(m, PARAGRAPH), lambda x: F.contains(x, F.lit(LINE)) & short(x), head),
+        F.filter(F.array(unit(m, head(m), True)), lambda x: F.length(x["u"]) <= limit))
 
 
 def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
@@ -170,7 +170,9 @@ def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
     d = docs.select("doc_id", marked(F.col("text")).alias("_m"))
     u = d.select("doc_id", F.explode(_units(F.col("_m"), 2 * longest + 16)).alias("_u"))
     u = u.select("doc_id", "_u", F.col("_u.word").alias("word")).join(words, "word", "left_semi")
-    hits = u.select("doc_id", F.sha2(unmarked(F.col("_u.u")), 256).alias("digest"), F.col("_u.all").alias("_all"))
+    # never null, so no null check of the digest is pushed below the join on the first word, where all units are
+    digest = F.coalesce(F.sha2(unmarked(F.col("_u.u")), 256), F.lit(""))
+    hits = u.select("doc_id", digest.alias("digest"), F.col("_u.all").alias("_all"))
     found = (hits.join(known, "digest").groupBy("doc_id", "digest", "licence").agg(F.max("_all").alias("_all"))
              .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_matches"),
                                     F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"),
