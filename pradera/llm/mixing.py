@@ -4,7 +4,8 @@ A source's documents are laid end to end (by a hash bucket of the id, then the i
 of BLOCK words.  A source's target decides how many slots of the mix its blocks fill; slot k is round k div n of its n
 blocks, and a pseudorandom permutation of each round maps k mod n to a block index.  All slots together are dealt to
 output shards by one more permutation, so a shard's source counts are multinomial draws given the totals: targets are
-met exactly, and no block is used more than ``repeats`` times.  Slots and blocks meet in a join on the block index.
+met exactly, and no block is used more than ``repeats`` times.  Slots and blocks meet in a join on the block index;
+the mix comes out by shard and place.
 
 The permutations are swap-or-not networks: each round exchanges x with (key - x) mod n if a bit drawn from the pair
 says so.  That is a bijection for any n, needs no table, and runs backwards with the rounds reversed.
@@ -123,14 +124,15 @@ def positions(rows: DataFrame, sizes: DataFrame, sources: DataFrame) -> DataFram
 
 def slots(sources: DataFrame, partitions: int, seed: int = 0, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """Every slot of the mix: ``sid``, ``block`` (index in the source), ``shard``, ``place`` (in the shard)."""
-    s = sources.where("slots > 0").select("sid", "blocks", "slots", "first_slot", "all_slots", "keys")
+    deal = round_keys(F.concat_ws(":", F.lit(str(seed)), F.lit("mix")), F.col("all_slots"))
+    s = sources.where("slots > 0").select("sid", "blocks", "slots", "first_slot", "all_slots", "keys",
+                                          deal.alias("deal"))
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), _int_div(F.col("slots") - 1, SLOT_CHUNK))).alias("_chunk")
-    s = s.select("sid", chunk).repartition(partitions, "sid", "_chunk").join(s, "sid")
+    s = s.select("*", chunk).repartition(partitions, "sid", "_chunk")  # joined back, the keys could be the one task
     first = F.col("_chunk") * SLOT_CHUNK
     s = s.withColumn("slot", F.explode(F.sequence(first, F.least(first + SLOT_CHUNK, F.col("slots")) - 1)))
     keys = F.element_at("keys", (_int_div(F.col("slot"), F.col("blocks")) + 1).cast("int"))
-    place = permute(F.col("first_slot") + F.col("slot"), F.col("all_slots"),
-                    round_keys(F.concat_ws(":", F.lit(str(seed)), F.lit("mix")), F.col("all_slots")))
+    place = permute(F.col("first_slot") + F.col("slot"), F.col("all_slots"), F.col("deal"))
     return s.select("sid", permute(F.col("slot") % F.col("blocks"), F.col("blocks"), keys).alias("block"),
                     place.alias("_place")).select(
         "sid", "block", _int_div(F.col("_place"), shard_blocks).alias("shard"),
@@ -145,70 +147,65 @@ def _plan(docs: DataFrame, seed: int, block: int, repeats: int):
     return rows, narrow, sizes, stored(targets(sizes, seed, block, repeats), "mix-sources")
 
 
-def _blocks_of(start: Column, size: Column, block: int) -> Column:
-    """Indexes of the blocks that hold the words start .. start + size - 1 (size over 0)."""
-    return F.sequence(_int_div(start, block), _int_div(start + size - 1, block))
+def mix(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int = REPEATS,
+        shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    """The mix itself: one row per slot and piece, a piece being what one document gives to the slot's block.
+
+    ``shard`` and ``place`` (the slot), ``sid`` and ``block`` (what is in it), ``start`` (of the document in its
+    source, in words), ``text`` (the document's contiguous words in the block, with the white space in front of them,
+    and behind the document's last word) and ``doc`` (the document's other columns).  Shards come whole and in order
+    of place and start.  Texts without words are in no block.
+    """
+    return _mix(docs, _plan(docs, seed, block, repeats), seed, block, shard_blocks)
 
 
-def _words_in(block_index: Column, start: Column, size: Column, block: int) -> Column:
-    return (F.least(start + size, (block_index + 1) * block) - F.greatest(start, block_index * block))
+def _mix(docs: DataFrame, plan: tuple, seed: int, block: int, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    rows, narrow, sizes, sources = plan
+    data = docs.select("doc_id", "text", "source", F.struct(*[F.col(c) for c in docs.columns if c != "text"])
+                       .alias("doc"))  # the text is carried once
+    placed = positions(bucketed(data, rows).where("size > 0"), sizes, sources)
+    # the first piece ends where its block does, the others are whole blocks
+    words = lambda n: F.concat(F.lit(r"(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){1,"), n,
+                               F.lit(r"}(?:[\x20\x09-\x0D]++\z)?"))
+    head = F.regexp_substr("text", words((block - F.col("start") % block).cast("string")))
+    pieces = placed.select("sid", "start", "doc", "text", head.alias("_head"))
+    rest = F.regexp_extract_all(F.expr("substring(text, length(_head) + 1)"), words(F.lit(str(block))), F.lit(0))
+    pieces = pieces.select("sid", "start", "doc", F.posexplode(F.concat(F.array("_head"), rest)).alias("_i", "text"))
+    pieces = pieces.select("sid", (_int_div(F.col("start"), block) + F.col("_i")).alias("block"), "start", "text", "doc")
+    partitions = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (slots(sources, partitions, seed, shard_blocks).join(pieces, ["sid", "block"])
+            .select("shard", "place", "sid", "block", "start", "text", "doc")
+            .repartition("shard").sortWithinPartitions("shard", "place", "start"))
 
 
 def mix_counts(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
-    """What the mix takes of every document.
+    """What the mix takes of every document, counted in the mix, which is written once.
 
     One row per row of ``docs``: ``doc_id``, ``size``, ``source``, ``source_size``, ``target``, ``taken`` (words, each
     as often as the mix repeats it).  Null texts have no word; null sources are one source, the last; repeated rows
     are documents of their own; an empty table gives no row.  Reruns agree.
     """
-    rows, narrow, sizes, sources = _plan(docs, seed, block, repeats)
-    placed = positions(narrow, sizes, sources)
-    parts = placed.where("size > 0").withColumn("block", F.explode(
-        _blocks_of(F.col("start"), F.col("size"), block)))
-    parts = parts.select("sid", "block", "doc_id", "start", "size", _words_in(
-        F.col("block"), F.col("start"), F.col("size"), block).alias("words"))
-    partitions = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    drawn = slots(sources, partitions, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("drawn"))
-    taken = (parts.join(drawn, ["sid", "block"], "left").groupBy("sid", "start", "doc_id", "size")
-             .agg(F.sum(F.col("words") * F.coalesce("drawn", F.lit(0))).alias("taken")))
-    none = placed.where("size = 0").select("sid", "start", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
+    plan = _plan(docs, seed, block, repeats)
+    _, narrow, sizes, sources = plan
+    mixed = stored(_mix(docs.select("doc_id", "text", "source"), plan, seed, block).drop("doc"), "mix-shards")
+    taken = mixed.groupBy("sid", "start").agg(F.sum(word_count(F.col("text"))).alias("taken"))
+    placed = positions(narrow, sizes, sources).select("sid", "start", "doc_id", "size")
     about = sources.select("sid", "source", "source_size", "target")
-    return (taken.unionByName(none).join(about, "sid")
-            .select("doc_id", "size", "source", "source_size", "target", "taken"))
+    # a document without words may start where another one does
+    words = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
+    return (placed.join(taken, ["sid", "start"], "left").join(about, "sid")
+            .select("doc_id", "size", "source", "source_size", "target", words.alias("taken")))
 
 
 def mix_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
-    """The mixed corpus with the columns of ``docs``: for each round of its source, a document's drawn words.
+    """The mixed corpus with the columns of ``docs``: the pieces of ``mix``, by shard and place.
 
-    A document comes once for every round that draws some of its blocks (``repeats`` times at most), its ``text`` cut
-    to the blocks of that round, white space in front of a word kept, and ``n_chars`` set to the new length if there is such a
-    column.  The draws are those of ``mix_counts``: a block's slot is looked up by running the permutation backwards.
+    A document comes once for every slot that holds words of it, its ``text`` cut to them, and ``n_chars`` set to the
+    new length if there is such a column.
     """
-    rows, narrow, sizes, sources = _plan(docs, seed, block, repeats)
-    columns = docs.columns
-    data = docs.select("doc_id", "text", "source", F.struct(*[F.col(c) for c in columns if c != "text"])
-                       .alias("_row"))  # the text is carried once
-    placed = positions(bucketed(data, rows).where("size > 0"), sizes, sources)
-    about = sources.select("sid", "blocks", "slots", "keys")
-    placed = placed.join(about, "sid")
-    # rounds below `full` take every block; the one after it those whose slot is within the rest
-    full, rest = _int_div(F.col("slots"), F.col("blocks")), F.col("slots") % F.col("blocks")
-    in_rest = lambda b: permute(b, F.col("blocks"), F.reverse(F.element_at(
-        "keys", F.least(F.col("_full") + 1, F.lit(repeats)).cast("int")))) < F.col("_rest")
-    placed = placed.withColumns({"_full": full, "_rest": rest})
-    placed = placed.withColumn("_drawn", F.filter(_blocks_of(F.col("start"), F.col("size"), block), in_rest))
-    rounds = F.concat(F.when(F.col("_full") > 0, F.array_repeat(F.lit(True), F.col("_full").cast("int")))
-                      .otherwise(F.array().cast("array<boolean>")),
-                      F.when(F.size("_drawn") > 0, F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")))
-    out = placed.withColumn("_whole", F.explode(rounds))
-    words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1)
-    cut = F.array_join(F.flatten(F.transform("_drawn", lambda b: F.slice(
-        F.col("_words"), (F.greatest(F.col("start"), b * block) - F.col("start") + 1).cast("int"),
-        _words_in(b, F.col("start"), F.col("size"), block).cast("int")))), "")
-    out = out.withColumn("_words", F.when(~F.col("_whole"), words))
-    out = out.withColumn("_text", F.when(F.col("_whole"), F.col("text")).otherwise(cut))
-    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return out.select([(new[c] if c in new else F.col("_row")[c]).alias(c) for c in columns])
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return mix(docs, seed, block, repeats).select(
+        [(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def sql(documents: str = "documents", seed: int = 0) -> str:

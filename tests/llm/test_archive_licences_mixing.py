@@ -1,6 +1,7 @@
 import base64
 import hashlib
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
@@ -209,6 +210,47 @@ def test_shards_hold_multinomial_counts(spark):
     assert len(set(whole)) > 1 and all(abs(w - share) < 6 * share ** 0.5 for w in whole)
 
 
+def test_shards_hold_their_blocks_in_order(spark):
+    rows = [r for r in _mix_rows() if r[0] != 0]  # ids once
+    d = docs(spark, rows, clash=True)
+    plan = mixing._plan(d, 0, mixing.BLOCK, 3)
+    at = defaultdict(list)
+    for r in mixing.positions(plan[1], plan[2], plan[3]).where("size > 0").collect():
+        text = next(t for i, t, *_ in rows if i == r.doc_id)
+        for k, w in enumerate(mixing_words(text)):
+            at[r.sid, (r.start + k) // mixing.BLOCK].append((r.start + k, w))
+    got = [list(p) for p in mixing.mix(d, shard_blocks=16).rdd.glom().collect()]
+    held = defaultdict(list)
+    for part in got:
+        assert [(r.shard, r.place, r.start) for r in part] == sorted((r.shard, r.place, r.start) for r in part)
+        for r in part:
+            assert r.text in next(t for i, t, *_ in rows if i == r.doc.doc_id)  # one contiguous piece
+            held[r.shard, r.place].append(r)
+    where = {(r.shard, r.place): (r.sid, r.block) for r in mixing.slots(plan[3], 4, shard_blocks=16).collect()}
+    assert held.keys() == where.keys()
+    for k, pieces in held.items():
+        assert {(r.sid, r.block) for r in pieces} == {where[k]}
+        assert [w for r in pieces for w in mixing_words(r.text)] == [w for _, w in sorted(at[where[k]])]
+    whole = [s for s in {r.shard for p in got for r in p} if s < len(where) // 16]
+    sids = lambda s: [where[s, p][0] for p in range(16)]
+    assert sum(len(set(sids(s))) > 1 for s in whole) > len(whole) / 2  # sources lie among each other
+
+
+def mixing_words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t)
+
+
+def test_mixed_documents_come_by_shard_and_place(spark):
+    d = docs(spark, [(i, " ".join(f"w{i}x{k}" for k in range(200)), "en", "ab"[i % 2]) for i in range(60)])
+    want = Counter((r.doc.doc_id, r.text) for r in mixing.mix(d).collect())
+    parts = mixing.mix_documents(d).rdd.glom().collect()
+    got = [r for p in parts for r in p]
+    assert Counter((r.doc_id, r.text) for r in got) == want
+    assert all(len(r.text.split()) <= mixing.BLOCK for r in got)
+    runs = 1 + sum(a.source != b.source for a, b in zip(got, got[1:], strict=False))
+    assert runs > len(got) / 6  # no long runs of one source
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_counts(docs(spark, [])).count() == mixing.mix_documents(docs(spark, [])).count() == 0
     got = mixing.mix_counts(docs(spark, [(1, None), (2, "")])).collect()
