@@ -139,7 +139,11 @@ def first_words(known: DataFrame) -> DataFrame:
 def _units(m: Column, limit: Column | int) -> Column:
     """Units of a marked text of ``limit`` characters at most, each with its first word: the whole text, paragraphs of
     several lines, lines of several sentences, sentences (which single lines and paragraphs are)."""
-    head = lambda x: F.regexp_extract(F.substring(x, 1, 256), f"^[ {MARKS}]*([^ {MARKS}]*)", 1)
+    def head(x):
+        x = F.ltrim(x, F.lit(" " + MARKS))
+        for mark in " " + MARKS:
+            x = F.substring_index(x, mark, 1)
+        return x
     short = lambda x: F.length(x) <= limit
     unit = lambda x, word, whole: F.struct(x.alias("u"), word.alias("word"), F.lit(whole).alias("all"))
     of = lambda parts, keep, word: F.transform(F.filter(parts, keep), lambda x: unit(x, word(x), False))

@@ -111,6 +111,13 @@ def test_licence_rows(spark):
     assert licenses.scan(d, none).agg(F.sum("n_matches")).first()[0] == 0
 
 
+def test_first_word_far_behind_blank_lines(spark):
+    one = "Released under the MIT License. "
+    d = docs(spark, [(1, "\n" * 520 + MIT), (2, "\n" * 520 + one), (3, "\n \t" * 900 + one)])
+    got = licenses.scan(d, licenses.known_licences(spark)).collect()
+    assert all((r.licences, r.whole_text) == ("MIT", True) for r in got) and len(got) == 3
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 def test_permutation_is_a_bijection_and_runs_backwards(spark):
