@@ -93,14 +93,20 @@ MARKS = SENTENCE + PARAGRAPH + LINE
 
 
 def marked(text: Column) -> Column:
-    """Lower-case words without copyright lines; ends of sentences, paragraphs and lines stay as marks, all other
-    separators are single spaces."""
+    """Lower-case words without copyright lines; ends of sentences, paragraphs and lines stay as marks, one between
+    two words and none outside, all other separators are single spaces."""
     t = F.lower(F.coalesce(text, F.lit("")))
     for mark in (SENTENCE, PARAGRAPH):
         t = F.replace(t, F.lit(mark), F.lit(" "))
     t = F.regexp_replace(t, COPYRIGHT_LINE, "")
     t = F.regexp_replace(F.regexp_replace(t, SENTENCE_END, "$1" + SENTENCE), PARAGRAPH_END, PARAGRAPH)
-    return F.regexp_replace(t, SEPARATORS, " ")
+    t = F.regexp_replace(t, SEPARATORS, " ")
+    # of a run the strongest mark; a run is looked at from its first character only, so long ones take linear time
+    run, weaker = f" {MARKS}", f" {MARKS}"
+    for mark in (PARAGRAPH, LINE, SENTENCE):
+        t = F.regexp_replace(t, f"(?<![{run}])[{weaker}]*{mark}[{weaker}]*", mark)
+        weaker = weaker.replace(mark, "")
+    return F.btrim(t, F.lit(run))
 
 
 def unmarked(t: Column) -> Column:
@@ -163,7 +169,7 @@ def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
     known text), ``licences`` (distinct names in order, joined by commas; empty if none), ``whole_text`` (the entire
     text is a known text).  Null and empty texts match nothing; other columns are not read.
 
-    Units much longer than the longest known text (marks and re-spelling at most halve a length), or that begin with
+    Units much longer than the longest known text (re-spelling at most halves a length, and marks are single), or that begin with
     a word that no known text begins with, are not digested; the join is on the digest, and a document's matches are
     counted before they are shuffled.
     """

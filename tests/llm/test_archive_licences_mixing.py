@@ -118,6 +118,15 @@ def test_first_word_far_behind_blank_lines(spark):
     assert all((r.licences, r.whole_text) == ("MIT", True) for r in got) and len(got) == 3
 
 
+@pytest.mark.parametrize("run", ["\n" * 2400, "\n. " * 2400, ". " * 2400, "\n \n." * 1200])
+def test_long_runs_of_separators(spark, run):
+    inside = MIT.replace("\n\n", run + "\n\n")
+    d = docs(spark, [(1, run + MIT), (2, inside), (3, MIT + run), (4, run + inside + run), (5, "a" + run + "b")])
+    got = {r.doc_id: r for r in licenses.scan(d, licenses.known_licences(spark)).collect()}
+    assert all((got[i].licences, got[i].whole_text, got[i].n_matches) == ("MIT", True, 1) for i in range(1, 5))
+    assert got[5].n_matches == 0
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 def test_permutation_is_a_bijection_and_runs_backwards(spark):
