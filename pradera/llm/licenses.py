@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import licence_texts
 from .common import stored
 
 # Spellings treated as equal, from -> to (whole words of the canonical form).
@@ -79,6 +80,7 @@ PERFORMANCE OF THIS SOFTWARE."""),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *licence_texts.TEXTS,
 ]
 
 COPYRIGHT_LINE = (r"(?m)^[^a-z\n]*(copyright([^\n]*[0-9]{4}|[^a-z\n]*(\(c\)|©|by ))|\(c\)[^a-z\n]*[0-9]{4}|©"

@@ -127,6 +127,17 @@ def test_long_runs_of_separators(spark, run):
     assert got[5].n_matches == 0
 
 
+def test_full_texts_are_known(spark):
+    full = {"BSD-2-Clause", "BSD-3-Clause", "Zlib", "BSL-1.0", "Unlicense", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1",
+            "LGPL-3.0", "MPL-2.0", "CC0-1.0"}
+    long = [(n, t) for n, t in licenses.LICENCES if len(t) > 600 and n in full]
+    assert {n for n, _ in long} == full
+    d = docs(spark, [(i, "Copyright (c) 2020 Someone\n\n" + t.upper()) for i, (_, t) in enumerate(long)])
+    got = {r.doc_id: r for r in licenses.scan(d, licenses.known_licences(spark)).collect()}
+    for i, (n, _) in enumerate(long):
+        assert got[i].whole_text and n in got[i].licences.split(","), n
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 def test_permutation_is_a_bijection_and_runs_backwards(spark):
