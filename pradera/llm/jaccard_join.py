@@ -5,7 +5,8 @@ per coordinate, so two sets agree on a coordinate with the probability of their
 sets in one node; a node with many sets is split: a hash of its path chooses coordinates, SPLITS on average, and the
 sets of a child share the value there.  Nodes of up to LEAF sets, those of sets that are alike, and those at the last level are
 leaves.  In a leaf signatures are compared, and pairs that agree on LOOSE of the coordinates or more connect their sets.
-Similar sets keep meeting in a child with probability over 1 / 2 per run and level, so RUNS runs reach the recall.
+Every run's first node has a child, and there are as many runs as ``miss`` needs to be below 1 - RECALL for a pair at
+the limit that has to go down to the last level in every run.
 
 Connected sets form groups; inside a group all pairs are compared exactly, block by block, on the texts' n-grams.
 What comes out per task are numbers of links and, for every block, a forest of links, never the pairs.
@@ -13,6 +14,7 @@ What comes out per task are numbers of links and, for every block, a forest of l
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -32,7 +34,8 @@ from .groups import binary_rows, link_forest, over_groups
 WORDS = 5                # words of an n-gram
 SIMILAR = 0.8
 COORDINATES = 96         # of a signature
-RUNS = 24
+RUNS = 24                # at least
+RECALL = 0.9999          # of pairs at the limit, were all nodes above the last level split
 SPLITS = 1.25            # chosen coordinates of a node, on average: 1 / SIMILAR
 LEVELS = 4
 LEAF = 64                # sets that a node may hold and not be split
@@ -128,12 +131,42 @@ def _leaf(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def _first_nodes(runs: int, seed: int = 9) -> list[tuple[int, int]]:
-    """(run, coordinate) of the children of the runs' first nodes."""
+    """(run, coordinate) of the children of the runs' first nodes: one or more a run, SPLITS on average; a coordinate
+    comes again only after all others."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    return [(r, c) for r in range(runs) for c in np.flatnonzero(rng.random(COORDINATES) < SPLITS / COORDINATES).tolist()]
+    per = 1 + np.bincount(rng.permutation(runs)[:math.ceil(SPLITS * runs) - runs], minlength=runs)
+    order = rng.permutation(COORDINATES)
+    return [(int(r), int(order[i % COORDINATES])) for i, r in enumerate(np.repeat(np.arange(runs), per))]
 
 
-def candidates(sets: DataFrame, runs: int = RUNS, levels: int = LEVELS) -> DataFrame:
+def miss(similar: float, runs: int, levels: int = LEVELS) -> float:
+    """Probability that two sets of Jaccard similarity ``similar`` share no leaf of ``levels`` levels or differ there.
+
+    Given that k coordinates agree, a node below the first has a binomial number of children in which both are, and
+    those of the first nodes are drawn without replacement.
+    """
+    n, out = COORDINATES, 0.0
+    cycles, rest = divmod(len(_first_nodes(runs)), n)
+    for k in range(n + 1):
+        apart = 0.0  # of two sets in one node of the second level
+        for _ in range(levels - 1):
+            apart = (1 - SPLITS / n * (1 - apart)) ** k
+        lost = 1.0 if k < LOOSE * n else apart ** (k * cycles) * sum(
+            math.comb(k, a) * math.comb(n - k, rest - a) * apart ** a for a in range(rest + 1)) / math.comb(n, rest)
+        out += math.comb(n, k) * similar ** k * (1 - similar) ** (n - k) * lost
+    return out
+
+
+def enough_runs(similar: float = SIMILAR, levels: int = LEVELS, recall: float = RECALL) -> int:
+    runs = RUNS
+    while miss(similar, runs, levels) > 1 - recall:
+        runs += 1
+        if runs > 40 * RUNS:
+            raise ValueError(f"no number of runs reaches recall {recall} at similarity {similar}")
+    return runs
+
+
+def candidates(sets: DataFrame, runs: int, levels: int = LEVELS) -> DataFrame:
     """Pairs (a, b) of ``sets`` (id, sig, short) that are loosely similar: a forest for each leaf."""
     value = lambda c: F.substring("sig", c * 4 + 1, 4)
     whole, share = 1 << 20, int(SPLITS / COORDINATES * (1 << 20))
@@ -227,10 +260,11 @@ def _compare(table: pa.Table, starts: np.ndarray, n: int, similar: float) -> Ite
                                      names=["id", "links", "b"])
 
 
-def classes(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int = RUNS,
+def classes(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int | None = None,
             levels: int = LEVELS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``h1``, ``h2`` (the row's keys), ``n_grams``, ``n_links``,
     ``class_id``, ``kept``."""
+    runs = runs or enough_runs(similar, levels)
     ship_package(docs.sparkSession)
     keyed = row_keys(docs.select("doc_id", "text"))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL(
@@ -265,7 +299,7 @@ def classes(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int
         (alone | ((F.col("h1") == F.col("_first.h1")) & (F.col("h2") == F.col("_first.h2")))).alias("kept"))
 
 
-def join(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int = RUNS,
+def join(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int | None = None,
          levels: int = LEVELS) -> DataFrame:
     """Similar documents: one row per row of ``docs``.
 

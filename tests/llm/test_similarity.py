@@ -12,6 +12,29 @@ from .helpers import components, docs, grams
 
 # --- documents -----------------------------------------------------------------------------------
 
+def test_runs_reach_the_recall():
+    runs = jaccard_join.enough_runs()
+    first = jaccard_join._first_nodes(runs)
+    assert {r for r, _ in first} == set(range(runs)) and len({c for _, c in first}) == min(len(first), 96)
+    assert abs(len(first) - jaccard_join.SPLITS * runs) < 1 and len(set(first)) == len(first)
+    worst = jaccard_join.miss(jaccard_join.SIMILAR, runs, jaccard_join.LEVELS)
+    assert worst <= 1 - jaccard_join.RECALL
+    assert all(jaccard_join.miss(jaccard_join.SIMILAR, runs, n) <= worst for n in range(1, jaccard_join.LEVELS))
+    assert jaccard_join.enough_runs(recall=1 - 1e-5) > runs
+
+    rnd = np.random.default_rng(1)
+    p, lost, n = jaccard_join.SPLITS / 96, 0, 4000
+    few = jaccard_join._first_nodes(6)  # few runs, so that a draw shows the misses
+
+    def meet(same, level):
+        return level == 4 or any(meet(same, level + 1) for _ in range(rnd.binomial(same.sum(), p)))
+    for _ in range(n):
+        same = rnd.random(96) < jaccard_join.SIMILAR
+        lost += not any(same[c] and meet(same, 1) for _, c in few)
+    want = jaccard_join.miss(jaccard_join.SIMILAR, 6)
+    assert abs(lost / n - want) < 5 * (want / n) ** 0.5
+
+
 def _brute(rows):
     sets = [grams(r[1]) for r in rows]
     pairs = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j]
