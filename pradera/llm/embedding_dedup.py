@@ -121,8 +121,10 @@ def near_duplicates(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
     smallest vec_id that links lead to, its own included; ``kept``: vec_id = component_id.  Null labels and vectors
     that are null, zero or hold null or non-finite components link with nothing.  Vectors of fewer components are
     filled up with zeros.  Repeated rows are linked copies; null ids take part and are nobody's smallest id unless
-    nobody has one.  Other columns are not read.  An empty table gives no row.
+    nobody has one.  Other columns are not read.  An empty table gives no row.  ``similar`` below SIMILAR is an error.
     """
+    if similar < SIMILAR:
+        raise ValueError(f"the tables and probes are made for cosines of {SIMILAR} and more: {similar}")
     v = vectors.select("vec_id", "label", "embedding")
     fit = F.col("label").isNotNull() & usable(F.col("embedding"))
     same = v.where(fit).groupBy("label", "embedding").agg(F.count(F.lit(1)).alias("size"),

@@ -264,6 +264,8 @@ def classes(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int
             levels: int = LEVELS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``h1``, ``h2`` (the row's keys), ``n_grams``, ``n_links``,
     ``class_id``, ``kept``."""
+    if similar < SIMILAR:
+        raise ValueError(f"the splits and the loose limit are made for similarities of {SIMILAR} and more: {similar}")
     runs = runs or enough_runs(similar, levels)
     ship_package(docs.sparkSession)
     keyed = row_keys(docs.select("doc_id", "text"))
@@ -309,7 +311,7 @@ def join(docs: DataFrame, n: int = WORDS, similar: float = SIMILAR, runs: int |
 
     Words are runs of word characters, lower-cased; a text of fewer than ``n`` words is one n-gram; null texts and
     texts without words have none, link with nothing and stand for themselves.  Null ids come after all others.  Other
-    columns are not read.  An empty table gives no row.
+    columns are not read.  An empty table gives no row.  ``similar`` below SIMILAR is an error.
     """
     return classes(docs, n, similar, runs, levels).select("doc_id", "class_id", "n_links", "n_grams", "kept")
 

@@ -12,6 +12,14 @@ from .helpers import components, docs, grams
 
 # --- documents -----------------------------------------------------------------------------------
 
+def test_limits_below_the_tuned_ones_are_errors(spark):
+    with pytest.raises(ValueError, match="0.8"):
+        jaccard_join.join(docs(spark, [(1, "a b")]), similar=0.5)
+    with pytest.raises(ValueError, match="0.98"):
+        embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"),
+                                        similar=0.9)
+
+
 def test_runs_reach_the_recall():
     runs = jaccard_join.enough_runs()
     first = jaccard_join._first_nodes(runs)
