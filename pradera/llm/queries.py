@@ -30,7 +30,11 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(read(spark, sf_dir, "pages"), path)
-    return warc.archived(spark, path)
+    which = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
+    broken = F.raise_error(F.concat(F.lit("no intact payload for record "), which))
+    size = F.when(F.col("verified"), F.col("payload_bytes")).otherwise(broken.cast("long"))
+    return warc.archived(spark, path).select("page_id", size.alias("payload_bytes"), "payload_digest", "record_type",
+                                             "refers_to")
 
 
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,21 +104,29 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:
-    """``page_id``, ``record`` (the original record bytes: header, payload unless a revisit, closing lines) and
-    ``payload`` (of revisits as well, through the address)."""
-    r = read_records(spark, path).join(read_payloads(spark, path).where("verified"), ["digest", "sha1", "length"])
+    """``page_id``, ``record`` (the original record bytes: header, payload unless a revisit, closing lines),
+    ``payload`` (of revisits as well, through the address) and ``verified``.  A payload that is missing or doesn't have
+    its address is null, and so is the record of a response with one."""
+    key = ["digest", "sha1", "length"]
+    stored = read_payloads(spark, path).select(*key, "verified", F.when(F.col("verified"), F.col("payload")).alias("payload"))
+    r = read_records(spark, path).join(stored, key, "left")
     block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return r.select("page_id", F.concat("header", block, F.lit((CRLF * 2).encode())).alias("record"), "payload")
+    return r.select("page_id", F.concat("header", block, F.lit((CRLF * 2).encode())).alias("record"), "payload",
+                    F.coalesce("verified", F.lit(False)).alias("verified"))
 
 
 def archived(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of an archive, read back: ``page_id``, ``payload_bytes``, ``payload_digest`` (both computed
-    from the stored payload that the address leads to), ``record_type``, ``refers_to``."""
-    stored = read_payloads(spark, path).where("verified").select(
-        "digest", "sha1", "length", F.length("payload").cast("long").alias("payload_bytes"),
+    from the stored payload that the address leads to), ``record_type``, ``refers_to``, ``verified``.  A record whose
+    payload is missing or doesn't have its address, or another digest than the header says, isn't verified: its
+    ``payload_bytes`` is null, its ``payload_digest`` the header's."""
+    stored = read_payloads(spark, path).select(
+        "digest", "sha1", "length", "verified", F.length("payload").cast("long").alias("payload_bytes"),
         base32_sha1(F.col("payload")).alias("_sha1"))
-    r = read_records(spark, path).join(stored, ["digest", "sha1", "length"]).where("payload_digest = _sha1")
-    return r.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    r = read_records(spark, path).join(stored, ["digest", "sha1", "length"], "left")
+    r = r.withColumn("verified", F.coalesce(F.col("verified") & (F.col("payload_digest") == F.col("_sha1")), F.lit(False)))
+    return r.select("page_id", F.when(F.col("verified"), F.col("payload_bytes")).alias("payload_bytes"),
+                    "payload_digest", "record_type", "refers_to", "verified")
 
 
 def sql(pages: str = "pages", least_bytes: int = 0) -> str:

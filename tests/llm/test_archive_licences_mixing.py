@@ -79,6 +79,23 @@ def test_changed_payload_is_noticed(spark):
     assert not any(r.verified for r in warc.read_payloads(spark, other).collect())
 
 
+def test_records_of_a_damaged_archive_stay(spark):
+    rows, pages = _pages(spark)
+    path, other = scratch_path(spark, "t-warc"), scratch_path(spark, "t-warc")
+    warc.write_archive(pages, path)
+    spark.read.parquet(f"{path}/records").write.parquet(f"{other}/records")
+    p = spark.read.parquet(f"{path}/payloads").where(F.col("payload") != F.lit(b"q"))  # one is missing
+    changed = F.when(F.col("payload") == F.lit("é".encode()), F.lit(b"e")).otherwise(F.col("payload"))
+    p.withColumn("payload", changed).write.parquet(f"{other}/payloads")
+    got = warc.archived(spark, other).collect()
+    assert len(got) == len(rows) and all(r.payload_digest for r in got)
+    assert sorted(r.page_id for r in got if not r.verified) == [3, 8, 8]
+    assert all((r.payload_bytes is None) == (not r.verified) for r in got)
+    records = warc.reconstruct(spark, other).collect()
+    assert len(records) == len(rows) and sorted(r.page_id for r in records if not r.verified) == [3, 8, 8]
+    assert all(r.payload is None and r.record is None for r in records if r.page_id in (3, 8))
+
+
 # --- licences ------------------------------------------------------------------------------------
 
 MIT = next(t for n, t in licenses.LICENCES if t.startswith("Permission is hereby"))
