@@ -10,6 +10,7 @@ from pradera.session import scratch_path
 
 from . import (
     embedding_dedup,
+    exact_dedup,
     jaccard_join,
     language_id,
     licenses,
@@ -73,10 +74,15 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op7_jaccard_join,
-    op8_language_id, op9_quality, op10_permutation_index)}
-SQL = {"op2_warc": warc.sql(), "op3_licences": licenses.sql(), "op5_mixing": mixing.sql()}
+    op8_language_id, op9_quality, op10_permutation_index, op12_exact_dedup)}
+SQL = {"op2_warc": warc.sql(), "op3_licences": licenses.sql(), "op5_mixing": mixing.sql(),
+       "op12_exact_dedup": exact_dedup.sql()}
 
 
 def queries():
