@@ -18,6 +18,7 @@ from . import (
     packing,
     permutation_index,
     quality,
+    spelling,
     token_counts,
     warc,
 )
@@ -78,11 +79,17 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(read(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.runs(read(spark, sf_dir, "documents"))
+    return spelling.variants(spelling.vocabulary(found.select(spelling.misspelt(found).alias("word"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op7_jaccard_join,
-    op8_language_id, op9_quality, op10_permutation_index, op12_exact_dedup)}
+    op8_language_id, op9_quality, op10_permutation_index, op12_exact_dedup,
+    op13_spelling)}
 SQL = {"op2_warc": warc.sql(), "op3_licences": licenses.sql(), "op5_mixing": mixing.sql(),
-       "op12_exact_dedup": exact_dedup.sql()}
+       "op12_exact_dedup": exact_dedup.sql(), "op13_spelling": spelling.sql()}
 
 
 def queries():
