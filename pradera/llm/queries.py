@@ -17,6 +17,7 @@ from . import (
     mixing,
     packing,
     permutation_index,
+    prefix_trie,
     quality,
     spelling,
     token_counts,
@@ -75,6 +76,11 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = prefix_trie.rebuilt(prefix_trie.ordered_turns(read(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns, convs)
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(read(spark, sf_dir, "documents"))
 
@@ -86,10 +92,10 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_warc, op3_licences, op4_packing, op5_mixing, op6_token_counts, op7_jaccard_join,
-    op8_language_id, op9_quality, op10_permutation_index, op12_exact_dedup,
-    op13_spelling)}
+    op8_language_id, op9_quality, op10_permutation_index, op11_prefix_trie,
+    op12_exact_dedup, op13_spelling)}
 SQL = {"op2_warc": warc.sql(), "op3_licences": licenses.sql(), "op5_mixing": mixing.sql(),
-       "op12_exact_dedup": exact_dedup.sql(), "op13_spelling": spelling.sql()}
+       "op11_prefix_trie": prefix_trie.sql(), "op12_exact_dedup": exact_dedup.sql(), "op13_spelling": spelling.sql()}
 
 
 def queries():
