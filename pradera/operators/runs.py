@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import ordered_scan
+from .scan import Layout, ordered_scan
 
 
 def _c(x):
@@ -96,13 +96,14 @@ def grazing_state(df: DataFrame, key: Sequence[str], order, *, activity: str, da
 def previous_run_values(df: DataFrame, key: Sequence[str], order, *, activity: str,
                         grazing: str = "PASTOREO", same: str = "actividad_change",
                         cols: Sequence[str] = ("ultimo_animales", "dias_de_pastoreo"),
-                        prefix: str = "lag_") -> DataFrame:
+                        prefix: str = "lag_", layout: Layout | None = None) -> DataFrame:
     """Grazing rows only; on the first row of each grazing run take the
-    previous grazing row's values, then forward fill within the key."""
+    previous grazing row's values, then forward fill within the key.  With the ``layout`` of an earlier scan over the
+    key the rows stay where they are."""
     gz = df.filter(F.col(activity).eqNullSafe(F.lit(grazing)))
     start = ~F.col(same)
-    d = ordered_scan(gz, key, order, lag_fills={f"{prefix}{c}": (c, start) for c in cols})
-    return d
+    d = ordered_scan(gz, key, order, layout, lag_fills={f"{prefix}{c}": (c, start) for c in cols})
+    return d.drop(layout.chunk) if layout else d
 
 
 def movement_path(df: DataFrame, herd: Sequence[str], order, *, place: str, depth: int = 3,

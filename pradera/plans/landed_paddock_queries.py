@@ -124,7 +124,7 @@ SELECT 0 AS ID_ACT_LOTE, user_id AS ID_LOTE, fecha AS FECHA_ACTIVIDAD, id AS ID_
 
 # --------------------------------------------------------------------------- B7
 def _herds(spark, sf):
-    return J.herd_tracking(J.daily_tracking(_clean(spark, sf), paddock_dim(spark, sf)))
+    return J.herd_tracking(*J.grazing_rows(_clean(spark, sf), paddock_dim(spark, sf)))
 
 
 def q_job_herd_tracking(spark, sf):

@@ -14,9 +14,9 @@ from ..functions.codes import herd_label, pad_suffix, paddock_code
 from ..functions.recode import recode_with_fallback
 from ..functions.text import parse_date, safe_ratio
 from ..operators.aggregate import herd_day_totals, last_non_null_by_group, latest_by
-from ..operators.calendar import date_bounds, key_days
+from ..operators.intervals import days, fact_days, fact_rows, grazing
 from ..operators.reshape import unpivot
-from ..operators.runs import grazing_state, movement_path, previous_run_values, zero_on
+from ..operators.runs import movement_path, previous_run_values, zero_on
 from ..operators.select import not_equal_keep_null
 from ..sources.sinks import patch_payload
 
@@ -35,7 +35,7 @@ DATE_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
 def order():
-    return [F.col("date"), F.col("row_id").asc_nulls_first()]
+    return [F.col("date"), F.col("row_id")]
 
 
 def raw_activity_load(log: DataFrame) -> DataFrame:
@@ -80,17 +80,25 @@ def other_activities(clean: DataFrame, lotes: DataFrame) -> DataFrame:
     return o.join(lotes.select("lote_id", F.col("nombre_lote").alias("lote_c")), "lote_c", "left")
 
 
+def _tracked(clean: DataFrame, lotes: DataFrame):
+    """The log's facts per paddock, with grazing state and rows-since counters of the daily grid."""
+    # a paddock is an id and a name; the name may be missing
+    paddocks = lotes.select("lote_id", F.col("nombre_lote").alias("name_c")).withColumn("_name", F.to_json(F.struct("name_c")))
+    facts = fact_days(paddocks, ["name_c", "lote_id", "_name"], clean, ["lote_c"], "FECHA ACTIVIDAD", ["row_id"],
+                      activity="ACTIVIDAD", scan_keys=["lote_id", "_name"])
+    return grazing(facts, activity="ACTIVIDAD", animals="NUMERO ANIMALES", grazing=GRAZING, fill=["TIPO DE FORRAJE"],
+                   paddock_output=False, since=OTHER_ACTIVITIES)
+
+
 def daily_tracking(clean: DataFrame, lotes: DataFrame) -> DataFrame:
-    """Every paddock x every day of the log, with grazing state and
+    """Every paddock (id and name) x every day of the log, with grazing state and
     rows-since counters (before the paddock-output zeroing)."""
-    lo, hi = date_bounds(clean, "FECHA ACTIVIDAD")
-    grid = key_days(lotes.select("lote_id", F.col("nombre_lote").alias("name_c")), ["lote_id", "name_c"], lo, hi)
-    facts = clean.withColumn("_day", F.to_date("FECHA ACTIVIDAD"))
-    full = grid.join(facts, (grid["name_c"] == facts["lote_c"]) & (grid["date"] == facts["_day"]), "left").drop("_day")
-    # one ordered scan: grazing state and the rows-since counters together
-    return grazing_state(full, ["lote_id"], order(), activity="ACTIVIDAD", date="date",
-                         animals="NUMERO ANIMALES", grazing=GRAZING, fill=["TIPO DE FORRAJE"], paddock_output=False,
-                         since=OTHER_ACTIVITIES)
+    return days(*_tracked(clean, lotes)).drop("_name")
+
+
+def grazing_rows(clean: DataFrame, lotes: DataFrame):
+    """The grazing rows of ``daily_tracking``, without making its days, and their layout."""
+    return fact_rows(*_tracked(clean, lotes), where=F.col("ACTIVIDAD") == GRAZING)
 
 
 def paddock_output(tracked: DataFrame) -> DataFrame:
@@ -100,14 +108,15 @@ def paddock_output(tracked: DataFrame) -> DataFrame:
                   "LECHE TOTAL", "LECHE VACA", "lote_change", "actividad_change")
 
 
-def herd_tracking(tracked: DataFrame):
-    """(seguimiento_hatos, lag_lotes).  Grazing rows per paddock get the
+def herd_tracking(tracked: DataFrame, layout=None):
+    """(seguimiento_hatos, lag_lotes), of ``daily_tracking`` or of ``grazing_rows`` with their layout.  Grazing rows per paddock get the
     previous run's animals and length (W7); per herd, change points of the
     paddock give the 1-3 previous paddocks (W8 W9), unpivoted (R1 F3).
     Grazing rows without a herd stay in both outputs, with null previous paddocks."""
-    prev = previous_run_values(tracked, ["lote_id"], order(), activity="ACTIVIDAD", grazing=GRAZING)
+    key = ["lote_id", "_name"] if layout else ["lote_id"]
+    prev = previous_run_values(tracked, key, order(), activity="ACTIVIDAD", grazing=GRAZING, layout=layout)
     path = movement_path(prev, ["HATO"], [F.col("date"), F.col("lote_id"), F.col("row_id")], place="lote_c")
-    hatos = path.drop("name_c", "FECHA ACTIVIDAD", "ACTIVIDAD", "PRODUCTO", "DIAS ANTIGUEDAD PASTOS", "lote_change",
+    hatos = path.drop("name_c", "_name", "FECHA ACTIVIDAD", "ACTIVIDAD", "PRODUCTO", "DIAS ANTIGUEDAD PASTOS", "lote_change",
                       "actividad_change", "ultimo_pastoreo", "ultimo_animales")
     solo = unpivot(hatos.select("date", "HATO", "lote_c", "lag_1", "lag_2", "lag_3"), ["date", "HATO"],
                    ["lote_c", "lag_1", "lag_2", "lag_3"])

@@ -18,15 +18,15 @@ from pyspark.sql import functions as F
 from ..operators.aggregate import latest_by, last_non_null_by_group
 from ..operators.calendar import dense_grid
 from ..operators.reshape import unpivot
-from ..operators.runs import (forward_fill, grazing_state, movement_path, previous_run_values,
-                              run_sum_reset, since_last)
+from ..operators.intervals import days, fact_days, fact_rows, filled, grazing, rows_since
+from ..operators.runs import movement_path, previous_run_values
 from ..functions.recode import recode_with_fallback
 from ..functions.codes import herd_label
 from ..sources.tables import table
 
 def order():
     """Row order inside a paddock / herd: day, then event time, then event id."""
-    return [F.col("date"), F.col("ts").asc_nulls_first(), F.col("event_id").asc_nulls_first()]
+    return [F.col("date"), F.col("ts"), F.col("event_id")]
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 SQL_ORDER = "date, ts NULLS FIRST, event_id NULLS FIRST"
@@ -49,6 +49,12 @@ def events_grid(spark: SparkSession, sf: str) -> DataFrame:
     return dense_grid(e, ["user_id"], e, ["user_id"], "ts")
 
 
+def event_days(spark: SparkSession, sf: str, extra=(), activity: str | None = "event_type"):
+    """The events as the facts of that grid (``extra``: columns on top)."""
+    e = events(spark, sf).withColumns(dict(extra))
+    return fact_days(e, ["user_id"], e, ["user_id"], "ts", ["ts", "event_id"], activity=activity)
+
+
 def _ds(c: str):
     return F.date_format(F.col(c), "yyyy-MM-dd")
 
@@ -67,11 +73,9 @@ SELECT user_id, CAST(date AS VARCHAR) AS date, event_id, event_type, value FROM
 # --------------------------------------------------------------------------- W3
 def q_since_purchase(spark, sf):
     """W3 with zeros as null: rows since the last purchase (0 -> null)."""
-    g = events_grid(spark, sf)
-    flag = F.when(F.col("event_type").eqNullSafe(F.lit("purchase")), 0).otherwise(1)
-    d = run_sum_reset(g, ["user_id"], order(), flag, "dias_sin_purchase")
+    d = rows_since(event_days(spark, sf), "event_type", ["purchase"], first=False)
     return d.select("user_id", _ds("date").alias("date"), "event_id",
-                    F.col("dias_sin_purchase").cast("bigint").alias("dias_sin_purchase"))
+                    F.nullif(F.col("dias_sin_purchase"), F.lit(0)).cast("bigint").alias("dias_sin_purchase"))
 
 
 SQL["since_purchase"] = f"""WITH {SQL_GRID},
@@ -86,8 +90,7 @@ FROM r"""
 
 # --------------------------------------------------------------------------- W1 W5
 def q_since_all_types(spark, sf):
-    g = events_grid(spark, sf)
-    d = since_last(g, ["user_id"], order(), "event_type", EVENT_TYPES)
+    d = rows_since(event_days(spark, sf), "event_type", EVENT_TYPES)
     cols = [F.col(f"dias_sin_{t}").cast("bigint").alias(f"dias_sin_{t}") for t in EVENT_TYPES]
     return d.select("user_id", _ds("date").alias("date"), "event_id", *cols)
 
@@ -118,19 +121,16 @@ SQL["since_all_types"] = _sql_since_all()
 
 # --------------------------------------------------------------------------- W2 W4 W6 W11 T9
 def _state(spark, sf, paddock_output=True):
-    g = events_grid(spark, sf)
     purchase = F.col("event_type") == "purchase"
-    g = g.withColumns({
+    facts = event_days(spark, sf, {
         "animals": F.floor("value").cast("bigint"),
-        "forage": F.when(purchase, F.when(F.col("value") >= 100, "RAYGRAS").otherwise("KYKUYO")),
-    })
-    return grazing_state(g, ["user_id"], order(), activity="event_type", date="date",
-                         animals="animals", grazing="purchase", fill=["forage"],
-                         paddock_output=paddock_output)
+        "forage": F.when(purchase, F.when(F.col("value") >= 100, "RAYGRAS").otherwise("KYKUYO"))})
+    return grazing(facts, activity="event_type", animals="animals", grazing="purchase", fill=["forage"],
+                   paddock_output=paddock_output)
 
 
 def q_grazing_state(spark, sf):
-    d = _state(spark, sf)
+    d = days(*_state(spark, sf))
     return d.select("user_id", _ds("date").alias("date"), "event_id", "event_type", "forage",
                     _ds("ultimo_pastoreo").alias("ultimo_pastoreo"),
                     F.col("ultimo_animales").cast("bigint").alias("ultimo_animales"),
@@ -174,8 +174,8 @@ FROM st"""
 
 # --------------------------------------------------------------------------- W7
 def q_prev_run_values(spark, sf):
-    d = _state(spark, sf, paddock_output=False)
-    p = previous_run_values(d, ["user_id"], order(), activity="event_type", grazing="purchase")
+    d, layout = fact_rows(*_state(spark, sf, paddock_output=False), where=F.col("event_type") == "purchase")
+    p = previous_run_values(d, ["user_id"], order(), activity="event_type", grazing="purchase", layout=layout)
     return p.select("user_id", _ds("date").alias("date"), "event_id",
                     F.col("lag_ultimo_animales").cast("bigint").alias("lag_ultimo_animales"),
                     F.col("lag_dias_de_pastoreo").cast("bigint").alias("lag_dias_de_pastoreo"))
@@ -332,8 +332,7 @@ WHERE event_type IS DISTINCT FROM 'purchase'"""
 
 # --------------------------------------------------------------------------- W6 forward fill alone
 def q_fill_forward(spark, sf):
-    g = events_grid(spark, sf).withColumn("v_view", F.when(F.col("event_type") == "view", F.col("value")))
-    d = forward_fill(g, ["user_id"], order(), ["v_view"])
+    d = filled(event_days(spark, sf, {"v_view": F.when(F.col("event_type") == "view", F.col("value"))}, None), ["v_view"])
     return d.select("user_id", _ds("date").alias("date"), "event_id", "v_view")
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.codes import farm_prefix, prefixed_code
 from ..functions.text import format_date, parse_date, parse_numbers, split_sector
 from ..operators.aggregate import change_dates, completeness, nested_series
-from ..operators.calendar import dense_grid, date_bounds, key_days
+from ..operators.calendar import date_bounds, dense_grid
+from ..operators.intervals import fact_days, filled
 from ..operators.reshape import explode_non_null
-from ..operators.runs import forward_fill
 from ..operators.select import keep_min_non_null
 from ..sources.sinks import nested_documents
 
@@ -51,19 +51,17 @@ def soil_chemistry(props: DataFrame, elements: Sequence[str], start: str, thresh
     value dated earlier is not carried in (trap T13, the original's result)."""
     p = soil_paddocks(props).withColumn("date", F.to_date(parse_date("FECHA", "MM/dd/yyyy", strict=True)))
     lo, hi = date_bounds(p, "date")
-    grid = key_days(p, ["name_c"], lo, hi, "date")
     cal = p.sparkSession.range(1).select(F.explode(F.sequence(lo, hi)).alias("date")).filter(
         F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
-    if not carry_in:
-        grid = grid.filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
-    f = p.withColumnsRenamed({"name_c": "_n", "date": "_d"})
-    full = grid.join(f, (F.col("name_c") == F.col("_n")) & (F.col("date") == F.col("_d")), "left").drop("_n", "_d")
-    cols = [c for c in full.columns if c not in ("name_c", "date", "row_id")]
-    filled = forward_fill(full, ["name_c"], [F.col("date"), F.col("row_id").asc_nulls_first()], cols)
+    names = p.select("name_c")
+    facts = fact_days(names, ["name_c"], p.withColumnRenamed("date", "_d"), ["name_c"], "_d", ["row_id"],
+                      start=None if carry_in else start)
+    cols = [c for c in p.columns if c not in ("name_c", "date", "row_id")]
+    done = filled(facts, cols).drop("_d")
     if carry_in:
-        filled = filled.filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
-    filled = filled.drop("row_id", "FECHA")  # the date has taken FECHA's place: neither counts as a cell
-    stats = completeness(filled)
-    kept = keep_min_non_null(filled, thresh)
+        done = done.filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
+    done = done.drop("row_id", "FECHA")  # the date has taken FECHA's place: neither counts as a cell
+    stats = completeness(done)
+    kept = keep_min_non_null(done, thresh)
     changes = change_dates(props.select(F.to_date(parse_date("FECHA", "MM/dd/yyyy")).alias("FECHA")), "FECHA", start)
     return kept, changes, list(elements), cal, p, stats

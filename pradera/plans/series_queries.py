@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.text import format_date
 from ..operators.aggregate import change_dates, completeness, nested_series
 from ..operators.calendar import date_bounds, key_days
-from ..operators.runs import forward_fill
+from ..operators.intervals import fact_days, filled
 from ..operators.select import keep_min_non_null
 from ..sources.sinks import nested_documents
 from ..sources.tables import table
-from .paddock_queries import EVENT_TYPES, order
+from .paddock_queries import EVENT_TYPES
 
 SQL = {}
 START = "20240103"
@@ -111,12 +111,8 @@ def _soil(spark, sf, start=START):
     e = table(spark, sf, "events")
     e = e.select("user_id", F.to_date("ts").alias("day"), "ts", "event_id",
                  *[F.when(F.col("event_type") == t, F.col("value")).alias(f"e_{t}") for t in EVENT_TYPES])
-    lo, hi = date_bounds(e, "day")
-    grid = key_days(e, ["user_id"], lo, hi, "date").filter(F.col("date") >= F.to_date(F.lit(start), "yyyyMMdd"))
-    f = e.withColumnRenamed("user_id", "_u")
-    j = grid.join(f, (F.col("user_id") == F.col("_u")) & (F.col("date") == F.col("day")), "left").drop("_u", "day")
-    filled = forward_fill(j, ["user_id"], order(), ELEMENTS)
-    return filled.select("user_id", "date", *ELEMENTS)  # time and id only order the rows: they are no cells
+    facts = fact_days(e, ["user_id"], e, ["user_id"], "day", ["ts", "event_id"], start=start)
+    return filled(facts, ELEMENTS).select("user_id", "date", *ELEMENTS)  # time and id only order the rows: they are no cells
 
 
 def q_fill_and_thresh(spark, sf):

@@ -32,12 +32,12 @@ def test_scan_matches_window(spark, seed, width):
     spec = dict(sums={"s": "f"}, runs={"r": "f"}, ffill={"ff": "x"}, lags={"l1": ("x", 1), "l3": ("rid", 3)},
                 run_fills={"q": ("f", False), "qr": ("f", True)}, row_number="rn",
                 lag_fills={"g": ("x", F.col("f") == 0), "g2": ("rid", F.col("f") != 1)},
-                last_pos={"p": F.col("f") == 0, "p2": F.col("x").isNotNull()}, change_ids={"c": "f", "c2": "x"})
+                last_pos={"p": F.col("f") == 0, "p2": F.col("x").isNotNull()}, change_ids={"c": "f", "c2": "x"}, before={"b": "x", "b2": "f"}, leads={"n": "x", "n2": "rid"})
     order = ["t", "rid"]
     a = ordered_scan(df, ["k"], order, value_chunk("t", width) if width else None, **spec)
     b = window_reference(df, ["k"], order, **spec)
     # rows with a null key get null outputs from the chunked scan
-    outs = ["s", "r", "ff", "l1", "l3", "q", "qr", "rn", "g", "g2", "p", "p2", "c", "c2"]
+    outs = ["s", "r", "ff", "l1", "l3", "q", "qr", "rn", "g", "g2", "p", "p2", "c", "c2", "b", "b2", "n", "n2"]
     b = b.withColumns({c: F.when(F.col("k").isNotNull(), F.col(c)) for c in outs})
     _cmp(a, b, ["rid", *outs])
 
@@ -150,9 +150,47 @@ def test_the_grid_is_made_by_many_tasks(spark):
     assert len(per) >= 4 and max(r["count"] for r in per) < 50000 * 365 / 2
 
 
-def test_one_pass_over_the_input(spark):
-    """By rows, the input is read and written once; what follows reads the written frame."""
-    df = spark.range(0, 1000).withColumn("k", F.col("id") % 3)
-    out = ordered_scan(df, ["k"], ["id"], sums={"s": "id"})
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "Range (" not in plan and plan.count("Relation [") == 2
+def _exchanges(df):
+    """Shuffles of the plan, without those of stored bounds and summaries."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.split("\n") if "Exchange hashpartitioning" in x], plan
+
+
+def test_rows_are_shuffled_once_and_not_written(spark):
+    few = spark.range(0, 200).select("id", (F.col("id") % 3).alias("k"))
+    shuffles, plan = _exchanges(ordered_scan(few, ["k"], ["id"], sums={"s": "id"}, lags={"l": ("id", 1)}))
+    assert len(shuffles) == 1 and "FileScan" not in plan and "Join" not in plan  # the plain window
+    many = spark.range(0, 4000).select("id", (F.col("id") % 3).alias("k"), F.col("id").cast("string").alias("wide"))
+    shuffles, plan = _exchanges(ordered_scan(many, ["k"], ["id"], sums={"s": "id"}, lags={"l": ("id", 1)}))
+    scans = [x for x in plan.split("\n") if "FileScan" in x]
+    assert scans and not any("wide" in x for x in scans)  # bounds and summaries only
+    assert len([x for x in shuffles if "_chunk" in x]) <= 2  # the rows, and the summaries where they aren't broadcast
+
+
+def test_bounds_only_for_keys_with_many_rows(spark):
+    df = spark.range(0, 4000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
+    out = ordered_scan(df, ["k"], ["id"], row_number="n", keep_chunk=True)
+    per = {r["k"]: r["c"] for r in out.groupBy("k").agg(F.countDistinct("_chunk").alias("c")).collect()}
+    assert per[0] > 1 and all(c == 1 for k, c in per.items() if k)
+    small = ordered_scan(df.where("id < 100"), ["k"], ["id"], row_number="n", keep_chunk=True)
+    assert small.select("_chunk").distinct().count() == 1
+
+
+def test_chained_scans_share_a_layout(spark):
+    """The second scan, on some of the rows, has no exchange of its own, and the same answers."""
+    from pradera.operators.scan import lay_out
+    df = spark.createDataFrame(_rows(1, 700), "rid long, k long, t int, f int, x double")
+    order = ["t", "rid"]
+    d, layout = lay_out(df, ["k"], order)
+    one = ordered_scan(d, ["k"], order, layout, ffill={"ff": "x"}, row_number="n")
+    two = ordered_scan(one.where("f = 1"), ["k"], order, layout, lags={"l": ("ff", 1)}, sums={"s": "n"})
+    assert d.where("k = 1").select("_chunk").distinct().count() > 1
+    want = window_reference(df, ["k"], order, ffill={"ff": "x"}, row_number="n")
+    want = window_reference(want.where("f = 1"), ["k"], order, lags={"l": ("ff", 1)}, sums={"s": "n"})
+    want = want.withColumns({c: F.when(F.col("k").isNotNull(), F.col(c)) for c in ("ff", "n", "l", "s")})
+    _cmp(two, want, ["rid", "ff", "n", "l", "s"])
+    assert len([x for x in _exchanges(two)[0] if "_chunk" in x]) <= 3  # the rows once, and each scan's summaries
+    little, flat = lay_out(df.where("rid < 150"), ["k"], order)
+    one = ordered_scan(little, ["k"], order, flat, ffill={"ff": "x"}, row_number="n")
+    two = ordered_scan(one.where("f = 1"), ["k"], order, flat, lags={"l": ("ff", 1)}, sums={"s": "n"})
+    assert flat.several is None and len(_exchanges(two)[0]) == 1

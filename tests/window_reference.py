@@ -12,7 +12,7 @@ def _c(x):
 
 def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
                      sums=None, runs=None, ffill=None, lags=None, row_number=None, run_fills=None,
-                     lag_fills=None, last_pos=None, change_ids=None) -> DataFrame:
+                     lag_fills=None, last_pos=None, change_ids=None, before=None, leads=None) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     outs = {}
@@ -22,6 +22,10 @@ def window_reference(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         outs[n] = F.lag(_c(c), k).over(w)
     for n, c in (ffill or {}).items():
         outs[n] = F.last(_c(c), ignorenulls=True).over(wr)
+    for n, c in (before or {}).items():
+        outs[n] = F.last(_c(c), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    for n, c in (leads or {}).items():
+        outs[n] = F.lead(_c(c), 1).over(w)
     if row_number:
         outs[row_number] = F.row_number().over(w)
     d = df.withColumns(outs) if outs else df
