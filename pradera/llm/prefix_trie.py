@@ -55,7 +55,7 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"))
     t = t.withColumn("digest", F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256))
     t = t.withColumns({"digest": F.unhex(F.substring("digest", 1, 2 * WIDTH)), "chars": F.length("text").cast("long")})
-    t = ordered_scan(t, ["conv_id"], [F.asc_nulls_first("turn"), F.col("role"), F.col("text")], row_number="pos")
+    t = ordered_scan(t, ["conv_id"], ["turn", "role", "text"], row_number="pos")
     return t.select("conv_id", (F.col("pos") - 1).cast("long").alias("pos"), "digest", "chars")
 
 
