@@ -59,7 +59,7 @@ def fact_days(keys: DataFrame, key_cols: Sequence[str], facts: DataFrame, fact_k
     lo, hi = date_bounds(bounds_from if bounds_from is not None else facts, fact_date)
     if start is not None and start != "no":
         lo = F.greatest(lo, F.to_date(F.lit(start), "yyyyMMdd"))
-    keys, key_cols = keys.select(*key_cols).distinct(), list(key_cols)
+    keys, key_cols, log = keys.select(*key_cols).distinct(), list(key_cols), facts
     f = facts.withColumn("_day", day).withColumns({f"_fk{i}": F.col(k) for i, k in enumerate(fact_keys)})
     f = f.drop(*[k for k in fact_keys if k in key_cols])
     cols = [c for c in f.columns if c not in ("_day", name) and not c.startswith("_fk")]
@@ -69,7 +69,7 @@ def fact_days(keys: DataFrame, key_cols: Sequence[str], facts: DataFrame, fact_k
     first = keys.select(*key_cols, F.date_sub(lo, 1).alias(name), F.lit(False).alias("_real")).where(lo <= hi)
     by = [F.col(name), *[F.col(c) for c in order]]
     own = list(scan_keys) or key_cols
-    rows, layout = lay_out(real.unionByName(first, allowMissingColumns=True), own, by)
+    rows, layout = lay_out(real.unionByName(first, allowMissingColumns=True), own, by, counted=(log, fact_keys))
     out = Facts(rows, own, key_cols, cols, name, by, layout)
     lags = {"_last": (name, 1)} | ({"_prev": (activity, 1)} if activity else {})
     out = out.scan(row_number="_rn", change_ids={"_dn": name}, leads={"_next": name}, lags=lags)

@@ -4,13 +4,14 @@
 becomes one straggler task.  ``ordered_scan`` gives the same answers as that single window but cuts the rows of such keys
 into chunks along the order:
 
-1. ``lay_out`` draws a sample of (key, order) by hash (two narrow passes: a count, and the sample, of SAMPLE rows a task).
-   Every CUT-th sampled row of a key is a bound, so keys with few rows have none, and there are about SAMPLE / CUT bounds
-   a task.  They are stored as one row; a row's chunk is the number of bounds at or below it, a deterministic Column,
+1. ``lay_out`` counts the keys' rows; if one has more than LEAST and a task's share, it draws a sample of (key, order) by hash, of
+   SAMPLE rows a task.  Every CUT-th sampled row of a key is a bound, so keys with few rows have none, and there are about
+   SAMPLE / CUT bounds a task, which become a literal; a row's chunk is the number of bounds at or below it, a
+   deterministic Column,
 2. windows run inside each (key, chunk): one shuffle of the rows, which aren't written,
 3. keys with bounds have one summary row per chunk, aggregated from a narrow copy of their own rows only; the summaries
-   (as many as bounds) are scanned per key, stored, and joined back.  Keys in one chunk need none, and without any key
-   of several chunks the scan is the plain window.
+   (as many as bounds) are scanned per key and joined back.  Keys in one chunk need none, and without any key of several
+   chunks the scan is the plain window.
 
 A second scan with the same keys and order can take the ``Layout`` of the first: its rows lie in the right tasks
 already, and it adds only its own summary.  A caller that has a chunk Column which never decreases with the order (a bucket of
@@ -46,12 +47,12 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from ..session import write_once
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 CHUNK = "_chunk"
 SAMPLE = 64  # rows sampled for each task
 CUT = 32     # sampled rows of a key from one bound to the next
+LEAST = 1 << 18  # rows of a key that one task takes in any case
 
 
 class Layout(NamedTuple):
@@ -77,11 +78,13 @@ def _c(x):
     return F.col(x) if isinstance(x, str) else x
 
 
-def lay_out(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: str = CHUNK) -> tuple[DataFrame, Layout]:
+def lay_out(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: str = CHUNK,
+            counted: tuple[DataFrame, Sequence[str]] | None = None) -> tuple[DataFrame, Layout]:
     """``df`` with its chunk column, and the layout to hand to every scan over ``keys`` in ``order``.
 
-    A table of up to SAMPLE rows a task has no bounds.  Rows that share all of key and order can't be parted.  Rows with
-    a null key have no outputs; they are spread by hash."""
+    Without a key of more than LEAST rows there are no bounds.  Rows that share all of key and order can't be parted.  Rows with
+    a null key have no outputs; they are spread by hash.  ``counted``: a frame and keys of it whose counts stand for those
+    of ``df``, where it is made from it at some cost."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
     at = F.struct(*key, *[_c(o).alias(f"o{i}") for i, o in enumerate(order)])
@@ -89,26 +92,31 @@ def lay_out(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], c
     for k in keys:
         whole = whole & F.col(k).isNotNull()
     spread = F.pmod(F.xxhash64(*[_c(o) for o in order]), F.lit(tasks)).cast("long")
-    want, n = SAMPLE * tasks, df.count()
-    some = False
-    if n > want:
+    if keys:
+        rows, by = counted or (df.where(whole), keys)
+        n, most = rows.groupBy(*by).count().agg(F.sum("count"), F.max("count")).first()
+    else:
+        n = most = df.count()
+    want, bounds = SAMPLE * tasks, []
+    if n and n > want and most > max(LEAST, n // tasks):  # else no key has more rows than a task
         drawn = F.shiftrightunsigned(F.xxhash64("at"), 1) / float(1 << 63)
-        of_key = [F.col(f"at.k{i}").alias(f"k{i}") for i in range(len(key))]
         sample = df.where(whole).select(at.alias("at")).where(drawn < want / n)
-        sample = sample.withColumn("_place", F.row_number().over(Window.partitionBy(*of_key).orderBy("at")))
-        hot = F.collect_list(F.when(F.col("_place") == CUT, F.struct(*of_key))) if keys else F.lit(0)
-        found = write_once(sample.agg(F.sort_array(F.collect_list(F.when(F.col("_place") % CUT == 0, F.col("at")))).alias(
-            "bounds"), hot.alias("hot")), "scan-bounds")
-        some = found.select(F.size("bounds")).first()[0] > 0
-    if not some:
+        place = F.row_number().over(Window.partitionBy(*[F.col(f"at.k{i}") for i in range(len(key))]).orderBy("at"))
+        sample = sample.withColumn("_place", place).where(F.col("_place") % CUT == 0)
+        bounds = sample.sort("at").collect()
+    if not bounds:
         return df.withColumn(chunk, F.when(whole, F.lit(0).cast("long")).otherwise(spread)), Layout(chunk, None)
+    # a row of the sorted bounds, and of the keys that have any
+    kept = df.sparkSession.createDataFrame([([r["at"] for r in bounds],)], StructType([
+        StructField("b", ArrayType(sample.schema["at"].dataType))]), verifySchema=False)
     # number of bounds at or below the row, by halving steps; behind the last bound there is none to compare with
     steps = F.array(*[F.lit(1 << i) for i in reversed(range((SAMPLE // CUT * tasks).bit_length() + 1))])
     down = F.aggregate(steps, F.lit(0), lambda pos, step: F.when(
         F.get(F.col("_bounds"), pos + step - 1) <= at, pos + step).otherwise(pos))
-    d = df.withColumn("_bounds", found.select("bounds").scalar()).withColumn(
+    d = df.withColumn("_bounds", kept.select("b").scalar()).withColumn(
         chunk, F.when(whole, down.cast("long")).otherwise(spread)).drop("_bounds")
-    return d, Layout(chunk, F.array_contains(found.select("hot").scalar(), F.struct(*key)) if keys else F.lit(True))
+    hot = F.transform("b", lambda x: F.struct(*[x[f"k{i}"].alias(f"k{i}") for i in range(len(key))]))
+    return d, Layout(chunk, F.array_contains(kept.select(hot).scalar(), F.struct(*key)) if keys else F.lit(True))
 
 
 def ordered_scan(
@@ -346,7 +354,9 @@ def ordered_scan(
 
     j = inside(d)
     if layout.several is not None:
-        j = j.join(write_once(summary(d.where(layout.several)), "scan-summary"), on=part, how="left")
+        s = summary(d.where(layout.several))
+        s = df.sparkSession.createDataFrame(s.collect(), s.schema, verifySchema=False)  # as many rows as bounds and hot keys
+        j = j.join(s, on=part, how="left")
 
     def carried(name: str, start=None) -> Column:
         """A summary's value; ``start`` for keys in one chunk, which have none."""

@@ -18,12 +18,12 @@ ROW = st.tuples(st.sampled_from([1, 1, 1, 2, 3]), st.one_of(st.none(), st.intege
        few=st.sampled_from([1, 4, 64]))
 def test_chunked_scan_equals_windows(spark, rows, width, few):
     """``few``: sampled rows of a task, so that keys are cut into many chunks."""
-    old = scan.SAMPLE, scan.CUT
-    scan.SAMPLE, scan.CUT = few, min(few, 2)
+    old = scan.SAMPLE, scan.CUT, scan.LEAST
+    scan.SAMPLE, scan.CUT, scan.LEAST = few, min(few, 2), 0
     try:
         _compare(spark, rows, width)
     finally:
-        scan.SAMPLE, scan.CUT = old
+        scan.SAMPLE, scan.CUT, scan.LEAST = old
 
 
 def _compare(spark, rows, width):
