@@ -8,7 +8,6 @@ batch with all landmarks, and the scores, are two matrix products.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,10 +28,14 @@ SHARPNESS = 6.0          # softmax of the ridge outputs
 BATCH = 128              # texts per matrix product
 CHUNK = 1 << 20          # characters hashed at a time
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _STEP, _SPREAD = np.uint32(0x01000193), np.uint32(0x9E3779B1)
 
 
+def has_letter(text: str) -> bool:
+    """Numbers, also those that aren't digits (as in fractions), are no letters."""
+    return any(map(str.isalpha, text))
+
+
 def ngram_bins(text: str):
     """Arrays of n-gram bins of a whole text, a chunk and an order at a time (chunks overlap, so none is lost)."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
@@ -103,7 +106,7 @@ def fit_rows(rows: list[tuple[str, str]]) -> Model | None:
 
 def predict_texts(texts, m: Model | None) -> tuple[list[str], np.ndarray]:
     lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    todo = [i for i, t in enumerate(texts) if m is not None and t and _LETTER.search(t)]
+    todo = [i for i, t in enumerate(texts) if m is not None and t and has_letter(t)]
     for at in range(0, len(todo), BATCH):
         part = todo[at:at + BATCH]
         f = _kernel([texts[i] for i in part], m.column, m.landmarks) @ m.weights + m.bias
@@ -138,7 +141,7 @@ def fit(docs: DataFrame) -> Model | None:
     rows.sort(key=lambda r: (r["u"], r["doc_id"], r["lang"]))
     out, seen = [], {}
     for r in rows:
-        if _LETTER.search(r["text"]) and seen.setdefault(r["lang"], 0) < SAMPLE_ROWS:
+        if has_letter(r["text"]) and seen.setdefault(r["lang"], 0) < SAMPLE_ROWS:
             seen[r["lang"]] += 1
             out.append((r["text"], r["lang"]))
     return fit_rows(out)

@@ -68,6 +68,12 @@ def test_language_of_odd_rows(spark, language_model):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["4", "5", "5", "None"]
 
 
+def test_numbers_are_no_letters(spark, language_model):
+    rows = [(1, "½ ²"), (2, "①②"), (3, "Ⅷ ٣ 一"), (4, "_ 12 ..."), (5, "é")]
+    got = {r.doc_id: r.lang_pred for r in language_id.classify(docs(spark, rows), language_model).collect()}
+    assert got[1] == got[2] == got[4] == "und" and got[3] != "und" and got[5] != "und"
+
+
 def test_without_anything_to_learn_from(spark):
     empty = docs(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
