@@ -249,21 +249,20 @@ def _pair_table(m: Merges) -> dict:
 def run_tokens(n: int, m: Merges) -> int:
     """Tokens of n marks in a row: equal ranks, so the leftmost pair that makes a piece merges first.
 
-    The stack holds merged lengths; a new mark is merged leftwards as far as pieces allow, and a longer merge further
-    left, which would come first, is tried after each change.
+    No pair on the stack merges.  The next mark merges into its top or comes on top; a longer merge further left, which
+    would come first, is tried after each merge.  Every mark and every merge is handled once.
     """
     if n not in m.run_counts:
-        sizes, m_runs = [1] * min(n, 4096), m.runs
-        extra = n - len(sizes)
-        while True:
-            i = next((i for i in range(len(sizes) - 1) if sizes[i] + sizes[i + 1] in m_runs), None)
-            if i is None:
-                break
-            sizes[i:i + 2] = [sizes[i] + sizes[i + 1]]
-            if extra:
-                sizes.append(1)
-                extra -= 1
-        m.run_counts[n] = len(sizes)
+        stack, pieces = [1], m.runs
+        for _ in range(n - 1):
+            if stack[-1] + 1 not in pieces:
+                stack.append(1)
+                continue
+            stack[-1] += 1
+            while len(stack) > 1 and stack[-2] + stack[-1] in pieces:
+                top = stack.pop()
+                stack[-1] += top
+        m.run_counts[n] = len(stack)
     return m.run_counts[n]
 
 
