@@ -21,7 +21,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pradera.session import ship_package
@@ -34,6 +35,8 @@ SENTENCE_COST = 1.0       # cut between sentences of a document
 TRUNCATION_COST = 16.0    # cut inside a sentence
 GRAIN = 32                # inside long sentences, a cut is possible after so many tokens
 CHUNK = 1 << 20           # characters tokenised at a time
+BLANKS = 1 << 16          # white space in a row, from which tiktoken's pattern would need too deep a stack
+_SPACE = re.compile(r"\s+")
 _SAFE = re.compile(r"[A-Za-z](?= [A-Za-z])")  # a pre-token ends here, whatever follows
 
 
@@ -55,7 +58,7 @@ class Vocabulary:
     ranks: dict | None     # bytes -> id where ids follow the merges, else None
     special: dict          # text -> id
     ends: bytes            # for each id, 1 if a sentence may end with it
-    spec: str | None       # the file, if the library has to run it
+    spec: str              # the file, for texts that the library has to run
 
 
 def vocabulary(spec: str) -> Vocabulary:
@@ -85,26 +88,28 @@ def vocabulary(spec: str) -> Vocabulary:
         words = [whole.decode([i], skip_special_tokens=False) for i in range(size)]
     # a sentence may end with an id whose text ends with a stop or holds a line end
     ends = bytes(bool(re.search(r"[.!?…。！？][\"')\]»”]*\s*$|\n", w)) for w in words)
-    return Vocabulary(hashlib.md5(spec.encode()).hexdigest(), ranks if plain else None, special, ends,
-                      None if plain else spec)
+    return Vocabulary(hashlib.md5(spec.encode()).hexdigest(), ranks if plain else None, special, ends, spec)
 
 
 class Encoder:
     """Ids that ``tokenizers`` gives with a vocabulary, without added special tokens."""
 
     def __init__(self, v: Vocabulary):
-        self.special, self.fast, self.slow = list(v.special), None, None
+        self.special, self.fast, self.slow, self.spec = list(v.special), None, None, v.spec
         if v.ranks is not None:
             import tiktoken
             self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=v.ranks,
                                           special_tokens=v.special)
-        else:
+
+    def _library(self, text: str) -> list[int]:
+        if self.slow is None:
             from tokenizers import Tokenizer
-            self.slow = Tokenizer.from_str(v.spec)
+            self.slow = Tokenizer.from_str(self.spec)
+        return self.slow.encode(text, add_special_tokens=False).ids
 
     def _encode(self, text: str) -> list[int]:
         if self.fast is None:
-            return self.slow.encode(text, add_special_tokens=False).ids
+            return self._library(text)
         if any(s in text for s in self.special):
             return self.fast.encode(text, allowed_special="all")
         return self.fast.encode_ordinary(text)
@@ -112,6 +117,9 @@ class Encoder:
     def __call__(self, text: str) -> Iterator[np.ndarray]:
         """Ids of a whole text, in parts that end where a pre-token surely ends."""
         at = 0
+        if len(text) > BLANKS and any(m.end() - m.start() > BLANKS for m in _SPACE.finditer(text)):
+            yield np.array(self._library(text), dtype=np.uint32)
+            return
         while at < len(text) or not at:
             end = len(text)
             if self.fast is not None and end - at > CHUNK and (m := _SAFE.search(text, at + CHUNK)):
@@ -285,7 +293,7 @@ def _pack_partition(batches, v: Vocabulary, end_id: int, window: int, id_type: p
         return out
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for doc_id, text, ends in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             known[row], start = doc_id, 0
             for ids in encode(text.as_py() or ""):
                 for at in range(0, len(ids), GROUP):
@@ -294,8 +302,10 @@ def _pack_partition(batches, v: Vocabulary, end_id: int, window: int, id_type: p
                     start += len(part)
                     if stream.size >= GROUP and (out := settle(False)) is not None:
                         yield out
-            stream.add(row, start, np.array([end_id], dtype=np.uint32), True)
-            totals[row] = start + 1
+            if ends:
+                stream.add(row, start, np.array([end_id], dtype=np.uint32), True)
+                start += 1
+            totals[row] = start
             row += 1
     if (out := settle(True)) is not None:
         yield out
@@ -304,11 +314,12 @@ def _pack_partition(batches, v: Vocabulary, end_id: int, window: int, id_type: p
 PIECES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, window: int = WINDOW,
+         ends: Column | None = None) -> DataFrame:
     """One row per piece of a document in a sequence.
 
     ``doc_id``; ``start`` (ids of the document before the piece), ``length``, ``ids`` (binary, unsigned 32-bit little
-    endian), ``doc_tokens`` (with the end id), ``sequence_id``, ``offset`` (in the sequence, gapless from 0).  A null
+    endian), ``doc_tokens`` (with the end id; only rows of which ``ends`` is true have one, all if it isn't given), ``sequence_id``, ``offset`` (in the sequence, gapless from 0).  A null
     or empty text is its end id alone.  Every row of ``docs`` is packed, repeated ones as often as they come; null ids
     stay null; other columns are not read.  A sequence holds tokens of one partition, in the order of its rows; an
     empty table has no piece.
@@ -327,4 +338,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, window: int
 
     def run(batches):
         yield from _pack_partition(batches, shared.value, end_id, window, id_type, TaskContext.get().partitionId())
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", F.coalesce(F.lit(True) if ends is None else ends, F.lit(False))).mapInArrow(run, schema)

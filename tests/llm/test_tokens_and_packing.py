@@ -32,6 +32,13 @@ def test_token_counts_are_the_library_s():
     assert token_counts.count_text_list(texts, m) == [len(sp.encode(t or "")) for t in texts]
 
 
+def test_long_runs_of_spaces_are_the_library_s():
+    sp, m = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.load(PIECES)
+    runs = [*range(1, 300), 1000, 4095, 4096, 4097, 5000, 65_536, 65_552, 70_000, 1_000_000]
+    texts = [t for n in runs for t in (" " * n, "ab" + " " * n + "cd", "x" + " " * n)]
+    assert token_counts.count_text_list(texts, m) == [len(sp.encode(t)) for t in texts]
+
+
 def test_long_texts_are_counted_in_parts(monkeypatch):
     sp, m = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.load(PIECES)
     monkeypatch.setattr(token_counts, "LONG_TEXT", 9)
@@ -90,6 +97,23 @@ def test_long_texts_are_cut_where_a_word_ends(monkeypatch):
     assert len(parts) > 5 and np.concatenate(parts).tolist() == t.encode(x, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [
+    " " * 1_000_000, "\n" * 1_000_000, "\t" * 3_000_000, " \n\t" * 400_000, "word" + " " * 1_000_000 + "next",
+    "a" + " " * (packing.BLANKS + 1) + "b", "a" + " " * packing.BLANKS + "b", "漢字仮名" * 300_000], ids=lambda t: f"{t[:3]!r}")
+def test_long_runs_are_the_library_s(text):
+    ids = np.concatenate(list(_bytes_encoder()(text))).tolist()
+    assert ids == Tokenizer.from_file(BYTES).encode(text, add_special_tokens=False).ids
+
+
+def test_end_ids_follow_rows_that_end(spark):
+    from pyspark.sql import functions as F
+    d = docs(spark, [(1, "a b"), (2, "c d"), (3, ""), (4, None), (5, "e")]).coalesce(1)
+    got = packing.pack(d, BYTES, ends=F.col("doc_id").isin(2, 4)).collect()
+    last = {r.doc_id: np.frombuffer(r.ids, "<u4")[-1] == 1 for r in got}
+    assert last == {1: False, 2: True, 4: True, 5: False}  # a row without ids and end has no piece
+    assert {r.doc_id: r.doc_tokens for r in got}[4] == 1
+
+
 def test_other_vocabularies_run_in_the_library():
     path = P.path("word_bpe_49k.json")
     e = packing.Encoder(packing.vocabulary(open(path, encoding="utf-8").read()))
