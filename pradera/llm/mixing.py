@@ -4,8 +4,9 @@ A source's documents are laid end to end (by a hash bucket of the id, then the i
 of BLOCK words.  A source's target decides how many slots of the mix its blocks fill; slot k is round k div n of its n
 blocks, and a pseudorandom permutation of each round maps k mod n to a block index.  All slots together are dealt to
 output shards by one more permutation, so a shard's source counts are multinomial draws given the totals: targets are
-met exactly, and no block is used more than ``repeats`` times.  Slots and blocks meet in a join on the block index;
-the mix comes out by shard and place.
+met exactly, and no block is used more than ``repeats`` times.  Slots and blocks meet in a join on the block index, on narrow
+rows: what a document gives to a block is a number of words there.  The mix then takes its texts to the slots that were
+found for them, and to their shards, where they lie in order of place: texts are shuffled twice, and counts need none.
 
 The permutations are swap-or-not networks: each round exchanges x with (key - x) mod n if a bit drawn from the pair
 says so.  That is a bijection for any n, needs no table, and runs backwards with the rounds reversed.
@@ -139,57 +140,82 @@ def slots(sources: DataFrame, partitions: int, seed: int = 0, shard_blocks: int
         (F.col("_place") % shard_blocks).alias("place"))
 
 
+def _key(docs: DataFrame) -> Column:
+    """Key of a row, from its id, source and text: rows that share it can stand for one another."""
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return F.unhex(F.md5(F.to_json(F.struct(F.col("doc_id"), F.col("source"), text.alias("t"))).cast("binary")))
+
+
 def _plan(docs: DataFrame, seed: int, block: int, repeats: int):
     """Narrow rows (written once), (source, bucket) totals and the source table."""
     rows = docs.count()
-    narrow = stored(bucketed(docs.select("doc_id", "text", "source"), rows).drop("text"), "mix-rows")
+    narrow = bucketed(docs.select("doc_id", "text", "source").withColumn("_key", _key(docs)), rows).drop("text")
+    narrow = stored(narrow, "mix-rows")
     sizes = stored(narrow.groupBy("source", "_bucket").agg(F.sum("size").alias("size")), "mix-sizes")
     return rows, narrow, sizes, stored(targets(sizes, seed, block, repeats), "mix-sources")
 
 
+def drawn(placed: DataFrame, sources: DataFrame, seed: int = 0, block: int = BLOCK,
+          shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    """The join of slots and blocks, without texts: a row for each slot and each document that gives words to its block.
+
+    ``placed`` (``sid``, ``start``, ``size`` and more): with ``block``, ``words`` (that it gives) and the slot's ``shard`` and
+    ``place``, which are null for a block that no slot holds."""
+    partitions = max(1, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chosen = stored(slots(sources, partitions, seed, shard_blocks), "mix-slots")  # so that their size is known
+    first, last = _int_div(F.col("start"), block), _int_div(F.col("start") + F.col("size") - 1, block)
+    parts = placed.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
+    at = F.col("block") * block
+    parts = parts.withColumn("words", F.least(F.col("start") + F.col("size"), at + block) - F.greatest(F.col("start"), at))
+    return parts.join(chosen, ["sid", "block"], "left")
+
+
 def mix(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int = REPEATS,
         shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """The mix itself: one row per slot and piece, a piece being what one document gives to the slot's block.
 
     ``shard`` and ``place`` (the slot), ``sid`` and ``block`` (what is in it), ``start`` (of the document in its
     source, in words), ``text`` (the document's contiguous words in the block, with the white space in front of them,
-    and behind the document's last word) and ``doc`` (the document's other columns).  Shards come whole and in order
-    of place and start.  Texts without words are in no block.
+    and behind the document's last word), ``ends`` (whether the document ends with it) and ``doc`` (the document's other
+    columns).  Shards come whole and in order of place and start.  Texts without words are in no block.
     """
-    return _mix(docs, _plan(docs, seed, block, repeats), seed, block, shard_blocks)
-
-
-def _mix(docs: DataFrame, plan: tuple, seed: int, block: int, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
-    rows, narrow, sizes, sources = plan
-    data = docs.select("doc_id", "text", "source", F.struct(*[F.col(c) for c in docs.columns if c != "text"])
-                       .alias("doc"))  # the text is carried once
-    placed = positions(bucketed(data, rows).where("size > 0"), sizes, sources)
+    _, narrow, sizes, sources = _plan(docs, seed, block, repeats)
+    found = drawn(positions(narrow, sizes, sources).select("sid", "_key", "start", "size"), sources, seed, block, shard_blocks)
+    found = found.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("start", "block", "shard", "place", "sid")))
+                                      .alias("_draws"))
+    # rows that share a key take its starts one after the other
+    rows = docs.select(_key(docs).alias("_key"), "text", F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("doc"))
+    copy = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    rows = rows.withColumn("_copy", copy).join(found, "_key")
+    starts = F.array_distinct(F.transform("_draws", lambda x: x["start"]))
+    rows = rows.withColumn("start", F.element_at(starts, F.col("_copy")))
     # the first piece ends where its block does, the others are whole blocks
     words = lambda n: F.concat(F.lit(r"(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){1,"), n,
                                F.lit(r"}(?:[\x20\x09-\x0D]++\z)?"))
     head = F.regexp_substr("text", words((block - F.col("start") % block).cast("string")))
-    pieces = placed.select("sid", "start", "doc", "text", head.alias("_head"))
+    rows = rows.select("start", "doc", "text", "_draws", head.alias("_head"))
     rest = F.regexp_extract_all(F.expr("substring(text, length(_head) + 1)"), words(F.lit(str(block))), F.lit(0))
-    pieces = pieces.select("sid", "start", "doc", F.posexplode(F.concat(F.array("_head"), rest)).alias("_i", "text"))
-    pieces = pieces.select("sid", (_int_div(F.col("start"), block) + F.col("_i")).alias("block"), "start", "text", "doc")
-    partitions = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (slots(sources, partitions, seed, shard_blocks).join(pieces, ["sid", "block"])
-            .select("shard", "place", "sid", "block", "start", "text", "doc")
+    rows = rows.select("start", "doc", "_draws", F.concat(F.array("_head"), rest).alias("_pieces"))
+    mine = F.filter("_draws", lambda x: (x["start"] == F.col("start")) & x["shard"].isNotNull())
+    at = lambda x: (x["block"] - _int_div(F.col("start"), block) + 1).cast("int")
+    slot = F.transform(mine, lambda x: F.struct(
+        x["shard"].alias("shard"), x["place"].alias("place"), x["sid"].alias("sid"), x["block"].alias("block"),
+        F.element_at(F.col("_pieces"), at(x)).alias("text"), (at(x) == F.size("_pieces")).alias("ends")))
+    return (rows.select("start", "doc", F.explode(slot).alias("s")).select("s.*", "start", "doc")
             .repartition("shard").sortWithinPartitions("shard", "place", "start"))
 
 
 def mix_counts(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
-    """What the mix takes of every document, counted in the mix, which is written once.
+    """What the mix takes of every document, counted in the join that makes the mix.
 
     One row per row of ``docs``: ``doc_id``, ``size``, ``source``, ``source_size``, ``target``, ``taken`` (words, each
     as often as the mix repeats it).  Null texts have no word; null sources are one source, the last; repeated rows
     are documents of their own; an empty table gives no row.  Reruns agree.
     """
-    plan = _plan(docs, seed, block, repeats)
-    _, narrow, sizes, sources = plan
-    mixed = stored(_mix(docs.select("doc_id", "text", "source"), plan, seed, block).drop("doc"), "mix-shards")
-    taken = mixed.groupBy("sid", "start").agg(F.sum(word_count(F.col("text"))).alias("taken"))
-    placed = positions(narrow, sizes, sources).select("sid", "start", "doc_id", "size")
+    _, narrow, sizes, sources = _plan(docs, seed, block, repeats)
+    placed = stored(positions(narrow, sizes, sources).select("sid", "start", "doc_id", "size"), "mix-places")
+    found = drawn(placed.select("sid", "start", "size"), sources, seed, block).where("shard is not null")
+    taken = found.groupBy("sid", "start").agg(F.sum("words").alias("taken"))
     about = sources.select("sid", "source", "source_size", "target")
     # a document without words may start where another one does
     words = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
@@ -197,15 +223,18 @@ def mix_counts(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int
             .select("doc_id", "size", "source", "source_size", "target", words.alias("taken")))
 
 
-def mix_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
+def mix_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK, repeats: int = REPEATS,
+                  marked: bool = False) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: the pieces of ``mix``, by shard and place.
 
     A document comes once for every slot that holds words of it, its ``text`` cut to them, and ``n_chars`` set to the
-    new length if there is such a column.
+    new length if there is such a column.  With ``marked``, ``n_chars`` is null for a piece that its document goes on
+    behind, so that who reads the corpus knows where documents end.
     """
-    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return mix(docs, seed, block, repeats).select(
-        [(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])
+    size = F.length("text").cast("long")
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("ends"), size) if marked else size}
+    pieces = mix(docs, seed, block, repeats, max(1, SHARD_BLOCKS * BLOCK // block))
+    return pieces.select([(new[c] if c in new else F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def sql(documents: str = "documents", seed: int = 0) -> str:

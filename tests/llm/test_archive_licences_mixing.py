@@ -223,8 +223,7 @@ def test_mixed_documents_hold_what_is_counted(spark):
     taken, texts = defaultdict(int), {r[0]: r[1] for r in rows}
     for r in out.collect():
         words = r.text.split()
-        taken[r.doc_id] += int(mixing.word_count is not None) and len(
-            [w for w in r.text.replace("\n", " ").replace("\t", " ").split(" ") if w])
+        taken[r.doc_id] += len(mixing_words(r.text))
         source = (texts[r.doc_id] or "").split()
         it = iter(source)
         assert all(w in it for w in words)  # the document's words, in their order
@@ -295,6 +294,37 @@ def test_mixed_documents_come_by_shard_and_place(spark):
     assert runs > len(got) / 6  # no long runs of one source
 
 
+@pytest.mark.parametrize("block", [64, 7])
+def test_pieces_of_a_round_make_up_their_document(spark, block):
+    """Joined in order they are the text, to the byte, and the last one is marked; repeated rows come as often."""
+    text = " ".join(f"w{k}\n" * (1 + k % 3) for k in range(150)) + " \t\n"
+    rows = [(i, f"\n d{i} " + text, "en", "s") for i in range(9)] + [(3, "\n d3 " + text, "en", "s")] + [
+        (None, "one", "en", "s"), (None, "one", None, "s"), (7, " ", "en", "s")]
+    got = mixing.mix(docs(spark, rows, clash=True), block=block).collect()  # one source: its target is its size
+    whole = defaultdict(list)
+    for r in got:
+        whole[r.start].append((r.block, r.text, r.ends, r.doc.doc_id))
+    assert Counter((p[0][3], "".join(t for _, t, _, _ in p)) for p in map(sorted, whole.values())) == Counter(
+        (r[0], r[1]) for r in rows if r[1].strip())
+    assert all([e for _, _, e, _ in sorted(p)] == [False] * (len(p) - 1) + [True] for p in whole.values())
+    out = mixing.mix_documents(docs(spark, rows), block=block, marked=True).collect()
+    assert Counter((r.text, r.n_chars) for r in out) == Counter((r.text, len(r.text) if r.ends else None) for r in got)
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    """Slots are a stored table, joined by its size, and counts read no text again."""
+    d = docs(spark, _mix_rows())
+    _, narrow, sizes, sources = mixing._plan(d, 0, mixing.BLOCK, 3)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = mixing.drawn(mixing.positions(narrow, sizes, sources).select("sid", "start", "size"), sources)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Broadcast" not in plan and "text" not in plan
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_counts(docs(spark, [])).count() == mixing.mix_documents(docs(spark, [])).count() == 0
     got = mixing.mix_counts(docs(spark, [(1, None), (2, "")])).collect()
