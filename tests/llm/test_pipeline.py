@@ -61,7 +61,7 @@ def test_mix_stage(stages):
     taken = Counter()
     for r in after.collect():
         taken[r.doc_id] += words(r.text)
-    want = {r.doc_id: r.taken for r in mixing.mix_counts(before).collect()}
+    want = {r.doc_id: r.taken for r in mixing.mix_counts(before, block=corpus_pipeline.MIX_BLOCK).collect()}
     assert {k: v for k, v in want.items() if v} == dict(taken)
 
 
@@ -77,7 +77,7 @@ def test_packing_stage(stages):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     want = Counter()
     for r in before.collect():
-        ids = t.encode(r.text, add_special_tokens=False).ids + [1]
+        ids = t.encode(r.text, add_special_tokens=False).ids + [1] * (r.n_chars is not None)
         want.update((r.doc_id, i) for i in ids)
     got, seq = Counter(), Counter()
     for r in after.collect():
@@ -88,6 +88,25 @@ def test_packing_stage(stages):
     assert size.max() <= 2048 and packing.padding(size).sum() < 0.02 * size.sum()
 
 
+def test_end_ids_follow_ends_of_documents_only(spark, stages):
+    """Every document's last block is drawn as often as the packed corpus has end ids of it."""
+    _, before, _ = stages[3]
+    _, mixed, packed = stages[4]
+    texts = {r.doc_id: r.text for r in before.collect()}
+    ends = Counter()
+    for r in mixed.collect():
+        assert r.text in texts[r.doc_id] and (r.n_chars is None or r.n_chars == len(r.text))
+        if r.n_chars is None:  # more of the document follows
+            assert len(mixing_words(r.text)) < len(mixing_words(texts[r.doc_id]))
+        else:
+            assert texts[r.doc_id].endswith(r.text)
+            ends[r.doc_id] += 1
+    got = Counter()
+    for r in packed.collect():
+        got[r.doc_id] += int((np.frombuffer(r.ids, dtype="<u4") == 1).sum())
+    assert any(r.n_chars is None for r in mixed.collect()) and got == ends
+
+
 def test_run_is_the_chain(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == stages[-1][2].columns and got.count() == stages[-1][2].count()
