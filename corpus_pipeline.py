@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pradera.llm import jaccard_join, language_id, mixing, packing, quality
 from pradera.llm.common import read, stored
 
+MIX_BLOCK = 1024  # words of a block of the mix, about a training sequence
 LANGUAGE_SCORE = 0.35  # texts whose best language scores less are of no determined language
 
 
@@ -32,13 +33,17 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' words as the mix of sources takes them, a document once per round that draws from it."""
-    return mixing.mix_documents(docs)
+    """The documents' words as the mix of sources takes them: a document once per slot that holds words of it.
+
+    Documents are cut only where a block ends; ``n_chars`` is null for a piece that its document goes on behind."""
+    return mixing.mix_documents(docs, block=MIX_BLOCK, marked=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in training sequences: their ids, where they lie in the document and the sequence."""
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Pieces of the documents in training sequences: their ids, where they lie in the document and the sequence.
+
+    The end id follows what ends a document, as the mix marks it."""
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), ends=F.col("n_chars").isNotNull())
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
