@@ -32,15 +32,15 @@ def _suffixed(left: DataFrame, right: DataFrame, keys: Sequence[str], suffixes=(
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], indicator: str = MERGE,
-              suffixes=("_x", "_y")) -> DataFrame:
+              suffixes=("_x", "_y"), null_safe: bool = False) -> DataFrame:
     """Full outer join on ``keys`` with a pandas-style indicator
-    (``left_only`` / ``right_only`` / ``both``); key columns are coalesced."""
+    (``left_only`` / ``right_only`` / ``both``); key columns are coalesced.  With ``null_safe`` null keys match (trap T2)."""
     l2, r2 = _suffixed(left, right, keys, suffixes)
     l2 = l2.withColumnsRenamed({k: f"_lk_{k}" for k in keys}).withColumn("_in_l", F.lit(True))
     r2 = r2.withColumnsRenamed({k: f"_rk_{k}" for k in keys}).withColumn("_in_r", F.lit(True))
     cond = None
     for k in keys:
-        c = F.col(f"_lk_{k}") == F.col(f"_rk_{k}")
+        c = F.col(f"_lk_{k}").eqNullSafe(F.col(f"_rk_{k}")) if null_safe else F.col(f"_lk_{k}") == F.col(f"_rk_{k}")
         cond = c if cond is None else cond & c
     j = l2.join(r2, cond, "full")
     j = j.withColumns({k: F.coalesce(F.col(f"_lk_{k}"), F.col(f"_rk_{k}")) for k in keys})

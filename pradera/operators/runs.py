@@ -21,8 +21,19 @@ def _c(x):
 
 
 def change_flags(df: DataFrame, key: Sequence[str], order, activity: str,
-                 first_name: str = "lote_change", same_name: str = "actividad_change") -> DataFrame:
-    """W1 first row of the key; W2 ``activity == previous activity`` (null never equal)."""
+                 first_name: str = "lote_change", same_name: str = "actividad_change", legacy: bool = False) -> DataFrame:
+    """W1 first row of the key; W2 ``activity == previous activity`` (null never equal).
+
+    ``legacy`` (trap T7): the row before a key's first one is the last one of the key before."""
+    if legacy:
+        d = ordered_scan(df, [], [*key, *order], lags={"_prev_act": (activity, 1), **{f"_k{i}": (k, 1) for i, k in enumerate(key)}},
+                         row_number="_pos")
+        same = F.lit(True)
+        for i, k in enumerate(key):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        return (d.withColumn(first_name, (F.col("_pos") == 1) | ~same)
+                 .withColumn(same_name, F.coalesce(F.col(activity) == F.col("_prev_act"), F.lit(False)))
+                 .drop("_prev_act", "_pos", *[f"_k{i}" for i in range(len(key))]))
     d = ordered_scan(df, key, order, lags={"_prev_act": (activity, 1)}, row_number="_pos")
     return (d.withColumn(first_name, F.col("_pos") == 1)
              .withColumn(same_name, F.coalesce(F.col(activity) == F.col("_prev_act"), F.lit(False)))
@@ -107,15 +118,25 @@ def previous_run_values(df: DataFrame, key: Sequence[str], order, *, activity: s
 
 
 def movement_path(df: DataFrame, herd: Sequence[str], order, *, place: str, depth: int = 3,
-                  prefix: str = "lag_") -> DataFrame:
+                  prefix: str = "lag_", legacy: bool = False) -> DataFrame:
     """W8 + W9: per herd, keep change points (place differs from the previous
     row, first row included), take the 1..depth previous places over the
     change points and spread them forward to every herd row.
 
     One scan numbers the herd's stays (runs of one place) and fills the place forward; the place of k stays before
-    comes from the small table of stays, joined on (herd, stay).  Rows without a herd get null places."""
-    d = ordered_scan(df, herd, order, change_ids={"_stay": place}, ffill={"_pf": place})
-    stays = d.where(F.col("_stay").isNotNull()).groupBy(*herd, "_stay").agg(F.max("_pf").alias("_v"))
+    comes from the small table of stays, joined on (herd, stay).  Rows without a herd get null places.
+
+    ``legacy`` (trap T8): a herd's first row is a change point only if its place differs from the last one of the herd
+    before; rows ahead of a herd's first change point have no previous places."""
+    if legacy:
+        d = ordered_scan(df, [], [*herd, *order], lags={"_last": (place, 1)}, row_number="_pos")
+        moved = (F.col("_pos") == 1) | ~F.col(place).eqNullSafe(F.col("_last"))
+        d = d.withColumn("_moved", moved.cast("int")).drop("_last", "_pos")
+        d = ordered_scan(d, herd, order, sums={"_stay": "_moved"}, ffill={"_pf": F.when(F.col("_moved") == 1, F.col(place))})
+        d = d.drop("_moved")
+    else:
+        d = ordered_scan(df, herd, order, change_ids={"_stay": place}, ffill={"_pf": place})
+    stays = d.where(F.col("_stay") > 0).groupBy(*herd, "_stay").agg(F.max("_pf").alias("_v"))
     later = F.explode(F.array(*[F.struct((F.col("_stay") + k).alias("s"), F.lit(k).alias("k")) for k in range(1, depth + 1)]))
     back = stays.withColumn("_l", later).groupBy(*herd, F.col("_l.s").alias("_stay")).agg(
         *[F.max(F.when(F.col("_l.k") == k, F.col("_v"))).alias(f"{prefix}{k}") for k in range(1, depth + 1)])
@@ -123,8 +144,11 @@ def movement_path(df: DataFrame, herd: Sequence[str], order, *, place: str, dept
 
 
 def run_sum_reset(df: DataFrame, key: Sequence[str], order, value: Column | str, name: str,
-                  keep_zeros: bool = False) -> DataFrame:
-    """Sum of ``value`` since the last 0 (0 at a reset); zeros become null unless ``keep_zeros``."""
+                  keep_zeros: bool = False, legacy: bool = False) -> DataFrame:
+    """Sum of ``value`` since the last 0 (0 at a reset); zeros become null unless ``keep_zeros``.
+
+    ``legacy`` (trap T7): a run goes on from a key's last row to the first row of the next key."""
+    key, order = ([], [*key, *order]) if legacy else (key, order)
     d = ordered_scan(df, key, order, runs={name: value})
     return d if keep_zeros else d.withColumn(name, F.nullif(F.col(name), F.lit(0)))
 

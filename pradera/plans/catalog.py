@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import (function_queries, herd_queries, io_queries, job_queries, landed_herd_queries,
+from . import (function_queries, herd_queries, io_queries, job_queries, landed_herd_queries, legacy_queries,
                landed_paddock_queries, load_queries, paddock_queries,
                series_queries)
 
 _MODULES = [paddock_queries, series_queries, herd_queries, function_queries, io_queries, job_queries,
-            landed_paddock_queries, landed_herd_queries, load_queries]
+            landed_paddock_queries, landed_herd_queries, load_queries, legacy_queries]
 
 
 def queries():

@@ -110,7 +110,9 @@ def detail_load(operations: DataFrame, detail: DataFrame | None, stored: DataFra
     if type_map is not None:                         # exam operation types through a map, no default
         acts = recode_join(acts, type_map, "ID_TipoOperacion", "OperationType", "id_tipo_destino", "ID_TipoOperacion")
     mark = stored.select(F.max("ID_Actividad")).scalar()
-    acts = assign_ids(acts, "Old_ID_Actividad", mark, "ID_Actividad")
+    # a map with repeated keys makes several rows of one operation: their other values order them
+    acts = assign_ids(acts, "Old_ID_Actividad", mark, "ID_Actividad",
+                      tie=[c for c in acts.columns if c != "Old_ID_Actividad"])
     id_map = acts.select("ID_VACA", F.col("Old_ID_Actividad").alias("ID_Actividad_x"),
                          F.col("ID_Actividad").alias("ID_Actividad_y"))
     out = {"activities": acts.drop("Old_ID_Actividad"), "id_map": id_map, "audit": audit, "detail": None}

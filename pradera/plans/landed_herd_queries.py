@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..sources.tables import table
 from . import cattle_jobs as C
 from . import herd_db_jobs as H
@@ -145,7 +144,7 @@ SELECT IDparto, ID_VACA, Numero_Parto, Sire, new_id AS ID_ACTIVIDAD FROM d LEFT
 
 # --------------------------------------------------------------------------- B14, older form
 def _older(spark, sf):
-    par = _parities(spark, sf).where("Number <= 2").drop("Sire")
+    par = _parities(spark, sf).drop("Sire")  # a calving has one row for each of its parities
     cows = _cows(spark, sf).withColumn("IDparto", F.when(F.col("ID_VACA") % 4 != 0, F.col("ID_VACA") * 10 + 1))
     return H.calvings_load_older(_operations(spark, sf, CALVING_TYPES, VOCAB_COMMENTS), par, _stored(spark, sf), cows)
 
@@ -159,7 +158,7 @@ from ..functions.categories import CALVING_VOCAB, CALVING_VOCAB_IDS  # noqa: E40
 _WORD = f"CASE WHEN upper(comment) IN ({', '.join(repr(w) for w in CALVING_VOCAB)}) THEN upper(comment) ELSE 'No definido' END"
 SQL_OLDER = f"""{_sql_ops(CALVING_TYPES, VOCAB_COMMENTS, done=False)},
 par AS (SELECT l_orderkey AS op_id, l_suppkey AS vaca, l_linenumber AS num, l_orderkey * 10 + l_linenumber AS id_parto
-  FROM lineitem WHERE l_linenumber <= 2),
+  FROM lineitem),
 j AS (SELECT DISTINCT ops.id, animal, fecha, comment, vaca, num, id_parto FROM ops LEFT JOIN par ON par.op_id = ops.id
   WHERE op = 15),
 acts AS (SELECT *, 1 AS kind, 1 AS result, 36 AS officer,
@@ -279,8 +278,18 @@ FROM part LEFT JOIN nation ON n_nationkey = p_size % 30"""
 
 # --------------------------------------------------------------------------- B18
 def _supplies(spark, sf):
-    empty = lambda s: spark.createDataFrame([], s)
-    p, s = table(spark, sf, "part"), table(spark, sf, "supplier")
+    p, s, n = table(spark, sf, "part"), table(spark, sf, "supplier"), table(spark, sf, "nation")
+    none = lambda t: F.lit(None).cast(t)
+    suppliers = s.select(F.col("s_suppkey").alias("ID"), F.concat(F.lit("P"), F.col("s_nationkey")).alias("Code"),
+                         F.col("s_name").alias("Name"), F.when(F.col("s_suppkey") % 3 != 0, F.lit("601")).otherwise(" ").alias("Tel"),
+                         F.when(F.col("s_acctbal") < 0, "").otherwise("ventas").alias("Email"), none("string").alias("Contact"),
+                         none("string").alias("PostalCorr"), none("date").alias("Discontinued"))
+    classes = n.select(F.col("n_nationkey").cast("long").alias("ID"), F.lit("").alias("Code"), F.col("n_name").alias("Name"),
+                       (F.col("n_nationkey") % 2).cast("int").alias("Semen"), F.col("n_regionkey").cast("int").alias("InMEdReg"),
+                       F.lit(0).alias("Feed"), none("date").alias("Discontinued"))
+    class_map = table(spark, sf, "lineitem").select(  # with repeated rows
+        (F.col("l_partkey") * 100 + F.col("l_linenumber")).alias("ID"), F.col("l_partkey").alias("Supply"),
+        F.col("l_linenumber").cast("long").alias("Class"), none("date").alias("Discontinued"))
     supplies = p.select(F.col("p_partkey").alias("ID"), F.col("p_brand").alias("Code"), F.col("p_name").alias("Name"),
                         F.when(F.col("p_partkey") % 4 != 0, F.col("p_type")).otherwise(" ").alias("Unit"),
                         F.col("p_retailprice").alias("DefaultValue"), F.lit(None).cast("long").alias("Sire"),
@@ -298,8 +307,7 @@ def _supplies(spark, sf):
         F.col("l_orderkey").alias("Event"))
     # calvings and services share no operation, so an event has at most one new id
     maps = [_calvings(spark, sf)["id_map"], _services_only(spark, sf)]
-    return H.supplies_load(supplies, empty(schemas.SUPPLIERS), empty(schemas.SUPPLY_CLASSES), empty(schemas.SUPP_SU_CL),
-                           orig, lots, dest, maps)
+    return H.supplies_load(supplies, suppliers, classes, class_map, orig, lots, dest, maps)
 
 
 ONLY_SERVICES = dict(zip(PRIORITIES, (91, 91, 91, 17, 91)))
@@ -319,6 +327,33 @@ SQL["job_supplies"] = """SELECT DISTINCT p_partkey AS IDsuministro, p_brand AS C
   CAST(p_size AS BIGINT) AS Proveedor, CAST(NULL AS VARCHAR) AS Fecha_descontinuado FROM part"""
 
 
+def q_job_suppliers(spark, sf):
+    return _supplies(spark, sf)["Proveedores"].withColumn("Fecha_descontinuado", _day("Fecha_descontinuado"))
+
+
+SQL["job_suppliers"] = """SELECT s_suppkey AS IDproveedor, 'P' || s_nationkey AS Code, s_name AS Nombre,
+  CASE WHEN s_suppkey % 3 <> 0 THEN '601' END AS Telefono, CASE WHEN s_acctbal >= 0 THEN 'ventas' END AS email,
+  CAST(NULL AS VARCHAR) AS contacto, CAST(NULL AS VARCHAR) AS PostCode, CAST(NULL AS VARCHAR) AS Fecha_descontinuado
+FROM supplier"""
+
+
+def q_job_supply_classes(spark, sf):
+    return _supplies(spark, sf)["Tipo_suministros"].withColumn("Fecha_descontinuado", _day("Fecha_descontinuado"))
+
+
+SQL["job_supply_classes"] = """SELECT CAST(n_nationkey AS BIGINT) AS IDClase_sumi, CAST(NULL AS VARCHAR) AS Code, n_name AS Nombre,
+  CAST(n_nationkey % 2 AS INTEGER) AS Semen, CAST(n_regionkey AS INTEGER) AS Medicina, 0 AS Alimento,
+  CAST(NULL AS VARCHAR) AS Fecha_descontinuado FROM nation"""
+
+
+def q_job_supply_class_map(spark, sf):
+    return _supplies(spark, sf)["Map_clases_suministros"].withColumn("Fecha_descontinuado", _day("Fecha_descontinuado"))
+
+
+SQL["job_supply_class_map"] = """SELECT DISTINCT l_partkey * 100 + l_linenumber AS ID, l_partkey AS ID_Suministro,
+  CAST(l_linenumber AS BIGINT) AS ID_Clase, CAST(NULL AS VARCHAR) AS Fecha_descontinuado FROM lineitem"""
+
+
 def q_job_supply_lots(spark, sf):
     o = _supplies(spark, sf)["Suministros_origen"]
     return o.select("ID", "ID_Suministro", "ID_proveedor", "Unidades", "Costo_unitaro", "Balance", "numero_lote")
