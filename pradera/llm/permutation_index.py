@@ -3,8 +3,9 @@
 PIVOTS vectors, fitted on a bounded sample, order themselves by nearness to every vector; a vector is represented by
 its PREFIX nearest pivots in order.  An index block posts each of its vectors in the inverted files of those pivots,
 with the rank there.  A query walks the files of its own pivots and sums up how small the footrule distance of the two
-rankings is; all vectors nearer than a distance fitted on the sample are candidates, and only those are ranked by the
-exact inner product.  There is no cap on candidates; queries that find too few are compared with every vector.
+rankings is; the vectors are ranked by that distance, and the nearest SHARE of a block, with all that tie with the last of
+them, are reranked by the exact inner product.  No other inner products are computed.  Queries that find fewer than they
+should are compared with every vector.
 
 Vectors of unequal length are led back to angles: a vector x of length up to M gets a further component
 sqrt(M^2 - |x|^2), a query 0, so the angle between them orders like the inner product.
@@ -12,6 +13,7 @@ sqrt(M^2 - |x|^2), a query 0, so the angle between them orders like the inner pr
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,28 +30,24 @@ from .groups import over_groups
 from .vectors import matrix, unit_rows, usable
 
 NEIGHBOURS = 20
-PIVOTS = 128
-PREFIX = 32              # pivots that represent a vector
-SAMPLE = 4096            # vectors, at most, that pivots and the candidates' distance are fitted on
-SAMPLE_QUERIES = 256
-MISSED = 0.02            # share of the sample's true neighbours that the fitted distance may leave out
+PIVOTS = 512
+PREFIX = 64              # pivots that represent a vector
+SHARE = 0.2              # of a block's vectors, the nearest by footrule, that are reranked
 INDEX_ROWS = 16_384      # vectors of an index block
 QUERY_ROWS = 1024        # queries of a query block
-TOGETHER = 64            # queries whose inner products are taken in one product
 
 
 @dataclass
 class Index:
     pivots: np.ndarray    # unit rows, one component more than the vectors
     reach: float          # M
-    least: int            # closeness from which a vector is a candidate
     width: int
 
     def ranks(self, x: np.ndarray, queries: bool) -> np.ndarray:
         """The PREFIX nearest pivots of each row, nearest first."""
         more = np.zeros((len(x), 1)) if queries else np.sqrt(np.maximum(self.reach ** 2 - (x * x).sum(1), 0.0))[:, None]
         near = unit_rows(np.hstack([x, more])) @ self.pivots.T
-        return np.argsort(-near, axis=1, kind="stable")[:, :min(PREFIX, len(self.pivots))].astype(np.uint8)
+        return np.argsort(-near, axis=1, kind="stable")[:, :min(PREFIX, len(self.pivots))].astype(np.uint16)
 
 
 class Files:
@@ -87,24 +85,19 @@ def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def fit(sample: np.ndarray, reach: float, k: int = NEIGHBOURS) -> Index:
-    """Pivots are the sample's first vectors; the distance is the one that keeps 1 - MISSED of the true neighbours of
-    the sample's first queries.  In more vectors neighbours are nearer, so it keeps more of them there."""
-    x = np.asarray(sample, dtype=float)
-    ix = Index(np.zeros((0, x.shape[1] + 1)), reach, 0, x.shape[1])
-    pivots = x[:PIVOTS]
+def fit(sample: np.ndarray, reach: float) -> Index:
+    """The pivots are vectors of the sample, as unit rows."""
+    pivots = np.asarray(sample[:PIVOTS], dtype=float)
     more = np.sqrt(np.maximum(reach ** 2 - (pivots * pivots).sum(1), 0.0))[:, None]
-    ix.pivots = unit_rows(np.hstack([pivots, more]))
-    files = Files(ix.ranks(x, False), len(pivots))
-    kept = []
-    for i in range(max(0, len(x) - SAMPLE_QUERIES), len(x)):  # not the pivots, if there are others
-        s = exact(x, x[i])
-        s[i] = -np.inf
-        true = np.argsort(-s, kind="stable")[:min(k, len(x) - 1)]
-        kept.append(files.closeness(ix.ranks(x[i:i + 1], True)[0])[true])
-    near = np.concatenate(kept) if kept else np.zeros(1)
-    ix.least = int(np.quantile(near, MISSED, method="lower")) if len(near) else 0
-    return ix
+    return Index(unit_rows(np.hstack([pivots, more])), reach, pivots.shape[1])
+
+
+def nearest_rankings(closeness: np.ndarray, k: int) -> np.ndarray:
+    """Places of the nearest SHARE (but 4 k at least) by footrule, with ties; never those without a common pivot."""
+    n = len(closeness)
+    keep = max(4 * k, math.ceil(SHARE * n))
+    edge = np.partition(closeness, n - keep)[n - keep] if n > keep else 1
+    return np.flatnonzero(closeness >= max(edge, 1))
 
 
 def _represent(batches: Iterator[pa.RecordBatch], ix: Index) -> Iterator[pa.RecordBatch]:
@@ -113,7 +106,8 @@ def _represent(batches: Iterator[pa.RecordBatch], ix: Index) -> Iterator[pa.Reco
         v, q = ix.ranks(x, False), ix.ranks(x, True)
         yield pa.RecordBatch.from_arrays(
             [b.column("vec_id"), pa.array([r.astype("<f8").tobytes() for r in x], pa.binary()),
-             pa.array([r.tobytes() for r in v], pa.binary()), pa.array([r.tobytes() for r in q], pa.binary())],
+             pa.array([r.astype("<u2").tobytes() for r in v], pa.binary()),
+             pa.array([r.astype("<u2").tobytes() for r in q], pa.binary())],
             names=["vec_id", "x", "as_vector", "as_query"])
 
 
@@ -125,27 +119,25 @@ def _search(table: pa.Table, starts: np.ndarray, ix: Index, k: int, every: bool)
         is_query = t.column("is_query").to_numpy() == 1
         ids = t.column("vec_id").to_numpy()
         x = np.frombuffer(b"".join(t.column("x").to_pylist()), dtype="<f8").reshape(len(t), -1)
-        ranks = np.frombuffer(b"".join(t.column("ranks").to_pylist()), dtype=np.uint8).reshape(len(t), -1)
+        ranks = np.frombuffer(b"".join(t.column("ranks").to_pylist()), dtype="<u2").reshape(len(t), -1)
         v, v_id = x[~is_query], ids[~is_query]
         if not len(v):
             continue
         files = Files(ranks[~is_query], len(ix.pivots))
         at = np.flatnonzero(is_query)
-        for c in range(0, len(at), TOGETHER):
-            part = at[c:c + TOGETHER]
-            rough = x[part] @ v.T
-            for i, near in zip(part.tolist(), rough, strict=True):
-                own = v_id != ids[i]
-                cand = np.flatnonzero(own if every else own & (files.closeness(ranks[i]) >= ix.least))
-                if len(cand) > k:  # a little more than k by the rough value, then exactly
-                    near = near[cand]
-                    edge = np.partition(near, len(near) - k)[len(near) - k]
-                    cand = cand[near >= edge - 1e-9 * max(1.0, abs(edge))]
-                score = exact(v[cand], x[i])
-                best = best_of(v_id[cand], score, k)
-                out_q.append(np.full(len(best), ids[i]))
-                out_v.append(v_id[cand][best])
-                out_s.append(score[best])
+        for i in at.tolist():
+            own = v_id == ids[i]
+            if every:
+                cand = np.flatnonzero(~own)
+            else:
+                near = files.closeness(ranks[i])
+                near[own] = 0
+                cand = nearest_rankings(near, k)
+            score = exact(v[cand], x[i])
+            best = best_of(v_id[cand], score, k)
+            out_q.append(np.full(len(best), ids[i]))
+            out_v.append(v_id[cand][best])
+            out_s.append(score[best])
     cat = lambda a, t: pa.array(np.concatenate(a) if a else np.zeros(0), t)
     yield pa.RecordBatch.from_arrays([cat(out_q, pa.int64()), cat(out_v, pa.int64()), cat(out_s, pa.float64())],
                                      names=["query_id", "vec_id", "score"])
@@ -185,12 +177,12 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS) -> DataFrame:
     schema = "query_id long, rank int, vec_id long, score double"
     if not n_queries or n < 2:
         return vectors.sparkSession.createDataFrame([], schema)
-    rows = (pts.select("embedding", F.xxhash64("vec_id").alias("_h"), "vec_id").orderBy("_h", "vec_id").limit(SAMPLE)
+    rows = (pts.select("embedding", F.xxhash64("vec_id").alias("_h"), "vec_id").orderBy("_h", "vec_id").limit(PIVOTS)
             .collect())
     sample = np.zeros((len(rows), width))
     for i, r in enumerate(rows):
         sample[i, :len(r["embedding"])] = r["embedding"]
-    ix = fit(sample, float(reach), k)
+    ix = fit(sample, float(reach))
     ship_package(vectors.sparkSession)
     shared = vectors.sparkSession.sparkContext.broadcast(ix)  # PIVOTS vectors
     points = stored(pts.mapInArrow(lambda b: _represent(b, shared.value),

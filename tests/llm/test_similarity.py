@@ -325,6 +325,20 @@ def test_search_of_odd_rows(spark):
     assert permutation_index.search(_vectors(spark, rows[:1]), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_only_the_nearest_rankings_are_reranked(spark, monkeypatch):
+    """Ties with the last one stay, what shares no pivot doesn't; a share of the inner products is computed."""
+    c = np.array([5, 0, 9, 5, 5, 1, 7, 0, 5, 3])
+    monkeypatch.setattr(permutation_index, "SHARE", 0.3)
+    assert permutation_index.nearest_rankings(c, 0).tolist() == [0, 2, 3, 4, 6, 8]
+    assert permutation_index.nearest_rankings(c, 5).tolist() == [0, 2, 3, 4, 5, 6, 8, 9]
+    monkeypatch.undo()
+    x = np.random.default_rng(3).normal(size=(3000, 32))
+    ix = permutation_index.fit(x[:512], float(np.sqrt((x * x).sum(1)).max()))
+    files = permutation_index.Files(ix.ranks(x, False), len(ix.pivots))
+    kept = [len(permutation_index.nearest_rankings(files.closeness(r), 20)) for r in ix.ranks(x[:40], True)]
+    assert np.mean(kept) < 0.22 * len(x) and min(kept) >= 0.2 * len(x)
+
+
 def test_closeness_is_the_footrule():
     rnd = np.random.default_rng(0)
     k, pivots = 6, 15
