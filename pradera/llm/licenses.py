@@ -115,7 +115,8 @@ def unmarked(t: Column) -> Column:
     """Canonical form of a marked text or a part of one: marks are spaces, equivalent spellings are one."""
     t = F.regexp_replace(F.concat(F.lit(" "), t, F.lit(" ")), f"[ {MARKS}]+", " ")
     for a, b in EQUIVALENT:
-        t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
+        for _ in range(2):  # neighbours share a space
+            t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.trim(t)
 
 
@@ -205,7 +206,7 @@ def sql(documents: str = "documents") -> str:
 
     def spelled(x, table):
         for a, b in table:
-            x = f"replace({x}, ' {a} ', ' {b} ')"
+            x = f"replace(replace({x}, ' {a} ', ' {b} '), ' {a} ', ' {b} ')"
         return x
     mark = {c: f"chr({ord(c)})" for c in MARKS}
     sub = lambda x, pattern, to: f"regexp_replace({x}, {quote(pattern)}, {to}, 'g')"

@@ -119,6 +119,16 @@ def test_licence(spark, text, names, whole):
     assert (r.licences, r.whole_text, r.n_matches > 0) == (names, whole, names != "")
 
 
+def test_neighbouring_spellings_are_all_replaced(spark):
+    """Neighbours share the space between them."""
+    text = spark.createDataFrame([("licence licence Licence",), ("per cent per cent",)], "text string")
+    got = [r[0] for r in text.select(licenses.canonical(F.col("text"))).collect()]
+    assert got == ["license license license", "percent percent"]
+    known = spark.createDataFrame([("X", "A licence licence for all.")], "licence string, text string")
+    rows = [(1, "A license license for all."), (2, "a licence license for all"), (3, "a license for all")]
+    assert {r.doc_id: r.n_matches for r in licenses.scan(docs(spark, rows), known).collect()} == {1: 1, 2: 1, 3: 0}
+
+
 def test_licence_rows(spark):
     d = docs(spark, [(1, "Released under the MIT License."), (1, "a\x01b"), (None, "Licensed under CC BY 4.0."), (2, "x")])
     got = {r.doc_id: r for r in licenses.scan(d, licenses.known_licences(spark)).collect()}
