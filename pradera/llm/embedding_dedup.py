@@ -28,6 +28,7 @@ TABLES = 6
 FUNCTIONS = 2
 PROBES = 2               # buckets besides its own that a vector is posted in, per table
 BLOCK_ROWS = 1024        # vectors of a block of a bucket or group
+ROUNDING = 1e-9         # by which a matrix product may differ from a row's sum
 SEED = 11
 
 
@@ -103,7 +104,10 @@ def _count_links(table: pa.Table, starts: np.ndarray, width: int, similar: float
     size, links = table.column("size").to_numpy(), np.zeros(len(ids), dtype=np.int64)
     for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True):
         left, right = s + np.flatnonzero(blk[s:e] == bi[s]), s + np.flatnonzero(blk[s:e] == bj[s])
-        hit = x[left] @ x[right].T >= similar
+        near = x[left] @ x[right].T
+        hit = near >= similar
+        i, j = np.nonzero(np.abs(near - similar) < ROUNDING)
+        hit[i, j] = (x[left[i]] * x[right[j]]).sum(-1) >= similar  # as links are decided
         if bi[s] == bj[s]:
             np.fill_diagonal(hit, False)
         else:

@@ -262,6 +262,25 @@ def test_embedding_links_in_blocks(spark, monkeypatch):
     assert [got[i] for i in range(90)] == want.tolist() and want.sum()
 
 
+def test_links_at_the_limit_count_as_they_connect():
+    """Pairs made to lie at the limit: the count and the forest decide alike."""
+    import pyarrow as pa
+    rnd = np.random.default_rng(7)
+    width, n = 48, 120
+    x = rnd.normal(size=(n, width)) + 4
+    y = embedding_dedup.unit_rows(x)
+    limits = np.sort((y[:, None, :] * y[None, :, :]).sum(-1)[np.triu_indices(n, 1)])[::400]  # values that pairs really have
+    t = pa.table({"id": np.arange(n), "blk": np.zeros(n, int), "bi": np.zeros(n, int), "bj": np.zeros(n, int),
+                  "size": np.ones(n, int), "embedding": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    for similar in limits:
+        links = next(embedding_dedup._count_links(t, np.array([0]), width, similar)).to_pydict()
+        found = next(embedding_dedup._bucket_links(t, np.array([0]), width, similar)).to_pydict()
+        linked = (y[:, None, :] * y[None, :, :]).sum(-1) >= similar
+        np.fill_diagonal(linked, False)
+        assert dict(zip(links["id"], links["links"], strict=True)) == {i: k for i, k in enumerate(linked.sum(1)) if k}
+        assert {*found["a"], *found["b"]} == {i for i, k in enumerate(linked.sum(1)) if k}
+
+
 def test_hadamard_is_orthogonal():
     x = np.random.default_rng(0).normal(size=(5, 16))
     y = embedding_dedup.hadamard(x)
