@@ -5,16 +5,21 @@ Orders stand for a spreadsheet's lines, line items for activities, customers for
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.keys import key_update
+from ..operators.reconcile import MERGE, reconcile
 from ..session import scratch_path
 from ..sources import landing, loads
-from ..sources.sinks import export_csv
+from ..sources.json_arrays import read_json_array
+from ..sources.sinks import export_csv, store_bucketed
 from ..sources.tables import table
 
 SQL = {}
+BUCKETS = 64  # of a stored table
 
 SHEET = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderpriority", T.StringType()),
                       T.StructField("o_totalprice", T.DoubleType())])
@@ -91,7 +96,46 @@ SQL["touched_update"] = SQL["snapshot_update"] = """WITH u AS (SELECT o_custkey,
 SELECT c_custkey, c_name, coalesce(u.v, c_acctbal) AS c_acctbal FROM customer LEFT JOIN u ON u.o_custkey = c_custkey"""
 
 
+CUSTOMER = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                         T.StructField("place", T.StructType([T.StructField("nation", T.IntegerType())]))])
+
+
+def q_json_array_dump(spark, sf):
+    """Customers dumped as JSON arrays with braces and quotes in their texts and an inner object, cut by many tasks."""
+    c = table(spark, sf, "customer")
+    name = F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, F.lit(' }{" \\')).otherwise(F.lit(", [x]")))
+    row = F.struct(F.col("c_custkey"), name.alias("c_name"), F.struct(F.col("c_nationkey").alias("nation")).alias("place"),
+                   F.col("c_mktsegment").alias("segment"))
+    arrays = c.groupBy(F.floor(F.col("c_custkey") / 500).alias("page")).agg(F.sort_array(F.collect_list(row)).alias("a"))
+    path = scratch_path(spark, "dump")
+    arrays.repartition("page").select(F.to_json("a", {"pretty": "true"})).write.text(path)
+    d = read_json_array(spark, path, CUSTOMER, scratch_path(spark, "pieces"), rest="whole")
+    return d.select("c_custkey", "c_name", F.col("place.nation").alias("nation"),
+                    F.variant_get("whole", "$.segment", "string").alias("segment"))
+
+
+SQL["json_array_dump"] = """SELECT c_custkey, c_name || CASE WHEN c_custkey % 3 = 0 THEN ' }{" \\' ELSE ', [x]' END AS c_name,
+  c_nationkey AS nation, c_mktsegment AS segment FROM customer"""
+
+
+def q_reconcile_bucketed(spark, sf):
+    """J4 against a stored table kept in buckets of its key: only the incoming side is shuffled."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), "o_orderpriority")
+    name = f"stored_orders_{uuid.uuid4().hex[:8]}"
+    stored = store_bucketed(o.where("key % 3 <> 0"), name, ["key"], BUCKETS, scratch_path(spark, "bucketed"))
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return reconcile(lines, stored, ["key"]).select("key", "n_lines", "o_orderpriority", F.col(MERGE).alias("status"))
+
+
+SQL["reconcile_bucketed"] = """WITH l AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1),
+o AS (SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderkey % 3 <> 0)
+SELECT coalesce(l_orderkey, o_orderkey) AS key, n_lines, o_orderpriority, CASE WHEN o_orderkey IS NULL THEN 'left_only'
+  WHEN l_orderkey IS NULL THEN 'right_only' ELSE 'both' END AS status FROM l FULL JOIN o ON l_orderkey = o_orderkey"""
+
+
 QUERIES = {
+    "json_array_dump": q_json_array_dump,
+    "reconcile_bucketed": q_reconcile_bucketed,
     "landed_row_ids": q_landed_row_ids,
     "load_once": q_load_once,
     "incremental_load": q_incremental_load,

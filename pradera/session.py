@@ -80,13 +80,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    spark = spark or df.sparkSession
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
-
-
 def write_once(df, name: str):
     """Write a frame into the shared folder and read it back: its input is computed once, whoever reads it."""
     path = scratch_path(df.sparkSession, name)
@@ -108,4 +101,4 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(str(zipped))
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "write_once", "ship_package"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "write_once", "ship_package"]

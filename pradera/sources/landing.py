@@ -32,12 +32,13 @@ def land(df: DataFrame, out: str) -> None:
         f"{out}/splits")
 
 
-def landed(spark: SparkSession, out: str, name: str = "row_id", first: int = 0) -> DataFrame:
-    """The rows with their position (``first``: of the first one) in front."""
+def landed(spark: SparkSession, out: str, name: str = "row_id", first: int = 0, file: str | None = None) -> DataFrame:
+    """The rows with their position (``first``: of the first one) in front, and with their ``file``, if it is given a name."""
     rows = spark.read.parquet(f"{out}/rows")
     splits = spark.read.parquet(f"{out}/splits")
     no = (F.col("_before") + F.col("_at") - F.col("_first") + F.lit(first)).cast("long")
-    return rows.join(splits, _SPLIT).select(no.alias(name), *[c for c in rows.columns if c not in (*_SPLIT, "_at", name)])
+    about = [F.col("_file").alias(file)] if file else []
+    return rows.join(splits, _SPLIT).select(no.alias(name), *about, *[c for c in rows.columns if c not in (*_SPLIT, "_at", name)])
 
 
 def land_csv(spark: SparkSession, path: str, schema: StructType, out: str, sep: str = ",", header: bool = True,

@@ -54,3 +54,12 @@ def export_json_documents(df: DataFrame, path: str, key: str, doc: str = "doc",
 def patch_payload(df: DataFrame, fields: Sequence[str], name: str = "payload") -> DataFrame:
     """K5: one JSON object per row with null fields left out (the PATCH body)."""
     return df.withColumn(name, F.to_json(F.struct(*[F.col(f) for f in fields])))
+
+
+def store_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """A stored table kept in ``buckets`` buckets of its join key, sorted by it, and read back.
+
+    A join of an incoming frame with it on ``keys`` shuffles the incoming side only (``operators.reconcile``)."""
+    w = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    (w.option("path", path) if path else w).saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -105,3 +105,54 @@ def test_only_touched_ranges_are_written(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     loads.update_touched(spark, path, upd.limit(0), "k", "v", 100)
     assert files() == after
+
+
+def test_a_large_array_file_is_cut_by_many_tasks(spark, tmp_path):
+    from pradera.sources.json_arrays import json_elements, read_json_array
+    import json
+    rows = [{"a": i, "s": ["}", '{"', "\\", 'x\\"}', "[,]", "\n\t", "é}"][i % 7] * (i % 4), "in": {"b": {"c": i}, "d": ["{", "}"]},
+             **({"more": [{"e": "}"}]} if i % 5 == 0 else {})} for i in range(1500)]
+    os.mkdir(tmp_path / "in")
+    (tmp_path / "in" / "a.json").write_text(json.dumps(rows[:900], indent=1))
+    (tmp_path / "in" / "b.json").write_text(json.dumps(rows[900:]) + "\n[ ]\n")
+    (tmp_path / "in" / "c.json").write_text("[]")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("s", T.StringType()),
+                           T.StructField("none", T.StringType())])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        got = json_elements(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()
+        assert spark.read.parquet(str(tmp_path / "out" / "splits")).count() > 10
+        assert [json.loads(r.element) for r in sorted(got)] == rows and sorted(r.row_id for r in got) == list(range(1500))
+        d = read_json_array(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), rest="whole")
+        back = d.select("a", "s", "none", F.to_json("whole").alias("whole")).collect()
+        assert sorted((r.a, r.s) for r in back) == [(r["a"], r["s"]) for r in rows] and not any(r.none for r in back)
+        assert sorted((json.loads(r.whole) for r in back), key=lambda x: x["a"]) == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    (tmp_path / "bad.json").write_text('[{"a": 1}, {"a": 2')
+    with pytest.raises(Exception):  # noqa: B017
+        read_json_array(spark, str(tmp_path / "bad.json"), schema, str(tmp_path / "out2")).collect()
+    rows = read_json_array(spark, str(tmp_path / "bad.json"), schema, str(tmp_path / "out2"), corrupt="_bad").collect()
+    assert sorted((r.a, r._bad) for r in rows if r.a)[0] == (1, None) and any(r._bad == '{"a": 2' for r in rows)
+
+
+def test_the_stored_side_of_a_bucketed_join_stays(spark, tmp_path):
+    from pradera.operators.reconcile import reconcile
+    from pradera.sources.sinks import store_bucketed
+    stored = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = store_bucketed(stored, "bucketed_test", ["k"], 16, str(tmp_path / "b"))
+        new = spark.range(0, 900, 3).select(F.col("id").alias("k"), F.col("id").alias("w"))
+        j = reconcile(new, t, ["k"])
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        side = plan[plan.index("FileScan"):]
+        above = plan[:plan.index("FileScan")].split("\n")[-4:]
+        assert plan.count("Exchange hashpartitioning") == 1 and not any("Exchange" in x for x in above), side[:200]
+        want = reconcile(new, stored, ["k"])
+        assert sorted(map(str, j.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS bucketed_test")
