@@ -10,7 +10,7 @@ into chunks along the order:
    deterministic Column,
 2. windows run inside each (key, chunk): one shuffle of the rows, which aren't written,
 3. keys with bounds have one summary row per chunk, aggregated from a narrow copy of their own rows only; the summaries
-   (as many as bounds) are scanned per key and joined back.  Keys in one chunk need none, and without any key of several
+   (as many as bounds) are scanned per key, stored and joined back.  Keys in one chunk need none, and without any key of several
    chunks the scan is the plain window.
 
 A second scan with the same keys and order can take the ``Layout`` of the first: its rows lie in the right tasks
@@ -49,6 +49,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from ..session import write_once
+
 CHUNK = "_chunk"
 SAMPLE = 64  # rows sampled for each task
 CUT = 32     # sampled rows of a key from one bound to the next
@@ -354,9 +356,8 @@ def ordered_scan(
 
     j = inside(d)
     if layout.several is not None:
-        s = summary(d.where(layout.several))
-        s = df.sparkSession.createDataFrame(s.collect(), s.schema, verifySchema=False)  # as many rows as bounds and hot keys
-        j = j.join(s, on=part, how="left")
+        # as many rows as bounds and hot keys; stored, so that a chain of scans doesn't repeat its plan for each summary
+        j = j.join(write_once(summary(d.where(layout.several)), "scan-summary"), on=part, how="left")
 
     def carried(name: str, start=None) -> Column:
         """A summary's value; ``start`` for keys in one chunk, which have none."""
