@@ -109,9 +109,11 @@ def register_missing_cows(matched: DataFrame, export: DataFrame, cows: DataFrame
     """Cows named in the transfers but not in the cow table, from the master export.
 
     A breed, sex or sire that is no known code stays as text beside its null id.  Of several export rows or mothers
-    the last counts: by transfer row, then export row, then mother id.
+    the last counts: by transfer row, then export row, then mother id.  So a name's last transfer row and a mother
+    name's largest id are taken before the joins, which then make no more rows than the export and the missing names.
     """
-    missing = matched.filter(F.col("ID_VACA").isNull()).select("ID", "row_id")
+    missing = matched.filter(F.col("ID_VACA").isNull()).groupBy("ID").agg(F.max("row_id").alias("row_id"))
+    mothers = cows.groupBy("Nombre_Vaca").agg(F.max("ID_VACA").alias("ID_VACA"))
     ex = export.withColumn("ID", strip("ID")).withColumnRenamed("row_id", "_export_row")
     d = missing.join(ex, "ID", "left")
     d = d.select(
@@ -126,7 +128,7 @@ def register_missing_cows(matched: DataFrame, export: DataFrame, cows: DataFrame
         F.lit(1).alias("ID_CLIENTE"), F.lit(2).alias("IDTipoOrigen"), F.lit(2).alias("IDTipoSalida"), "row_id",
         "_export_row")
     d = anti(d, cows, ["Nombre_Vaca"])
-    d = parent_lookup(d, "_madre", cows, "Nombre_Vaca", "ID_VACA", "VacaMadre").drop("_madre")
+    d = parent_lookup(d, "_madre", mothers, "Nombre_Vaca", "ID_VACA", "VacaMadre").drop("_madre")
     d = keep_last(d, ["Nombre_Vaca"], ["row_id", "_export_row", "VacaMadre"])
     cols = ["ID_CLIENTE", "ElectronicID", "Nombre_Vaca", "Raza", "Sexo", "VacaMadre", "FechaRegistro", "IDTipoOrigen",
             "FechaNacimiento", "IDTipoSalida", "Sire"]

@@ -56,6 +56,22 @@ def test_transfers_missing_and_duplicates(spark):
     assert e.Raza == 2 and e.Sexo == 1 and e.FechaNacimiento == dt.date(2020, 2, 3) and e.Sire == 77
 
 
+def test_registering_makes_no_row_for_each_mother_and_transfer(spark, monkeypatch):
+    cows = [(i, 1, 0, None, "LUNA", 2, 1, None, None, None, 2, None, 2, None, None) for i in range(50)]
+    cows = spark.createDataFrame(cows, schemas.VACAS)
+    groups = list(C.GROUP_IDS)
+    matched = C.transfers(spark.createDataFrame(
+        [(i, "ESTRELLA", groups[i % len(groups)]) for i in range(1, 30)], schemas.TRANSFERS), cows)[2]
+    export = spark.createDataFrame(
+        [(i, "ESTRELLA", "HO", "He:Rp", str(i), "LUNA", None, "03/02/2020", None, None, None) for i in range(40)],
+        schemas.ANIMAL_EXPORT)
+    sizes, keep_last = [], C.keep_last
+    monkeypatch.setattr(C, "keep_last", lambda df, *a: sizes.append(df.count()) or keep_last(df, *a))
+    new = C.register_missing_cows(matched, export, cows).collect()
+    assert [(r.Nombre_Vaca, r.Sire, r.VacaMadre) for r in new] == [("ESTRELLA", 39, 49)]
+    assert sizes == [40]  # a row of the export each; was 9 transfer rows x 40 x 50 mothers
+
+
 def test_animals_extract(spark):
     a = spark.createDataFrame([(5, "E", "LUNA", 103, 2, None, None, None, -1, None, 2, None, 9)], schemas.ANIMALS)
     r = C.animals_extract(a).first()
