@@ -1,8 +1,8 @@
 """Surrogate ids, id maps, foreign-key remaps and key updates.
 
-Numbering never uses an unpartitioned window: rows are cut by rows along the order (``ordered_scan`` with no key),
-counted per chunk, the small chunk table is prefix-summed and each chunk numbers its own rows, whatever the ids'
-values are.  Deterministic, unlike ``monotonically_increasing_id`` or partition ids.
+Numbering never uses an unpartitioned window: rows are dealt by ranges of the order, sorted in each range and written
+once with their place, whatever the ids' values are; the ranges are counted from what was written.  What the rows are
+made from is computed once, not again for counts, samples and summaries.
 """
 
 from __future__ import annotations
@@ -12,13 +12,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_once
 from .aggregate import keep_last
-from .scan import ordered_scan
+
+_PLACE_BITS = 33  # of monotonically_increasing_id: the place in a partition; the partition is above
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:
-    """Global 1-based numbering in ``order`` (nulls first)."""
-    return ordered_scan(df, [], order, row_number=name)
+    """Global 1-based numbering in ``order`` (nulls first), as long; ``df`` is written once, with its places.
+
+    Partitions and places only mean something together with the rows that were written, so nothing is numbered again.
+    Rows that share all of ``order`` can't be parted."""
+    by = {f"_by{i}": F.col(o) if isinstance(o, str) else o for i, o in enumerate(order)}
+    ranged = df.withColumns(by).repartitionByRange(*by).sortWithinPartitions(*by)
+    rows = write_once(ranged.select(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id().alias("_at")),
+                      "row-numbers")
+    part = F.shiftrightunsigned("_at", _PLACE_BITS).cast("int")
+    counted = dict(rows.groupBy(part.alias("part")).count().collect())  # a row for each partition that holds any
+    before, total = [], 0
+    for p in range(max(counted, default=-1) + 1):
+        before.append(f"{total}L")
+        total += counted.get(p, 0)
+    start = F.get(F.expr(f"array({','.join(before) or '0L'})"), part)
+    place = F.col("_at").bitwiseAND((1 << _PLACE_BITS) - 1)
+    return rows.withColumn(name, start + place + F.lit(1)).drop("_at")
 
 
 def assign_ids(df: DataFrame, old_id: str, start_after: Column, name: str = "new_id",
@@ -27,8 +44,9 @@ def assign_ids(df: DataFrame, old_id: str, start_after: Column, name: str = "new
 
     ``start_after`` is usually a scalar subquery (``max`` of the stored ids),
     so the stored table's existing ids are never reused (trap T11).  ``tie``
-    columns break ties between equal old ids."""
-    n = row_numbers(df, [F.col(old_id), *[F.col(t) for t in tie]], "_no")
+    columns break ties between equal old ids.  The rows are stored first: ranges are drawn from them, and what makes
+    them (joins, mostly) would run again for that."""
+    n = row_numbers(write_once(df, "without-ids"), [F.col(old_id), *[F.col(t) for t in tie]], "_no")
     return n.withColumn(name, F.coalesce(start_after, F.lit(0)) + F.col("_no")).drop("_no")
 
 

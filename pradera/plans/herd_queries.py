@@ -14,7 +14,8 @@ from ..functions.recode import case_map, recode, recode_join, shift_code
 from ..functions.text import composite_key, format_date, replace_value
 from ..operators.aggregate import keep_last
 from ..operators.keys import assign_ids, id_map, key_update, remap, zip_rows
-from ..operators.reconcile import MERGE, anti, audit_missing, enrich, join_flag, parent_lookup, reconcile, semi
+from ..operators.reconcile import (HASH, MERGE, anti, audit_missing, enrich, hashed, join_flag, parent_lookup,
+                                   reconcile, semi)
 from ..operators.reshape import key_difference, key_intersection
 from ..operators.runs import group_size
 from ..operators.select import above_mark
@@ -33,12 +34,15 @@ def _activity_keys(df):
                      "l_orderkey", "l_linenumber")
 
 
+def _stored_activities(spark, sf):
+    return _activity_keys(_t(spark, sf, "lineitem").filter(F.col("l_linestatus") == "F")).select(
+        "key", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_actividad"))
+
+
 def _reconciled(spark, sf):
     li = _t(spark, sf, "lineitem")
     incoming = _activity_keys(li.filter(F.col("l_returnflag").isin("R", "A"))).distinct()
-    stored = _activity_keys(li.filter(F.col("l_linestatus") == "F")).select(
-        "key", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_actividad"))
-    return reconcile(incoming, stored, ["key"])
+    return reconcile(hashed(incoming, "key"), hashed(_stored_activities(spark, sf), "key"), [HASH, "key"]).drop(HASH)
 
 
 def q_reconcile_counts(spark, sf):
@@ -333,7 +337,7 @@ SQL["above_mark"] = "SELECT o_orderkey FROM orders WHERE o_orderkey > (SELECT ma
 def q_new_activity_ids(spark, sf):
     """J13 on the reconcile output: ids for new activities start after the stored maximum."""
     r = _reconciled(spark, sf)
-    stored_max = r.select(F.max("id_actividad")).scalar()
+    stored_max = _stored_activities(spark, sf).select(F.max("id_actividad")).scalar()  # the full join keeps all of them
     new = r.filter(F.col(MERGE) == "left_only").select("key", "l_orderkey", "l_linenumber")
     n = assign_ids(new.withColumn("_ord", F.col("l_orderkey") * 100 + F.col("l_linenumber")), "_ord", stored_max,
                    "id_actividad", tie=["key"])

@@ -200,3 +200,24 @@ def test_chained_scans_share_a_layout(spark):
     one = ordered_scan(little, ["k"], order, flat, ffill={"ff": "x"}, row_number="n")
     two = ordered_scan(one.where("f = 1"), ["k"], order, flat, lags={"l": ("ff", 1)}, sums={"s": "n"})
     assert flat.several is None and len(_exchanges(two)[0]) == 1
+
+
+def test_numbering_makes_its_rows_once(spark, tmp_path):
+    from pradera.operators.keys import assign_ids
+
+    seen = str(tmp_path)
+
+    def passed(batches):
+        import os
+        import uuid
+        for b in batches:
+            if b.num_rows:
+                open(os.path.join(seen, uuid.uuid4().hex), "w").close()
+            yield b
+    df = spark.range(400_000, numPartitions=1).select((400_000 - F.col("id")).alias("old")).mapInArrow(passed, "old long")
+    out = assign_ids(df, "old", F.lit(7), "new")
+    once = len(list(tmp_path.iterdir()))
+    assert out.where("new = old + 7").count() == 400_000
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    assert once == len(list(tmp_path.iterdir())) == -(-400_000 // rows)  # was once for the count, the sample, the summary and the rows
+    assert assign_ids(df.where("old < 0"), "old", F.lit(7), "new").count() == 0
