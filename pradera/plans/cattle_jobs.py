@@ -20,7 +20,7 @@ from ..functions.text import (composite_key, format_date, null_if, parse_date, p
                               strip)
 from ..operators.aggregate import keep_last
 from ..operators.keys import assign_ids
-from ..operators.reconcile import MERGE, anti, enrich, join_flag, parent_lookup, reconcile, semi
+from ..operators.reconcile import HASH, MERGE, anti, enrich, hashed, join_flag, parent_lookup, reconcile, semi
 from ..operators.runs import group_size
 from ..operators.select import conform, skip_first
 from ..schemas import VACAS
@@ -43,45 +43,73 @@ TRANSFER_DATE = "2021-04-27"
 REGISTER_DATE = "2021-04-25"
 
 
-def mastitis_load(mastitis: DataFrame, stored: DataFrame, cows: DataFrame, operators: Mapping[str, int]):
-    """B2: returns (new_activities, mastitis_detail, missing_in_file, existing, rejected).
-
-    ``rejected`` are rows whose date is a text that is no date; they are not loaded.
+def mastitis_checks(mastitis: DataFrame, operators: Mapping[str, int]):
+    """B2: the cleaned checks (date in ``_fecha``) and ``rejected``, the rows whose date is a text that is no date.
 
-    ``mastitis``: landed history (``schemas.MASTITIS``); ``stored``: the
-    activities table; ``cows``: the cow table."""
+    A text with a slash can only be of the second format, one without only of the first: each is parsed once."""
     m = mastitis.withColumns({
-        "AI": F.coalesce(recode("AI", QUARTER_SCORES), F.lit("0")).cast("int"),
-        "AD": F.coalesce(recode("AD", QUARTER_SCORES), F.lit("0")).cast("int"),
-        "PI": F.coalesce(recode("PI", PI_SCORES), F.lit("0")).cast("int"),
-        "PD": F.coalesce(recode("PD", QUARTER_SCORES), F.lit("0")).cast("int"),
         "ID_OPERARIO": name_to_id("ORDEÑADOR", operators, DEFAULT_OPERATOR),
         "ID_TipoOperacion": F.lit(MASTITIS_TYPE), "ID_Resultado": F.lit(MASTITIS_RESULT),
         "ID_Categoria": F.lit(MASTITIS_CATEGORY),
-        "_fecha": F.to_date(F.coalesce(parse_date("Fecha", "yyyy-MM-dd"), parse_date("Fecha", "MM/dd/yyyy"))),
+        "_fecha": F.to_date(F.when(F.col("Fecha").cast("string").contains("/"), parse_date("Fecha", "MM/dd/yyyy"))
+                            .otherwise(parse_date("Fecha", "yyyy-MM-dd"))),
     }).filter(F.col("ID_VACA").isNotNull())
     unread = F.col("Fecha").isNotNull() & F.col("_fecha").isNull()
-    rejected, m = m.where(unread).select(*mastitis.columns), m.where(~unread)
-    acts = m.select("ID_VACA", "ID_TipoOperacion", "ID_Resultado", "ID_OPERARIO", "ID_Categoria",
-                    F.col("_fecha").alias("Fecha"), "Comentario").distinct()
+    return m.where(~unread), m.where(unread).select(*mastitis.columns)
+
+
+def mastitis_reconciled(checks: DataFrame, stored: DataFrame) -> DataFrame:
+    """B2: the checks' activities against the stored ones of their type, by date, cow and type.
+
+    Keys begin alike, which makes sorting them slow; a hash in front of them sorts as a number."""
+    acts = checks.select("ID_VACA", "ID_TipoOperacion", "ID_Resultado", "ID_OPERARIO", "ID_Categoria",
+                         F.col("_fecha").alias("Fecha"), "Comentario").distinct()
     key = composite_key(format_date("Fecha", "MM/dd/yyyy"), "ID_VACA", "ID_TipoOperacion")
     old = stored.filter(F.col("ID_TipoOperacion") == MASTITIS_TYPE)
-    r = reconcile(acts.withColumn("key", key), old.select(key.alias("key"), "ID_Actividad"), ["key"])
-    new = r.filter(F.col(MERGE) == "left_only").drop("ID_Actividad", MERGE)
+    acts, old = acts.withColumn("key", key), old.select(key.alias("key"), "ID_Actividad")
+    return reconcile(hashed(acts, "key"), hashed(old, "key"), [HASH, "key"]).drop(HASH)
+
+
+def mastitis_new(reconciled: DataFrame, stored: DataFrame, cows: DataFrame) -> DataFrame:
+    """B2: activities that aren't stored yet, of known cows, with ids after the stored maximum."""
+    new = reconciled.filter(F.col(MERGE) == "left_only").drop("ID_Actividad", MERGE)
     new = semi(new, cows, ["ID_VACA"])                      # drop cows unknown to the cow table
     mark = stored.select(F.max("ID_Actividad")).scalar()
     new = assign_ids(new, "ID_VACA", mark, "ID_Actividad", tie=["key", "Comentario", "ID_OPERARIO"])
-    # detail: key without the type (trap T18), keep the last file row per activity
+    return new.drop("key")
+
+
+def mastitis_detail(new: DataFrame, checks: DataFrame) -> DataFrame:
+    """B2: one detail row per new activity: key without the type (trap T18), the last file row of that key.
+
+    File rows are reduced to the last of each key before the join, which then has a row per activity."""
     dkey = composite_key(format_date("Fecha", "MM/dd/yyyy"), "ID_VACA")
-    det = m.withColumn("Fecha", F.col("_fecha")).select(dkey.alias("_k2"), "row_id", "AI", "AD", "PI", "PD", "Chequeo_revision",
-                   percent_to_fraction("Ubre_sana").alias("Ubre_sana"),
-                   percent_to_fraction("Calificacion").alias("Calificacion"),
-                   percent_to_fraction("GAP").alias("GAP"))
-    ids = new.select("ID_Actividad", dkey.alias("_k2"))
-    detail = ids.join(det, "_k2", "left").drop("_k2")
-    detail = keep_last(detail, ["ID_Actividad"], ["row_id"]).drop("row_id")
-    return (new.drop("key"), detail, r.filter(F.col(MERGE) == "right_only"), r.filter(F.col(MERGE) == "both"),
-            rejected)
+    det = checks.withColumn("Fecha", F.col("_fecha")).select(
+        dkey.alias("_k2"), "row_id", "AI", "AD", "PI", "PD", "Chequeo_revision", "Ubre_sana", "Calificacion", "GAP")
+    # dealt by key first, as few rows share one; values are read behind that: dates and values in one piece of generated
+    # code are more than the JVM compiles
+    det = hashed(det, "_k2").where("_k2 is not null").repartition(HASH, "_k2").withColumns({
+        **{c: F.coalesce(recode(c, PI_SCORES if c == "PI" else QUARTER_SCORES), F.lit("0")).cast("int")
+           for c in ("AI", "AD", "PI", "PD")},
+        **{c: percent_to_fraction(c) for c in ("Ubre_sana", "Calificacion", "GAP")}})
+    det = keep_last(det, [HASH, "_k2"], ["row_id"]).drop("row_id")
+    ids = hashed(new.select("ID_Actividad", dkey.alias("_k2")), "_k2")
+    return ids.join(det, [HASH, "_k2"], "left").drop(HASH, "_k2")
+
+
+def mastitis_load(mastitis: DataFrame, stored: DataFrame, cows: DataFrame, operators: Mapping[str, int]):
+    """B2: returns (new_activities, mastitis_detail, missing_in_file, existing, rejected).
+
+    ``rejected`` are rows whose date is a text that is no date; they are not loaded.
+
+    ``mastitis``: landed history (``schemas.MASTITIS``); ``stored``: the
+    activities table; ``cows``: the cow table.  New activities are numbered when this is called; who wants the outputs
+    without ids alone takes the steps above."""
+    checks, rejected = mastitis_checks(mastitis, operators)
+    r = mastitis_reconciled(checks, stored)
+    new = mastitis_new(r, stored, cows)
+    return (new, mastitis_detail(new, checks), r.filter(F.col(MERGE) == "right_only"),
+            r.filter(F.col(MERGE) == "both"), rejected)
 
 
 def transfers(transfers_file: DataFrame, cows: DataFrame):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.reconcile import MERGE
 from ..sources.tables import table
 from . import cattle_jobs as C
 from . import herd_db_jobs as H
@@ -477,7 +478,12 @@ def _mastitis(spark, sf):
                       F.when(F.col("o_orderkey") % 2 == 0, 9).otherwise(2).alias("ID_TipoOperacion"),
                       F.col("o_orderdate").alias("Fecha"))
     cows = table(spark, sf, "supplier").where("s_suppkey % 10 <> 3").select(F.col("s_suppkey").alias("ID_VACA"))
-    return C.mastitis_load(m, stored, cows, MILKER_IDS)
+    return m, stored, cows
+
+
+def _mastitis_reconciled(spark, sf):
+    m, stored, _ = _mastitis(spark, sf)
+    return C.mastitis_reconciled(C.mastitis_checks(m, MILKER_IDS)[0], stored)
 
 
 _SCORE = lambda at: (f"CAST(coalesce(CASE {at} WHEN 'P' THEN '5' WHEN 'p' THEN '5' ELSE {at} END, '0') AS INTEGER)")
@@ -501,8 +507,9 @@ new AS (SELECT a.*, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (OR
 
 
 def q_job_mastitis_new(spark, sf):
-    return _mastitis(spark, sf)[0].select("ID_Actividad", "ID_VACA", "ID_TipoOperacion", "ID_Resultado", "ID_OPERARIO",
-                                          "ID_Categoria", _day("Fecha").alias("Fecha"), "Comentario")
+    return C.mastitis_load(*_mastitis(spark, sf), MILKER_IDS)[0].select(
+        "ID_Actividad", "ID_VACA", "ID_TipoOperacion", "ID_Resultado", "ID_OPERARIO", "ID_Categoria",
+        _day("Fecha").alias("Fecha"), "Comentario")
 
 
 SQL["job_mastitis_new"] = f"""WITH {SQL_MASTITIS}
@@ -511,7 +518,7 @@ SELECT id AS ID_Actividad, cow AS ID_VACA, 9 AS ID_TipoOperacion, 34 AS ID_Resul
 
 
 def q_job_mastitis_detail(spark, sf):
-    return _mastitis(spark, sf)[1]
+    return C.mastitis_load(*_mastitis(spark, sf), MILKER_IDS)[1]
 
 
 SQL["job_mastitis_detail"] = f"""WITH {SQL_MASTITIS}
@@ -521,7 +528,8 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_id DESC) = 1"""
 
 
 def q_job_mastitis_existing(spark, sf):
-    return _mastitis(spark, sf)[3].select("key", "ID_VACA", "ID_OPERARIO", "Comentario", "ID_Actividad")
+    return _mastitis_reconciled(spark, sf).where(F.col(MERGE) == "both").select(
+        "key", "ID_VACA", "ID_OPERARIO", "Comentario", "ID_Actividad")
 
 
 SQL["job_mastitis_existing"] = f"""WITH {SQL_MASTITIS}
@@ -529,7 +537,7 @@ SELECT a.key, cow AS ID_VACA, op AS ID_OPERARIO, com AS Comentario, id_act AS ID
 
 
 def q_job_mastitis_missing(spark, sf):
-    return _mastitis(spark, sf)[2].select("key", "ID_Actividad")
+    return _mastitis_reconciled(spark, sf).where(F.col(MERGE) == "right_only").select("key", "ID_Actividad")
 
 
 SQL["job_mastitis_missing"] = f"""WITH {SQL_MASTITIS}
@@ -537,7 +545,7 @@ SELECT key, id_act AS ID_Actividad FROM old WHERE NOT EXISTS (SELECT 1 FROM acts
 
 
 def q_job_mastitis_rejected(spark, sf):
-    return _mastitis(spark, sf)[4].select("row_id", "ID_VACA", "Fecha")
+    return C.mastitis_checks(_mastitis(spark, sf)[0], MILKER_IDS)[1].select("row_id", "ID_VACA", "Fecha")
 
 
 SQL["job_mastitis_rejected"] = """SELECT l_orderkey * 10 + l_linenumber AS row_id, l_suppkey AS ID_VACA, 'sin fecha' AS Fecha

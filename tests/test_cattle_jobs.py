@@ -36,6 +36,26 @@ def test_mastitis_incremental_load(spark):
     assert d[102].AI == 5 and d[102].PI == 2 and abs(d[102].Ubre_sana - 0.80) < 1e-9   # keep-last file row
 
 
+def test_mastitis_details_are_reduced_before_the_join_and_only_new_ones_are_numbered(spark, monkeypatch):
+    m = [(i, 1, "LUNA", "R1", "1", "0", "0", None, "ANA", f"c{i % 10}", d, "85%", "90%", "70%", "si", "F", "1", 1)
+         for i, d in enumerate(["2024-01-05", "01/05/2024", "2024/01/05", "05-01-2024", None] * 20)]
+    mast = spark.createDataFrame(m, schemas.MASTITIS)
+    stored = spark.createDataFrame([(100, 2, 9, 34, 28, 1, dt.datetime(2024, 1, 6), "x")], schemas.ACTIVIDADES_VACAS)
+    sizes, keep_last, assign_ids = [], C.keep_last, C.assign_ids
+    monkeypatch.setattr(C, "keep_last", lambda df, *a: sizes.append(df.count()) or keep_last(df, *a))
+    new, detail, missing, existing, rejected = C.mastitis_load(mast, stored, _cows(spark), OPERATORS)
+    assert sizes == [40]  # the file's rows with that date, not each with each of its activities
+    last = {r.ID_Actividad: r.Ubre_sana for r in detail.collect()}
+    dated = {r.ID_Actividad for r in new.where("Fecha is not null").collect()}
+    assert len(last) == new.count() and {k for k, v in last.items() if v is not None} == dated
+    assert rejected.count() == 40
+    monkeypatch.setattr(C, "assign_ids", None)  # the other outputs have no new ids
+    checks, rejected = C.mastitis_checks(mast, OPERATORS)
+    r = C.mastitis_reconciled(checks, stored)
+    assert rejected.count() == 40 and r.where("_merge = 'right_only'").count() == 1
+    monkeypatch.setattr(C, "assign_ids", assign_ids)
+
+
 def test_transfers_missing_and_duplicates(spark):
     t = [(0, "HEADER", "NI"), (1, " LUNA ", "R 1"), (2, "SOL", "CF"), (3, "ESTRELLA", "JCAL"), (4, "LUNA", "R 1"),
          (5, "NUBE", "R 2")]
